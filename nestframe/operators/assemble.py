@@ -166,6 +166,9 @@ def _gather(table: Table, plan: _Plan) -> DataFrame:
             columns.append(piece.alias("_piece"))
         rows = rows.select(*columns, sort).withColumnsRenamed({UP: KEY, "_piece": PART})
 
+    if table.name not in plan.tables.clustered:
+        # Collecting before the shuffle would cost a sort and save nothing: all items go through.
+        rows = rows.repartition(*plan.link)
     listed = F.sort_array(F.collect_list(F.struct(ORDER, ITEM))).getField(ITEM)
     return rows.groupBy(*plan.link).agg(listed.alias(table.attr))
 

@@ -65,7 +65,9 @@ def text_output(documents: DataFrame, model: T.StructType | None = None) -> Data
     enums = [f.name for f in model or [] if "allowed" in f.metadata]
 
     def leaf(column: Column, dtype: T.DataType) -> Column:
-        return F.base64(column) if isinstance(dtype, T.BinaryType) else column
+        if isinstance(dtype, T.BinaryType):
+            return F.translate(F.base64(column), "\r\n", "")  # Spark breaks the text into lines
+        return column
 
     plain = rewrite(documents, leaf)
     return plain.withColumns({name: F.col(name).cast("string") for name in enums})

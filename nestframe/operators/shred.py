@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -43,44 +43,63 @@ def shred(
     else:
         root_key = F.concat_ws("/", *(F.col(k).cast("string") for k in key))
 
-    frames: dict[str, DataFrame] = {}
     keyed = documents.select("*", root_key.alias(layout.key))
-    _shred_object(layout, keyed, F.col, frames, drop_all_null)
+    frames = {
+        layout.name: keyed.select(*(F.col(f.name) for f in layout.scalars), F.col(layout.key))
+    }
+    for child in layout.children:
+        _shred_attribute(child, keyed, F.col(child.attr), frames, drop_all_null)
     return DocumentTables(layout, frames, rows_fit=True)
 
 
-def _shred_object(
+def _shred_attribute(
     table: Table,
-    rows: DataFrame,
-    item: Callable[[str], Column],
+    owners: DataFrame,
+    value: Column,
     frames: dict[str, DataFrame],
     drop_all_null: bool,
 ) -> None:
-    """Adds the table of one object attribute and, below it, those of its own attributes.
+    """Adds the table of one attribute, and below it those of the attributes of its objects.
 
-    ``rows`` has one row per object with its key columns; ``item`` reaches into the object.
+    ``owners`` has the key of the owning objects, ``value`` is the attribute in it. Each table
+    unpacks only the part of the attribute it stores, so that the scan can leave out the rest.
     """
-    columns = [item(f.name).alias(f.name) for f in table.scalars]
-    columns.append(F.col(table.key))
-    if table.parent_key:
-        columns += [F.col(table.parent_key), F.col(POS)]
-    frames[table.name] = rows.select(*columns)
+    owner_key = table.parent_key
+    if table.kind is Kind.VALUES:
+        values = owners.select(F.posexplode(value).alias(POS, table.attr), F.col(owner_key))
+        frames[table.name] = values.select(table.attr, owner_key, POS)
+        return
 
-    for child in table.children:
-        if child.kind is Kind.SINGLE:
-            found = rows.select(table.key, F.lit(0).alias(POS), item(child.attr).alias(ITEM))
-        elif child.kind is Kind.OBJECTS:
-            found = rows.select(table.key, F.posexplode(item(child.attr)).alias(POS, ITEM))
+    def unpacked(part: Column) -> DataFrame:
+        if table.kind is Kind.SINGLE:
+            items = owners.select(owner_key, F.lit(0).alias(POS), part.alias(ITEM))
         else:
-            frames[child.name] = rows.select(
-                F.posexplode(item(child.attr)).alias(POS, child.attr), F.col(table.key)
-            ).select(child.attr, table.key, POS)
-            continue
-
-        found = found.where(F.col(ITEM).isNotNull())
-        if drop_all_null:
-            found = found.where(
-                reduce(Column.__or__, (F.col(ITEM).getField(f).isNotNull() for f in child.fields))
-            )
-        found = found.withColumn(child.key, child_key(F.col(table.key), child.attr, F.col(POS)))
-        _shred_object(child, found, F.col(ITEM).getField, frames, drop_all_null)
+            items = owners.select(owner_key, F.posexplode(part).alias(POS, ITEM))
+        key = child_key(F.col(owner_key), table.attr, F.col(POS)).alias(table.key)
+        return items.where(F.col(ITEM).isNotNull()).select(key, owner_key, POS, ITEM)
+
+    item = F.col(ITEM)
+    scalars, marker = _scalar_part(table, value)
+    objects = unpacked(scalars)
+    if marker:
+        objects = objects.where(item.getField(marker).isNotNull())
+    elif drop_all_null:
+        objects = objects.where(
+            reduce(Column.__or__, (item.getField(name).isNotNull() for name in table.fields))
+        )
+    columns = [item.getField(f.name).alias(f.name) for f in table.scalars]
+    frames[table.name] = objects.select(*columns, table.key, owner_key, POS)
+    for child in table.children:
+        _shred_attribute(child, unpacked(value.getField(child.attr)), item, frames, drop_all_null)
+
+
+def _scalar_part(table: Table, value: Column) -> tuple[Column, str | None]:
+    """What to unpack for the scalars of a table.
+
+    Whether an item of a list is NULL is seen on the whole item only, which brings its inner lists
+    along, unless one of its scalars is required: that one is then NULL for a NULL item and no other.
+    """
+    required = [f.name for f in table.scalars if not f.nullable]
+    if table.kind is Kind.OBJECTS and table.children and required:
+        return F.arrays_zip(*(value.getField(f.name) for f in table.scalars)), required[0]
+    return value, None

@@ -16,9 +16,16 @@ def list_tables(spark: SparkSession, database: str = "default") -> list[str]:
 
 def load_tables(spark: SparkSession, layout: Table, database: str = "default") -> DocumentTables:
     """The stored tables of a layout."""
-    return DocumentTables(
-        layout, {t.name: spark.table(f"{database}.{t.name}") for t in layout.walk()}
+    frames = {t.name: spark.table(f"{database}.{t.name}") for t in layout.walk()}
+    clustered = frozenset(
+        t.name
+        for t in layout.walk()
+        if any(
+            column.isBucket and column.name == t.parent_key
+            for column in spark.catalog.listColumns(f"{database}.{t.name}")
+        )
     )
+    return DocumentTables(layout, frames, clustered=clustered)
 
 
 def save_tables(
