@@ -35,11 +35,11 @@ def fetch(
     if matching is None and max_rows is None:
         return assemble(tables, fields, list_size)
 
-    keys = tables[root.name].select(root.key)
-    if matching is not None:
-        keys = keys.join(matching.select(root.key).distinct(), root.key, "left_semi")
+    keys = None if matching is None else matching.select(root.key).distinct()
     if max_rows is not None:
-        keys = keys.orderBy(root.key).limit(max_rows)
+        stored = tables[root.name].select(root.key)
+        found = stored if keys is None else stored.join(keys, root.key, "left_semi")
+        keys = found.orderBy(root.key).limit(max_rows)
     if max_rows is None or max_rows > LITERAL_KEYS:
         return assemble(restrict(tables, keys), fields, list_size)
     literal = [row[0] for row in keys.collect()]

@@ -42,10 +42,9 @@ def conversation_tables(spark: SparkSession, folder: str) -> DocumentTables:
         layout,
         {
             "Conversation": turns.select("conv_id").distinct().select("conv_id", key),
-            "Conversation_turns": turns.select(
-                "turn", "role", "text", key, F.col("turn").alias("_pos")
-            ),
+            "Conversation_turns": turns.select("turn", "role", "text", key),
         },
+        order={"Conversation_turns": ["turn"]},
     )
 
 
