@@ -9,7 +9,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from nestframe.operators.numbering import number_rows
+from nestframe.operators.numbering import long_parents, number_long_lists
 from nestframe.plans.layout import ITEM, KEY, ORDER, PART, POS, UP, Kind, Table
 from nestframe.plans.tables import DocumentTables
 
@@ -84,20 +84,21 @@ def _any_list_over(tables: DocumentTables, layout: Table, size: int) -> bool:
         if tables.has_pos(table):
             over = rows.where(F.col(POS) >= size)
         else:
-            over = rows.groupBy(table.parent_key).count().where(F.col("count") > size)
+            over = long_parents(rows, table.parent_key, size)
         found.append(over.select(F.lit(table.name)).limit(1))
     return bool(found) and not reduce(DataFrame.union, found).isEmpty()
 
 
 def _with_positions(tables: DocumentTables, layout: Table, size: int) -> DocumentTables:
-    numbered = {
-        table.name: number_rows(
-            _linked(tables, table), table.parent_key, tables.order_columns(table), size
-        )
-        for table in _lists(layout)
-        if not tables.has_pos(table)
-    }
-    return tables.with_frames(numbered)
+    """Numbers the long lists stored without positions; their other lists keep to one stretch."""
+    numbered, order = {}, {}
+    for table in _lists(layout):
+        if not tables.has_pos(table):
+            order[table.name] = tables.order_columns(table)
+            numbered[table.name] = number_long_lists(
+                _linked(tables, table), table.parent_key, order[table.name], size
+            )
+    return tables.with_frames(numbered, order={**tables.order, **order})
 
 
 def _objects(table: Table, plan: _Plan) -> DataFrame:
@@ -120,30 +121,31 @@ def _objects(table: Table, plan: _Plan) -> DataFrame:
         first = F.min(F.struct(ORDER, *others)).alias(ITEM)
         objects = objects.groupBy(UP).agg(first).select(UP, f"{ITEM}.*")
 
-    gathered = {child.attr: _gather(child, plan) for child in table.children}
+    gathered = [_gather(child, plan) for child in table.children]
     if plan.split:
-        objects = _in_pieces(objects, list(gathered.values()))
-    for items in gathered.values():
+        objects = _in_pieces(objects, [pieces for _, pieces in gathered])
+    for child, (items, _) in zip(table.children, gathered):
         objects = objects.join(items, plan.link, "left")
-    for child in table.children:
         if child.is_list:
-            empty = F.array().cast(gathered[child.attr].schema[child.attr].dataType)
+            empty = F.array().cast(items.schema[child.attr].dataType)
             objects = objects.withColumn(child.attr, F.coalesce(child.attr, empty))
     return objects
 
 
-def _in_pieces(objects: DataFrame, gathered: list[DataFrame]) -> DataFrame:
+def _in_pieces(objects: DataFrame, pieces: list[DataFrame]) -> DataFrame:
     """Repeats each object for the later pieces its attributes come in."""
     whole = objects.withColumn(PART, F.lit(FIRST_PIECE))
-    if not gathered:
+    if not pieces:
         return whole
-    pieces = reduce(DataFrame.union, (items.select(KEY, PART) for items in gathered))
-    later = pieces.where(F.col(PART) != FIRST_PIECE).distinct()
-    return whole.unionByName(objects.join(later, KEY))
+    later = reduce(DataFrame.union, (p.where(F.col(PART) != FIRST_PIECE) for p in pieces))
+    return whole.unionByName(objects.join(later.distinct(), KEY))
+
 
+def _gather(table: Table, plan: _Plan) -> tuple[DataFrame, DataFrame]:
+    """The attribute ``table`` stands for, one row per parent object or piece of one.
 
-def _gather(table: Table, plan: _Plan) -> DataFrame:
-    """The attribute ``table`` stands for, one row per parent object or piece of one."""
+    Also the rows it is made from cut down to their link, which tells the pieces there are.
+    """
     if table.kind is Kind.VALUES:
         rows = _linked(plan.tables, table)
         order = plan.tables.order_column(table)
@@ -154,23 +156,23 @@ def _gather(table: Table, plan: _Plan) -> DataFrame:
     else:
         rows = _objects(table, plan)
         item = F.struct(*_attributes(table, rows)).alias(ITEM)
-        columns = [F.col(UP), item]
+        columns = [F.col(UP).alias(KEY), item]
         if table.kind is Kind.SINGLE:
             rows = rows.select(*columns, *([PART] if plan.split else []))
-            return rows.withColumnsRenamed({UP: KEY, ITEM: table.attr})
-        sort = F.struct(*(c for c in (ORDER, KEY) if c in rows.columns)).alias(ORDER)
+            return rows.withColumnRenamed(ITEM, table.attr), rows.select(*plan.link)
+        columns.append(F.struct(*(c for c in (ORDER, KEY) if c in rows.columns)).alias(ORDER))
         if plan.split:
-            own = F.col(PART)
-            stretch = _stretch(plan)
+            own, stretch = F.col(PART), _stretch(plan)
             piece = F.when(own == FIRST_PIECE, stretch).otherwise(F.concat_ws(".", stretch, own))
-            columns.append(piece.alias("_piece"))
-        rows = rows.select(*columns, sort).withColumnsRenamed({UP: KEY, "_piece": PART})
+            columns.append(piece.alias(PART))
+        rows = rows.select(*columns)
 
+    links = rows.select(*plan.link)
     if table.name not in plan.tables.clustered:
         # Collecting before the shuffle would cost a sort and save nothing: all items go through.
         rows = rows.repartition(*plan.link)
     listed = F.sort_array(F.collect_list(F.struct(ORDER, ITEM))).getField(ITEM)
-    return rows.groupBy(*plan.link).agg(listed.alias(table.attr))
+    return rows.groupBy(*plan.link).agg(listed.alias(table.attr)), links
 
 
 def _stretch(plan: _Plan) -> Column:

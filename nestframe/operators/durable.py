@@ -1,24 +1,30 @@
-"""Cutting the lineage of a DataFrame where it must not be computed a second time."""
+"""Cutting the lineage of rows that must not be computed a second time with another outcome."""
 
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 
 def durable(frame: DataFrame) -> DataFrame:
     """Writes the rows to the shared checkpoint folder and reads them from there.
 
-    The folder is ``spark.checkpoint.dir``; only a local session without one gets its own.
+    A written table, unlike a checkpoint, is read column by column and has a known size.
     """
     spark = frame.sparkSession
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        if folder is None:
-            if not context.master.startswith("local"):
-                raise ValueError("Set spark.checkpoint.dir to a folder all executors share.")
-            folder = tempfile.mkdtemp(prefix="nestframe-checkpoint-")
-        context.setCheckpointDir(folder)
-    return frame.checkpoint()
+    path = f"{_folder(spark)}/nestframe-{uuid.uuid4().hex}"
+    frame.write.parquet(path)
+    return spark.read.schema(frame.schema).parquet(path)
+
+
+def _folder(spark: SparkSession) -> str:
+    """``spark.checkpoint.dir``, or for a local session without it a temporary folder."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if folder is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("Set spark.checkpoint.dir to a folder all executors share.")
+        folder = tempfile.mkdtemp(prefix="nestframe-")
+        spark.conf.set("spark.checkpoint.dir", folder)
+    return folder.rstrip("/")

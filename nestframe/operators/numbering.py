@@ -1,4 +1,4 @@
-"""Positions for the rows of a list table that was stored without them."""
+"""Positions in lists that are too long for one task and were stored without positions."""
 
 from __future__ import annotations
 
@@ -10,57 +10,55 @@ from pyspark.sql import functions as F
 from nestframe.operators.durable import durable
 from nestframe.plans.layout import POS
 
-_COUNT, _TIE, _SLICE, _RANK, _OFFSET = "_count", "_tie", "_slice", "_rank", "_offset"
+_COUNT, _TIE, _SLICE, _ROW, _SHIFT = "_count", "_tie", "_slice", "_row", "_shift"
+BROADCAST_ROWS = 100_000
 
 
-def number_rows(
+def long_parents(rows: DataFrame, parent_key: str, list_size: int) -> DataFrame:
+    """Keys of the parents with more than ``list_size`` rows."""
+    counts = rows.groupBy(parent_key).agg(F.count(F.lit(1)).alias(_COUNT))
+    return counts.where(F.col(_COUNT) > list_size).select(parent_key)
+
+
+def number_long_lists(
     rows: DataFrame, parent_key: str, order: Sequence[str], list_size: int
 ) -> DataFrame:
-    """Adds ``_pos``, the position 0, 1, 2... of each row among the rows of its parent.
+    """Adds ``_pos``: the position 0, 1, 2... of a row in a long list, and 0 in all others.
 
-    Parents of up to ``list_size`` rows are numbered by a window over the parent. Longer ones
-    would put all their rows into one task, so those are sorted over the cluster by parent and
-    order, numbered within each slice of that sort, and shifted by the rows in earlier slices. A
-    tie-breaker splits even a long run of equal rows. It and the slices are checkpointed because a
-    retried task must see the same ones.
+    No task sees a whole long list. Their rows are sorted over the cluster by parent and order, so
+    that each slice of the sort holds a stretch of a few lists, and numbered from the row number
+    in the slice and the rows of the parent in earlier slices. A tie-breaker lets a run of equal
+    rows be cut too. Tie-breaker and slices are written out, as a retried task must see the same.
     """
-    sizes = rows.groupBy(parent_key).agg(F.count(F.lit(1)).alias(_COUNT))
-    long_parents = sizes.where(F.col(_COUNT) > list_size).select(parent_key)
+    parents = durable(long_parents(rows, parent_key, list_size))
+    others = rows.join(parents, parent_key, "left_anti").withColumn(POS, F.lit(0).cast("long"))
 
-    window = Window.partitionBy(parent_key).orderBy(*order)
-    short = rows.join(long_parents, parent_key, "left_anti").withColumn(
-        POS, F.row_number().over(window) - 1
-    )
-
-    tied = durable(
-        rows.join(long_parents, parent_key, "left_semi").withColumn(
-            _TIE, F.monotonically_increasing_id()
-        )
-    )
+    tied = rows.join(parents, parent_key, "left_semi")
+    tied = durable(tied.withColumn(_TIE, F.monotonically_increasing_id()))
+    ordering = [parent_key, *order, _TIE]
     sliced = durable(
-        tied.repartitionByRange(parent_key, *order, _TIE).withColumn(
-            _SLICE, F.spark_partition_id()
+        tied.repartitionByRange(*ordering)
+        .sortWithinPartitions(*ordering)
+        .select(
+            *rows.columns,
+            F.spark_partition_id().alias(_SLICE),
+            F.monotonically_increasing_id().alias(_ROW),
         )
     )
-    in_slice = Window.partitionBy(parent_key, _SLICE).orderBy(*order, _TIE)
     earlier = (
         Window.partitionBy(parent_key)
         .orderBy(_SLICE)
         .rowsBetween(Window.unboundedPreceding, -1)
     )
-    offsets = (
-        sliced.groupBy(parent_key, _SLICE)
-        .agg(F.count(F.lit(1)).alias(_COUNT))
-        .select(
-            parent_key, _SLICE, F.coalesce(F.sum(_COUNT).over(earlier), F.lit(0)).alias(_OFFSET)
-        )
+    runs = sliced.groupBy(parent_key, _SLICE).agg(
+        F.count(F.lit(1)).alias(_COUNT), F.min(_ROW).alias(_ROW)
     )
-    long = (
-        sliced.withColumn(_RANK, F.row_number().over(in_slice) - 1)
-        .join(offsets, [parent_key, _SLICE])
-        .withColumn(POS, F.col(_OFFSET) + F.col(_RANK))
+    before = F.coalesce(F.sum(_COUNT).over(earlier), F.lit(0))
+    shifts = runs.select(parent_key, _SLICE, (before - F.col(_ROW)).alias(_SHIFT))
+    if shifts.count() <= BROADCAST_ROWS:
+        shifts = F.broadcast(shifts)
+    numbered = sliced.join(shifts, [parent_key, _SLICE]).withColumn(
+        POS, F.col(_ROW) + F.col(_SHIFT)
     )
     columns = [*rows.columns, POS]
-    return short.withColumn(POS, F.col(POS).cast("long")).select(columns).unionByName(
-        long.select(columns)
-    )
+    return others.select(columns).unionByName(numbered.select(columns))

@@ -46,13 +46,12 @@ class DocumentTables:
 
     def order_columns(self, table: Table) -> list[str]:
         """What sorts the rows of one parent: ``_pos``, the given columns, or key and values."""
-        if self.has_pos(table):
-            return [POS]
+        positions = [POS] if self.has_pos(table) else []
         if table.name in self.order:
-            return list(self.order[table.name])
-        if self.has_key(table):
-            return [table.key]
-        return [f.name for f in table.scalars]
+            return [*positions, *self.order[table.name]]
+        if positions:
+            return positions
+        return [table.key] if self.has_key(table) else [f.name for f in table.scalars]
 
     def order_column(self, table: Table) -> Column:
         columns = self.order_columns(table)
