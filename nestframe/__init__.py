@@ -21,8 +21,10 @@ from nestframe.operators import (
     table_counts,
     text_output,
 )
+from nestframe.operators.durable import durable
 from nestframe.plans import DocumentTables, Table, field, model_schema, spark_type, table_layout
 from nestframe.sources import (
+    create_tables,
     insert,
     list_tables,
     load_tables,
@@ -44,7 +46,9 @@ __all__ = [
     "audit_primary_key",
     "canonical",
     "conform",
+    "create_tables",
     "difference",
+    "durable",
     "equals",
     "fetch",
     "fetch_by_id",

@@ -21,7 +21,7 @@ def durable(frame: DataFrame) -> DataFrame:
 
 def _folder(spark: SparkSession) -> str:
     """``spark.checkpoint.dir``, or for a local session without it a temporary folder."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if folder is None:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("Set spark.checkpoint.dir to a folder all executors share.")

@@ -30,8 +30,11 @@ def number_long_lists(
     in the slice and the rows of the parent in earlier slices. A tie-breaker lets a run of equal
     rows be cut too. Tie-breaker and slices are written out, as a retried task must see the same.
     """
+    first = F.lit(0).cast("long")
     parents = durable(long_parents(rows, parent_key, list_size))
-    others = rows.join(parents, parent_key, "left_anti").withColumn(POS, F.lit(0).cast("long"))
+    if parents.isEmpty():
+        return rows.withColumn(POS, first)
+    others = rows.join(parents, parent_key, "left_anti").withColumn(POS, first)
 
     tied = rows.join(parents, parent_key, "left_semi")
     tied = durable(tied.withColumn(_TIE, F.monotonically_increasing_id()))

@@ -28,7 +28,8 @@ class Table:
     """One flat table, with the tables of its list and object attributes below it.
 
     ``fields`` keeps the attribute order of the model, ``scalars`` are the attributes stored as
-    columns here. ``expose_id`` says whether a rebuilt object shows its key as ``id``.
+    columns here. ``expose_id`` says whether a rebuilt object shows its key as ``id``,
+    ``parent_is_root`` that the table hangs directly below the root.
     """
 
     name: str
@@ -39,6 +40,7 @@ class Table:
     scalars: tuple[T.StructField, ...]
     children: tuple[Table, ...] = ()
     expose_id: bool = True
+    parent_is_root: bool = False
 
     @property
     def key(self) -> str:
@@ -145,7 +147,17 @@ def _object_table(struct, name, kind, attr, parent, path, names, keep_id) -> Tab
             else:
                 _reject_maps(element, child_path)
                 value = T.StructField(f.name, element, f.dataType.containsNull, f.metadata)
-                children.append(Table(child_name, Kind.VALUES, f.name, name, (f.name,), (value,)))
+                children.append(
+                    Table(
+                        child_name,
+                        Kind.VALUES,
+                        f.name,
+                        name,
+                        (f.name,),
+                        (value,),
+                        parent_is_root=not path,
+                    )
+                )
         else:
             _reject_maps(f.dataType, child_path)
             scalars.append(f)
@@ -160,6 +172,7 @@ def _object_table(struct, name, kind, attr, parent, path, names, keep_id) -> Tab
         scalars=tuple(scalars),
         children=tuple(children),
         expose_id=not keep_id or (kind is Kind.ROOT and "id" not in struct.names),
+        parent_is_root=len(path) == 1,
     )
 
 

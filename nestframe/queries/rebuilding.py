@@ -1,6 +1,6 @@
 """Putting documents together again."""
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from nestframe import assemble, canonical, difference, nan_as_null, shred
@@ -86,12 +86,13 @@ CUSTOMER_SUMS = """
 """
 
 
-def customer_sums(customers: DataFrame) -> DataFrame:
+def customer_sums(customers: DataFrame, *more: Column) -> DataFrame:
     lines = F.flatten("orders.lines")
     return customers.groupBy("c_custkey").agg(
         count_if_first("orders").alias("n_orders"),
         F.sum(F.size(lines)).alias("n_lines"),
         F.sum(total(lines, cents)).alias("cents"),
+        *more,
     )
 
 
@@ -106,8 +107,7 @@ def assemble_in_pieces(spark: SparkSession, folder: str) -> DataFrame:
     customers = assemble(customer_tables(spark, folder), list_size=3)
     orders = F.size("orders") <= 3
     lines = F.forall("orders", lambda order: F.size(order["lines"]) <= 3)
-    fit = customers.groupBy("c_custkey").agg(F.every(orders & lines).alias("lists_fit"))
-    return customer_sums(customers).join(fit, "c_custkey")
+    return customer_sums(customers, F.every(orders & lines).alias("lists_fit"))
 
 
 @query("""

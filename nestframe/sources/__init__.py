@@ -1,10 +1,18 @@
 """Reading and writing documents and their tables."""
 
-from nestframe.sources.catalog import insert, list_tables, load_tables, save_tables
+from nestframe.sources.catalog import (
+    create_tables,
+    insert,
+    list_tables,
+    load_tables,
+    save_tables,
+    table_schema,
+)
 from nestframe.sources.database import key_slices, read_database, write_database
 from nestframe.sources.documents import parse_documents, read_documents
 
 __all__ = [
+    "create_tables",
     "insert",
     "key_slices",
     "list_tables",
@@ -13,5 +21,6 @@ __all__ = [
     "read_database",
     "read_documents",
     "save_tables",
+    "table_schema",
     "write_database",
 ]

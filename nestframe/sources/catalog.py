@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from nestframe.operators.append import absent_rows
 from nestframe.plans.layout import POS, Kind, Table
@@ -14,6 +15,41 @@ def list_tables(spark: SparkSession, database: str = "default") -> list[str]:
     return sorted(table.name for table in spark.catalog.listTables(database))
 
 
+def table_schema(table: Table, root_key: T.DataType = T.StringType()) -> T.StructType:
+    """The columns a table is stored with: its attributes, its key, that of its parent, ``_pos``.
+
+    Keys are strings but for that of a root with a natural key, which is of type ``root_key``.
+    """
+
+    def key(owner_is_root: bool) -> T.DataType:
+        return root_key if owner_is_root else T.StringType()
+
+    columns = [T.StructField(f.name, f.dataType) for f in table.scalars]
+    if table.kind is not Kind.VALUES:
+        columns.append(T.StructField(table.key, key(table.parent is None)))
+    if table.parent:
+        columns.append(T.StructField(table.parent_key, key(table.parent_is_root)))
+        columns.append(T.StructField(POS, T.IntegerType()))
+    return T.StructType(columns)
+
+
+def create_tables(
+    spark: SparkSession,
+    layout: Table,
+    database: str = "default",
+    root_key: T.DataType = T.StringType(),
+) -> list[str]:
+    """Creates the empty tables of a layout; those that exist are left as they are."""
+    created = []
+    for table in layout.walk():
+        name = f"{database}.{table.name}"
+        if not spark.catalog.tableExists(name):
+            empty = spark.createDataFrame([], table_schema(table, root_key))
+            empty.write.format("parquet").saveAsTable(name)
+            created.append(table.name)
+    return created
+
+
 def load_tables(spark: SparkSession, layout: Table, database: str = "default") -> DocumentTables:
     """The stored tables of a layout."""
     frames = {t.name: spark.table(f"{database}.{t.name}") for t in layout.walk()}

@@ -262,6 +262,22 @@ def test_long_lists_come_in_pieces(spark, numbered, list_size):
     assert merged == {d["name"]: d for d in documents}
 
 
+@pytest.mark.parametrize("numbered", [True, False])
+def test_long_list_inside_a_single_object(spark, numbered):
+    model = "name string, flags array<int>, owner struct<x: int, marks: array<int>>"
+    documents = [("a", [1, 2, 3, 4, 5], (7, [1, 2, 3])), ("b", [1], None), ("c", [], (8, []))]
+    tables = shred(spark.createDataFrame(documents, model), "D", key="name")
+    if not numbered:
+        tables = tables.with_frames({n: f.drop("_pos") for n, f in tables.frames.items()})
+    pieces = assemble(tables.with_frames({}, rows_fit=False), list_size=2).collect()
+    a = sorted((r for r in pieces if r["name"] == "a"), key=lambda r: r["_part"])
+    assert [r["flags"] for r in a] == [[1, 2], [3, 4], [5]]
+    assert [r["owner"] and r["owner"]["marks"] for r in a] == [[1, 2], [3], None]
+    assert {r["owner"]["x"] for r in a[:2]} == {7}
+    rest = {r["name"]: r for r in pieces if r["name"] != "a"}
+    assert len(pieces) == 5 and rest["b"]["owner"] is None and rest["c"]["owner"]["marks"] == []
+
+
 def test_one_parent_with_most_rows_all_equal(spark):
     """Equal rows of one long parent are split as well, and none is lost."""
     layout = table_layout("values array<int>", "D")

@@ -6,6 +6,9 @@ import pytest
 
 from nestframe import (
     assemble,
+    create_tables,
+    durable,
+    fetch,
     insert,
     list_tables,
     load_tables,
@@ -13,6 +16,7 @@ from nestframe import (
     read_documents,
     save_tables,
     shred,
+    table_layout,
 )
 from nestframe.sources import key_slices
 
@@ -122,3 +126,70 @@ def test_slices_cover_each_key_once():
     assert key_slices("k", 3)[1] == "k >= '55' AND k < 'aa'"
     with pytest.raises(ValueError):
         key_slices("k", 0)
+
+
+def test_create_insert_get(spark):
+    """The whole way of one small document: create, list, look at the schema, insert, get."""
+    model = """
+        name string, int_value bigint, float_value double, bool_value boolean,
+        multiple_values array<bigint>, nested array<struct<name: string>>
+    """
+    layout = table_layout(model, "Test")
+    spark.sql("CREATE DATABASE IF NOT EXISTS whole")
+    assert create_tables(spark, layout, "whole") == [
+        "Test",
+        "Test_multiple_values",
+        "Test_nested",
+    ]
+    assert create_tables(spark, layout, "whole") == []
+    assert {n.lower() for n in list_tables(spark, "whole")} == {
+        "test",
+        "test_multiple_values",
+        "test_nested",
+    }
+    assert dict(spark.table("whole.Test").dtypes) == {
+        "name": "string",
+        "int_value": "bigint",
+        "float_value": "double",
+        "bool_value": "boolean",
+        "Test_id": "string",
+    }
+    document = ("Hello", 1, 1.0, True, [1, 2, 3], [("Hello",)])
+    tables = shred(spark.createDataFrame([document], model), "Test")
+    insert(tables, "whole")
+    assert spark.table("whole.Test_multiple_values").count() == 3
+    row = fetch(load_tables(spark, layout, "whole")).first().asDict(recursive=True)
+    assert len({row.pop("id"), row["nested"][0].pop("id")}) == 2
+    assert row == {
+        "name": "Hello",
+        "int_value": 1,
+        "float_value": 1.0,
+        "bool_value": True,
+        "multiple_values": [1, 2, 3],
+        "nested": [{"name": "Hello"}],
+        "_part": "0",
+    }
+
+
+def test_created_tables_take_shredded_rows(spark):
+    """Created columns are those of shredding, with a natural key of another type too."""
+    from pyspark.sql import types as T
+
+    from nestframe.sources import table_schema
+
+    model = "name string, owner struct<x: int>, parts array<struct<y: int, marks array<int>>>"
+    frame = spark.createDataFrame([("a", None, [])], model).selectExpr("*", "7L AS n")
+    tables = shred(frame, "D", key="n", model=model)
+    for table in tables.layout.walk():
+        expected = table_schema(table, T.LongType())
+        rows = tables[table.name]
+        assert [(f.name, f.dataType) for f in rows.schema] == [
+            (f.name, f.dataType) for f in expected
+        ]
+
+
+def test_durable_rows_are_read_back(spark):
+    frame = spark.range(10).selectExpr("id", "array(id) AS l")
+    kept = durable(frame)
+    assert kept.dtypes == frame.dtypes and kept.count() == 10
+    assert kept.inputFiles()
