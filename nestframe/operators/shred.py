@@ -26,9 +26,10 @@ def shred(
     """Takes documents apart into one table per object-valued or list-valued attribute.
 
     Every table is a lazy projection of ``documents``: no shuffle, and each reads only the columns
-    it needs. ``key`` names the natural key of a document, in one or several columns. Without it
-    the key is a digest of the whole row, which makes every table read every column and gives
-    equal documents one key.
+    it needs. ``key`` names the natural key of a document: one column that is used as it is, or
+    several of which a digest is taken. It must be unique and not NULL. Without a natural key the
+    key is a digest of the whole row. Copies are then one document, and every table reads every
+    column and shuffles the documents to find the copies.
 
     NULL objects and NULL list items that are objects make no row; ``drop_all_null`` also drops
     objects whose attributes are all NULL. NULL values in lists of values are kept.
@@ -37,12 +38,8 @@ def shred(
         raise ValueError(f"Documents in several pieces cannot be shredded; column {PART!r} found.")
     layout = table_layout(model or documents.schema, root, names, keep_id)
     if key is None:
-        root_key = row_key(documents.columns)
-    elif isinstance(key, str):
-        root_key = F.col(key)
-    else:
-        root_key = F.concat_ws("/", *(F.col(k).cast("string") for k in key))
-
+        documents = documents.distinct()
+    root_key = F.col(key) if isinstance(key, str) else row_key(key or documents.columns)
     keyed = documents.select("*", root_key.alias(layout.key))
     frames = {
         layout.name: keyed.select(*(F.col(f.name) for f in layout.scalars), F.col(layout.key))

@@ -146,3 +146,21 @@ def json_documents(spark: SparkSession, folder: str) -> DataFrame:
     props = F.when(F.col("event_type") == "error", cut).otherwise(F.col("props"))
     events = load(spark, folder, "events").select("event_id", "event_type", props.alias("props"))
     return parse_documents(events, "props", "k bigint")
+
+
+@query("""
+    SELECT doc_id, text, CAST(list_sort([lang, 'text']) AS VARCHAR[])[1] AS first_tag,
+           source AS repo, CAST(NULL AS VARCHAR) AS _reject
+    FROM documents
+""")
+def document_provenance(spark: SparkSession, folder: str) -> DataFrame:
+    """Whole documents as JSON text, with lists and where they are from, read by their model."""
+    source = F.struct(F.col("source").alias("repo")).alias("__source__")
+    tags = F.sort_array(F.array("lang", F.lit("text"))).alias("tags")
+    texts = load(spark, folder, "documents").select(
+        F.to_json(F.struct("doc_id", "text", tags, source)).alias("json")
+    )
+    model = "doc_id bigint, text string, tags array<string>, __source__ struct<repo: string>"
+    return parse_documents(texts, "json", model).select(
+        "doc_id", "text", F.col("tags")[0].alias("first_tag"), "__source__.repo", "_reject"
+    )

@@ -19,7 +19,9 @@ def document_tables(spark: SparkSession, folder: str) -> DocumentTables:
 
 
 @query("""
-    SELECT doc_id, lang, source, n_chars, source || '/' || doc_id AS "Document_id"
+    SELECT doc_id, lang, source, n_chars,
+           left(sha256(CAST(to_json({'source': source, 'doc_id': doc_id}) AS VARCHAR)), 32)
+               AS "Document_id"
     FROM documents
 """)
 def shred_root(spark: SparkSession, folder: str) -> DataFrame:
@@ -27,6 +29,15 @@ def shred_root(spark: SparkSession, folder: str) -> DataFrame:
     return shred(documents, "Document", key=["source", "doc_id"])["Document"]
 
 
+@query("""
+    SELECT DISTINCT url, html FROM pages
+""")
+def shred_without_key(spark: SparkSession, folder: str) -> DataFrame:
+    """Pages offered twice, of which the copies count as one."""
+    pages = load(spark, folder, "pages").select("url", "html")
+    return shred(pages.union(pages), "Page")["Page"].select("url", "html")
+
+
 @query(f"""
     SELECT text, left(sha256(doc_id || '/paragraphs/' || pos), 32) AS "Document_paragraphs_id",
            doc_id AS "Document_id", CAST(pos AS INTEGER) AS _pos

@@ -6,7 +6,7 @@ from collections.abc import Mapping
 
 from pyspark.sql import SparkSession
 
-from nestframe.plans.layout import Table
+from nestframe.plans.layout import Kind, Table
 from nestframe.plans.tables import DocumentTables
 
 
@@ -30,10 +30,15 @@ def read_database(
     properties: Mapping[str, str],
     slices: int = 16,
 ) -> DocumentTables:
-    """The stored tables of a layout, each read in ``slices`` parallel parts."""
+    """The stored tables of a layout, each read in ``slices`` parallel parts.
+
+    The parts are by the own key of a row, which is spread evenly however long the lists are; only
+    values in lists, which have none, go by that of their parent.
+    """
     frames = {}
     for table in layout.walk():
-        predicates = key_slices(table.parent_key or table.key, slices)
+        column = table.parent_key if table.kind is Kind.VALUES else table.key
+        predicates = key_slices(column, slices)
         frames[table.name] = spark.read.jdbc(
             url, table.name, predicates=predicates, properties=dict(properties)
         )

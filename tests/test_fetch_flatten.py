@@ -20,19 +20,19 @@ from nestframe import (
 
 MODEL = """
     name string, tags array<string>,
-    reactants array<struct<name: string, constant: boolean>>,
-    reactions array<struct<name: string, educts: array<struct<species: string, amount: double>>>>
+    ingredients array<struct<name: string, organic: boolean>>,
+    steps array<struct<name: string, inputs: array<struct<item: string, amount: double>>>>
 """
 
 
-def recipe(number, reactants, educts):
+def recipe(number, ingredients, inputs):
     return {
         "name": f"d{number:02d}",
         "tags": ["t"],
-        "reactants": [{"name": r, "constant": True} for r in reactants],
-        "reactions": [
-            {"name": f"r{i}", "educts": [{"species": s, "amount": 1.0} for s in group]}
-            for i, group in enumerate(educts)
+        "ingredients": [{"name": r, "organic": True} for r in ingredients],
+        "steps": [
+            {"name": f"r{i}", "inputs": [{"item": s, "amount": 1.0} for s in group]}
+            for i, group in enumerate(inputs)
         ],
     }
 
@@ -40,7 +40,7 @@ def recipe(number, reactants, educts):
 @pytest.fixture(scope="module")
 def tables(spark):
     documents = [
-        recipe(n, ["Aldehyde", "Aldehyde"] if n < 5 else ["Substrate"], [["a"], ["b", f"s{n}"]])
+        recipe(n, ["Sugar", "Sugar"] if n < 5 else ["Salt"], [["a"], ["b", f"s{n}"]])
         for n in range(25)
     ]
     return shred(spark.createDataFrame(documents, MODEL), "Recipe", key="name")
@@ -53,15 +53,15 @@ def names(frame):
 def test_join_filter_and_recover(tables):
     """Join with a child, filter on its renamed column, and get the whole documents back."""
     joined = join_renamed(
-        tables["Recipe"], tables["Recipe_reactants"], "Recipe_id", "{name}_reactants"
+        tables["Recipe"], tables["Recipe_ingredients"], "Recipe_id", "{name}_ingredients"
     )
-    assert "name_reactants" in joined.columns
-    filtered = joined.where(equals(joined, "name_reactants", "Aldehyde"))
+    assert "name_ingredients" in joined.columns
+    filtered = joined.where(equals(joined, "name_ingredients", "Sugar"))
     assert filtered.count() == 10
     found = fetch(tables, matching=filtered)
     assert names(found) == [f"d{n:02d}" for n in range(5)]
-    assert found.where(~any_item_equals("reactants.name", "Aldehyde")).isEmpty()
-    assert all(len(row["reactions"]) == 2 for row in found.collect())
+    assert found.where(~any_item_equals("ingredients.name", "Sugar")).isEmpty()
+    assert all(len(row["steps"]) == 2 for row in found.collect())
 
 
 def test_rows_are_bounded_at_the_root_only(tables):
@@ -69,7 +69,7 @@ def test_rows_are_bounded_at_the_root_only(tables):
     assert names(fetch(tables, max_rows=2)) == ["d00", "d01"]
     assert fetch(tables, max_rows=None).count() == 25
     assert fetch(tables, max_rows=2_000).count() == 25
-    assert [len(r["reactants"]) for r in fetch(tables, max_rows=2).collect()] == [2, 2]
+    assert [len(r["ingredients"]) for r in fetch(tables, max_rows=2).collect()] == [2, 2]
 
 
 def test_keys_without_document_do_not_count(spark, tables):
@@ -85,14 +85,14 @@ def test_by_id(tables):
 
 
 def test_part_of_a_document_as_document(tables):
-    key = tables["Recipe_reactions"].where("Recipe_id = 'd04' and name = 'r1'").first()
-    found = fetch_by_id(tables, key["Recipe_reactions_id"], name="Recipe_reactions").first()
-    assert [e["species"] for e in found["educts"]] == ["b", "s4"]
-    assert fetch(tables, "Recipe_reactions", max_rows=3).count() == 3
+    key = tables["Recipe_steps"].where("Recipe_id = 'd04' and name = 'r1'").first()
+    found = fetch_by_id(tables, key["Recipe_steps_id"], name="Recipe_steps").first()
+    assert [e["item"] for e in found["inputs"]] == ["b", "s4"]
+    assert fetch(tables, "Recipe_steps", max_rows=3).count() == 3
 
 
 def test_filter_two_levels_down(tables):
-    keys = owner_keys(tables, "Recipe_reactions_educts", F.col("species").isin("s3", "s20"))
+    keys = owner_keys(tables, "Recipe_steps_inputs", F.col("item").isin("s3", "s20"))
     assert names(fetch(tables, matching=keys)) == ["d03", "d20"]
     root = owner_keys(tables, "Recipe", F.col("name") > "d22")
     assert names(fetch(tables, matching=root)) == ["d23", "d24"]
@@ -100,7 +100,7 @@ def test_filter_two_levels_down(tables):
 
 def test_nested_path(tables):
     documents = assemble(tables)
-    hit = documents.where(any_item_equals("reactions[].educts.species", "s9"))
+    hit = documents.where(any_item_equals("steps[].inputs.item", "s9"))
     assert names(hit) == ["d09"]
     assert documents.where(any_item_equals("tags", "t")).count() == 25
 
@@ -111,18 +111,18 @@ def test_literal_keys_reach_the_scans(spark, tables, tmp_path):
         frame.write.parquet(str(tmp_path / name))
         stored[name] = spark.read.parquet(str(tmp_path / name))
     stored = DocumentTables(tables.layout, stored)
-    plan = fetch(stored, max_rows=2, fields=["name", "reactions.educts.species"])
+    plan = fetch(stored, max_rows=2, fields=["name", "steps.inputs.item"])
     text = plan._jdf.queryExecution().explainString(
         spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
     )
-    assert text.count("In(Recipe_id, [d00,d01])") == 3  # the reactions also choose the educts
+    assert text.count("In(Recipe_id, [d00,d01])") == 3  # the steps also choose the inputs
     schemas = [line for line in text.splitlines() if line.startswith("ReadSchema")]
-    assert not any(word in line for word in ("amount", "constant", "tags") for line in schemas)
+    assert not any(word in line for word in ("amount", "organic", "tags") for line in schemas)
 
 
 def test_semi_join_comes_before_collecting(spark, tables):
-    keys = owner_keys(tables, "Recipe_reactants", F.col("name") == "Aldehyde")
-    plan = fetch(tables, matching=keys, max_rows=None, fields=["reactants"])
+    keys = owner_keys(tables, "Recipe_ingredients", F.col("name") == "Sugar")
+    plan = fetch(tables, matching=keys, max_rows=None, fields=["ingredients"])
     text = plan._jdf.queryExecution().optimizedPlan().toString()
     assert text.index("collect_list") < text.rindex("LeftSemi")
 
@@ -168,12 +168,12 @@ def test_flatten_leaves_out_empty_tables(chain):
 def test_siblings_are_not_multiplied(tables):
     with pytest.raises(ValueError, match="side by side"):
         flatten(tables)
-    assert flatten(tables, "Recipe_reactants").count() == 30
+    assert flatten(tables, "Recipe_ingredients").count() == 30
     branches = flatten_branches(tables)
     assert {name: frame.count() for name, frame in branches.items()} == {
         "Recipe_tags": 25,
-        "Recipe_reactants": 30,
-        "Recipe_reactions_educts": 75,
+        "Recipe_ingredients": 30,
+        "Recipe_steps_inputs": 75,
     }
 
 

@@ -123,6 +123,20 @@ def test_round_trip_without_natural_key(documents):
     assert by_name(rebuilt) == {d["name"]: strip_ids(d) for d in DOCUMENTS}
 
 
+def test_copies_without_natural_key_are_one_document(documents):
+    rebuilt = assemble(shred(documents.union(documents), "Doc"))
+    assert rebuilt.count() == 3
+    assert by_name(rebuilt) == {d["name"]: strip_ids(d) for d in DOCUMENTS}
+
+
+def test_composite_keys_do_not_run_together(spark):
+    rows = spark.createDataFrame(
+        [("a/b", "c"), ("a", "b/c"), (None, "b"), ("b", None)], "k string, l string"
+    )
+    tables = shred(rows, "D", key=["k", "l"])
+    assert tables["D"].select("D_id").distinct().count() == 4
+
+
 def test_round_trip_with_composite_key_and_own_ids(documents):
     tables = shred(documents, "Doc", key=["name", "size"], keep_id=True)
     rebuilt = assemble(tables).drop("_part", "id").select(documents.columns)

@@ -21,8 +21,8 @@ from nestframe import (
 from nestframe.sources import key_slices
 
 MODEL = """
-    name string, value double, nested array<struct<another_value: string, value: double>>,
-    some_values array<string>, __source__ struct<repo: string, commit: string>
+    name string, value double, nested array<struct<note: string, value: double>>,
+    words array<string>, __source__ struct<repo: string, commit: string>
 """
 
 
@@ -30,8 +30,8 @@ def document(name, n=2):
     return {
         "name": name,
         "value": 100.0,
-        "nested": [{"another_value": f"v{i}", "value": 2.5} for i in range(n)],
-        "some_values": ["Hello", "World"][:n],
+        "nested": [{"note": f"v{i}", "value": 2.5} for i in range(n)],
+        "words": ["one", "two"][:n],
         "__source__": {"repo": "r", "commit": "c"},
     }
 
@@ -76,7 +76,7 @@ def test_insert_twice_adds_nothing(spark):
         "root",
         "root___source__",
         "root_nested",
-        "root_some_values",
+        "root_words",
     ]
     more = stored(spark, "inserted", [document("b", 0), document("c", 1)])
     insert(more, "inserted")
@@ -85,11 +85,11 @@ def test_insert_twice_adds_nothing(spark):
     assert {n: f.count() for n, f in tables.frames.items()} == {
         "Root": 3,
         "Root_nested": 3,
-        "Root_some_values": 3,
+        "Root_words": 3,
         "Root___source__": 3,
     }
     rows = {r["name"]: r.asDict(recursive=True) for r in assemble(tables).collect()}
-    assert rows["c"]["some_values"] == ["Hello"] and rows["b"]["nested"] == []
+    assert rows["c"]["words"] == ["one"] and rows["b"]["nested"] == []
     assert rows["a"]["__source__"]["commit"] == "c"
 
 
@@ -105,7 +105,7 @@ def test_buckets_save_the_shuffles(spark):
     tables = stored(spark, "bucketed", [document(f"n{i}") for i in range(40)])
     save_tables(tables, "bucketed", buckets=4)
     loaded = load_tables(spark, tables.layout, "bucketed")
-    assert loaded.clustered == {"Root_nested", "Root_some_values", "Root___source__"}
+    assert loaded.clustered == {"Root_nested", "Root_words", "Root___source__"}
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
     try:
         documents = assemble(loaded)
