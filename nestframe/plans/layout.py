@@ -161,6 +161,9 @@ def _object_table(struct, name, kind, attr, parent, path, names, keep_id) -> Tab
         else:
             _reject_maps(f.dataType, child_path)
             scalars.append(f)
+    odd = [f.name for f in fields if set(f.name) & set(".`")]
+    if odd:
+        raise ValueError(f"Names with dots or backticks have no column form: {odd}.")
     columns = [f.name for f in fields] + list(RESERVED) + [f"{name}_id"]
     _require_distinct(columns + ([f"{parent}_id"] if parent else []), f"columns of {name!r}")
     return Table(

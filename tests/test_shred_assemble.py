@@ -315,5 +315,7 @@ def test_schema_is_rejected(spark):
         table_layout("Name string, name string", "D")
     with pytest.raises(ValueError):
         table_layout("_pos int", "D")
+    with pytest.raises(ValueError):
+        table_layout("`a.b` int", "D")
     with pytest.raises(ValueError):
         shred(spark.createDataFrame([(1, "0")], "a int, _part string"), "D")
