@@ -66,7 +66,8 @@ def text_output(documents: DataFrame, model: T.StructType | None = None) -> Data
 
     def leaf(column: Column, dtype: T.DataType) -> Column:
         if isinstance(dtype, T.BinaryType):
-            return F.translate(F.base64(column), "\r\n", "")  # Spark breaks the text into lines
+            # Spark breaks the text into lines.
+            return F.replace(F.base64(column), F.lit("\r\n"), F.lit(""))
         return column
 
     plain = rewrite(documents, leaf)

@@ -60,10 +60,13 @@ def _shred_attribute(
 
     ``owners`` has the key of the owning objects, ``value`` is the attribute in it. Each table
     unpacks only the part of the attribute it stores, so that the scan can leave out the rest.
+    The outer explode, whose empty rows go again, spares a derived attribute the second evaluation
+    in the filter that Spark puts before an inner one.
     """
     owner_key = table.parent_key
     if table.kind is Kind.VALUES:
-        values = owners.select(F.posexplode(value).alias(POS, table.attr), F.col(owner_key))
+        values = owners.select(F.posexplode_outer(value).alias(POS, table.attr), F.col(owner_key))
+        values = values.where(F.col(POS).isNotNull())
         frames[table.name] = values.select(table.attr, owner_key, POS)
         return
 
@@ -71,7 +74,7 @@ def _shred_attribute(
         if table.kind is Kind.SINGLE:
             items = owners.select(owner_key, F.lit(0).alias(POS), part.alias(ITEM))
         else:
-            items = owners.select(owner_key, F.posexplode(part).alias(POS, ITEM))
+            items = owners.select(owner_key, F.posexplode_outer(part).alias(POS, ITEM))
         key = child_key(F.col(owner_key), table.attr, F.col(POS)).alias(table.key)
         return items.where(F.col(ITEM).isNotNull()).select(key, owner_key, POS, ITEM)
 

@@ -136,7 +136,7 @@ def canonical_nested(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", F.reverse("paragraphs").alias("paragraphs")
     )
     paragraphs = canonical(documents, by="text").select(
-        "doc_id", F.posexplode("paragraphs").alias("pos", "p")
+        "doc_id", F.posexplode_outer("paragraphs").alias("pos", "p")
     )
     return paragraphs.select(
         "doc_id", "pos", "p.text", F.array_join("p.words", " ").alias("words")
