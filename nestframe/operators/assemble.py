@@ -34,7 +34,8 @@ def assemble(
     its lists; nothing is left out. At the root the pieces are rows, told apart by ``_part``: "0",
     "1"... for stretches of the root's own lists, and "0.1", "0.2"... for later pieces of items
     on stretch "0". So the rows without a dot hold the first piece of each item exactly once.
-    By default ``list_size`` keeps a row below a million items over all levels.
+    By default ``list_size`` keeps a row below a million items along any chain of lists. Whether
+    there are such lists is found out by a Spark job when this is called.
     """
     layout = tables.layout.only(fields) if fields is not None else tables.layout
     size = list_size or _default_list_size(layout)
@@ -70,17 +71,21 @@ def _lists(layout: Table) -> list[Table]:
     return [table for table in layout.walk() if table.is_list]
 
 
-def _linked(tables: DocumentTables, table: Table) -> DataFrame:
+def _linked(rows: DataFrame, table: Table) -> DataFrame:
     """The rows that have a parent; those without belong to no document, however many they are."""
-    rows = tables[table.name]
     return rows.where(F.col(table.parent_key).isNotNull()) if table.parent_key else rows
 
 
+def _whole(tables: DocumentTables, table: Table) -> DataFrame:
+    """Where to count the rows of a parent: before a join that would bring them together."""
+    return _linked(tables.whole.get(table.name, tables[table.name]), table)
+
+
 def _any_list_over(tables: DocumentTables, layout: Table, size: int) -> bool:
     """Looks for one over-long list. On ``_pos`` the scan is cut short by the column statistics."""
     found = []
     for table in _lists(layout):
-        rows = _linked(tables, table)
+        rows = _whole(tables, table)
         if tables.has_pos(table):
             over = rows.where(F.col(POS) >= size)
         else:
@@ -94,9 +99,11 @@ def _with_positions(tables: DocumentTables, layout: Table, size: int) -> Documen
     numbered, order = {}, {}
     for table in _lists(layout):
         if not tables.has_pos(table):
+            rows = _linked(tables[table.name], table)
+            parents = long_parents(_whole(tables, table), table.parent_key, size)
             order[table.name] = tables.order_columns(table)
             numbered[table.name] = number_long_lists(
-                _linked(tables, table), table.parent_key, order[table.name], size
+                rows, parents, table.parent_key, order[table.name]
             )
     return tables.with_frames(numbered, order={**tables.order, **order})
 
@@ -104,7 +111,7 @@ def _with_positions(tables: DocumentTables, layout: Table, size: int) -> Documen
 def _objects(table: Table, plan: _Plan) -> DataFrame:
     """One row per object, or per piece of one, with its attributes and its link upwards."""
     tables = plan.tables
-    rows = _linked(tables, table)
+    rows = _linked(tables[table.name], table)
     columns = [F.col(f.name) for f in table.scalars]
     if tables.has_key(table):
         columns.append(F.col(table.key).alias(KEY))
@@ -147,7 +154,7 @@ def _gather(table: Table, plan: _Plan) -> tuple[DataFrame, DataFrame]:
     Also the rows it is made from cut down to their link, which tells the pieces there are.
     """
     if table.kind is Kind.VALUES:
-        rows = _linked(plan.tables, table)
+        rows = _linked(plan.tables[table.name], table)
         order = plan.tables.order_column(table)
         columns = [F.col(table.parent_key).alias(KEY), order.alias(ORDER)]
         if plan.split:

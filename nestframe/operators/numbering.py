@@ -21,9 +21,9 @@ def long_parents(rows: DataFrame, parent_key: str, list_size: int) -> DataFrame:
 
 
 def number_long_lists(
-    rows: DataFrame, parent_key: str, order: Sequence[str], list_size: int
+    rows: DataFrame, parents: DataFrame, parent_key: str, order: Sequence[str]
 ) -> DataFrame:
-    """Adds ``_pos``: the position 0, 1, 2... of a row in a long list, and 0 in all others.
+    """Adds ``_pos``: the position 0, 1, 2... of a row in the lists of ``parents``, and 0 in others.
 
     No task sees a whole long list. Their rows are sorted over the cluster by parent and order, so
     that each slice of the sort holds a stretch of a few lists, and numbered from the row number
@@ -31,7 +31,7 @@ def number_long_lists(
     rows be cut too. Tie-breaker and slices are written out, as a retried task must see the same.
     """
     first = F.lit(0).cast("long")
-    parents = durable(long_parents(rows, parent_key, list_size))
+    parents = durable(parents)
     if parents.isEmpty():
         return rows.withColumn(POS, first)
     others = rows.join(parents, parent_key, "left_anti").withColumn(POS, first)

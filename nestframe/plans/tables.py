@@ -18,7 +18,8 @@ class DocumentTables:
     ``order`` gives the sort columns of list tables that have no ``_pos`` column. ``rows_fit``
     promises that every document fits one row, as is the case for tables shredded from rows; it
     saves ``assemble`` the look for over-long lists. ``clustered`` names the tables stored in
-    buckets by the key of their parent.
+    buckets by the key of their parent. ``whole`` has the full tables of those in ``frames`` that
+    are selections by a join.
     """
 
     layout: Table
@@ -26,6 +27,7 @@ class DocumentTables:
     order: Mapping[str, Sequence[str]] = field(default_factory=dict)
     rows_fit: bool = False
     clustered: frozenset[str] = frozenset()
+    whole: Mapping[str, DataFrame] = field(default_factory=dict)
 
     def __post_init__(self) -> None:
         missing = [t.name for t in self.layout.walk() if t.name not in self.frames]

@@ -1,5 +1,7 @@
 """Selecting documents, and wide tables."""
 
+from importlib import import_module
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -18,6 +20,8 @@ from nestframe import (
     table_layout,
 )
 
+FETCHING = import_module("nestframe.operators.fetch")
+
 MODEL = """
     name string, tags array<string>,
     ingredients array<struct<name: string, organic: boolean>>,
@@ -84,6 +88,32 @@ def test_by_id(tables):
     assert fetch_by_id(tables, "nothing").isEmpty()
 
 
+def test_many_keys_are_joined(tables, monkeypatch):
+    monkeypatch.setattr(FETCHING, "LITERAL_KEYS", 3)
+    few, many = fetch(tables, max_rows=2), fetch(tables, max_rows=4)
+    for documents, expected in ((few, 2), (many, 4)):
+        rows = documents.collect()
+        assert len(rows) == expected
+        assert all(len(row["steps"][1]["inputs"]) == 2 for row in rows)
+
+
+@pytest.mark.parametrize("literal_keys", [0, 1000])
+def test_long_lists_of_chosen_documents(tables, monkeypatch, literal_keys):
+    monkeypatch.setattr(FETCHING, "LITERAL_KEYS", literal_keys)
+    unnumbered = {name: frame.drop("_pos") for name, frame in tables.frames.items()}
+    plain = tables.with_frames(unnumbered, rows_fit=False)
+    keys = owner_keys(tables, "Recipe_ingredients", F.col("name") == "Sugar")
+    for found in (fetch(plain, max_rows=5, list_size=1), fetch(plain, matching=keys, list_size=1)):
+        pieces = [r.asDict(recursive=True) for r in found.collect()]
+        assert {p["name"] for p in pieces} == {f"d{n:02d}" for n in range(5)}
+        steps = [s for p in pieces for s in p["steps"]]
+        assert len({s["id"] for s in steps}) == 10
+        assert sorted(i["item"] for s in steps for i in s["inputs"]) == sorted(
+            ["a", "b"] * 5 + [f"s{n}" for n in range(5)]
+        )
+        assert all(len(s["inputs"]) <= 1 for s in steps)
+
+
 def test_part_of_a_document_as_document(tables):
     key = tables["Recipe_steps"].where("Recipe_id = 'd04' and name = 'r1'").first()
     found = fetch_by_id(tables, key["Recipe_steps_id"], name="Recipe_steps").first()
@@ -115,7 +145,8 @@ def test_literal_keys_reach_the_scans(spark, tables, tmp_path):
     text = plan._jdf.queryExecution().explainString(
         spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
     )
-    assert text.count("In(Recipe_id, [d00,d01])") == 3  # the steps also choose the inputs
+    assert text.count("In(Recipe_id, [d00,d01])") == 2
+    assert text.count("In(Recipe_steps_id, [") == 1 and "Semi" not in text
     schemas = [line for line in text.splitlines() if line.startswith("ReadSchema")]
     assert not any(word in line for word in ("amount", "organic", "tags") for line in schemas)
 
