@@ -102,8 +102,9 @@ def _with_positions(tables: DocumentTables, layout: Table, size: int) -> Documen
             rows = _linked(tables[table.name], table)
             parents = long_parents(_whole(tables, table), table.parent_key, size)
             order[table.name] = tables.order_columns(table)
+            unique = table.key if tables.has_key(table) else None
             numbered[table.name] = number_long_lists(
-                rows, parents, table.parent_key, order[table.name]
+                rows, parents, table.parent_key, order[table.name], unique
             )
     return tables.with_frames(numbered, order={**tables.order, **order})
 

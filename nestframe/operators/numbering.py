@@ -21,14 +21,19 @@ def long_parents(rows: DataFrame, parent_key: str, list_size: int) -> DataFrame:
 
 
 def number_long_lists(
-    rows: DataFrame, parents: DataFrame, parent_key: str, order: Sequence[str]
+    rows: DataFrame,
+    parents: DataFrame,
+    parent_key: str,
+    order: Sequence[str],
+    unique: str | None = None,
 ) -> DataFrame:
     """Adds ``_pos``: the position 0, 1, 2... of a row in the lists of ``parents``, and 0 in others.
 
     No task sees a whole long list. Their rows are sorted over the cluster by parent and order, so
     that each slice of the sort holds a stretch of a few lists, and numbered from the row number
     in the slice and the rows of the parent in earlier slices. A tie-breaker lets a run of equal
-    rows be cut too. Tie-breaker and slices are written out, as a retried task must see the same.
+    rows be cut too: the column ``unique``, or else a running number. The running numbers and the
+    slices are written out, as a retried task must see the same.
     """
     first = F.lit(0).cast("long")
     parents = durable(parents)
@@ -37,8 +42,9 @@ def number_long_lists(
     others = rows.join(parents, parent_key, "left_anti").withColumn(POS, first)
 
     tied = rows.join(parents, parent_key, "left_semi")
-    tied = durable(tied.withColumn(_TIE, F.monotonically_increasing_id()))
-    ordering = [parent_key, *order, _TIE]
+    if unique is None:
+        tied = durable(tied.withColumn(_TIE, F.monotonically_increasing_id()))
+    ordering = [parent_key, *order, unique or _TIE]
     sliced = durable(
         tied.repartitionByRange(*ordering)
         .sortWithinPartitions(*ordering)
