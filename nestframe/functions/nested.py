@@ -52,7 +52,9 @@ def canonical(frame: DataFrame, by: str | None = None) -> DataFrame:
 
     def sort(column: Column, element: T.DataType) -> Column:
         if by and isinstance(element, T.StructType) and by in element.names:
-            keyed = F.transform(column, lambda x: F.struct(x.getField(by).alias("by"), x.alias("x")))
+            keyed = F.transform(
+                column, lambda x: F.struct(x.getField(by).alias("by"), x.alias("x"))
+            )
             return F.sort_array(keyed).getField("x")
         return F.sort_array(column)
 

@@ -75,7 +75,7 @@ def flatten_branches(
     skipped: set[str] = set()
     if skip_empty:
         _skip_empty(tables, tables.layout, skipped)
-    kept = tables if not skipped else tables.with_frames({}, layout=_without(tables.layout, skipped))
+    kept = tables.with_frames({}, layout=_without(tables.layout, skipped))
     return {
         end: flatten(kept, end, how, skip_empty=False) for end in _list_ends(kept.layout, set())
     }

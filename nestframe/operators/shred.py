@@ -79,27 +79,27 @@ def _shred_attribute(
         return items.where(F.col(ITEM).isNotNull()).select(key, owner_key, POS, ITEM)
 
     item = F.col(ITEM)
-    scalars, marker = _scalar_part(table, value)
-    objects = unpacked(scalars)
-    if marker:
-        objects = objects.where(item.getField(marker).isNotNull())
-    elif drop_all_null:
-        objects = objects.where(
-            reduce(Column.__or__, (item.getField(name).isNotNull() for name in table.fields))
-        )
+    needed = list(table.fields) if drop_all_null else []
+    if _scalars_tell_null(table):
+        needed = [f.name for f in table.scalars]
+        value_of_scalars = F.arrays_zip(*(value.getField(name) for name in needed))
+        objects = unpacked(value_of_scalars)
+    else:
+        objects = unpacked(value)
+    if needed:
+        present = (item.getField(name).isNotNull() for name in needed)
+        objects = objects.where(reduce(Column.__or__, present))
     columns = [item.getField(f.name).alias(f.name) for f in table.scalars]
     frames[table.name] = objects.select(*columns, table.key, owner_key, POS)
     for child in table.children:
         _shred_attribute(child, unpacked(value.getField(child.attr)), item, frames, drop_all_null)
 
 
-def _scalar_part(table: Table, value: Column) -> tuple[Column, str | None]:
-    """What to unpack for the scalars of a table.
+def _scalars_tell_null(table: Table) -> bool:
+    """Whether the scalars of a table are unpacked without the lists beside them.
 
-    Whether an item of a list is NULL is seen on the whole item only, which brings its inner lists
-    along, unless one of its scalars is required: that one is then NULL for a NULL item and no other.
+    That an item of a list is NULL is seen on the whole item only, which brings its inner lists
+    along. If the model requires one of its scalars, an item without any of them is taken for NULL.
     """
-    required = [f.name for f in table.scalars if not f.nullable]
-    if table.kind is Kind.OBJECTS and table.children and required:
-        return F.arrays_zip(*(value.getField(f.name) for f in table.scalars)), required[0]
-    return value, None
+    required = any(not f.nullable for f in table.scalars)
+    return table.kind is Kind.OBJECTS and bool(table.children) and required

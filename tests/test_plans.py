@@ -93,6 +93,18 @@ def test_shredding_shuffles_nothing_and_reads_what_it_stores(stored):
         assert shuffles(tables[name]) == 0
 
 
+def test_items_that_break_the_model_are_kept(spark):
+    """A required value may be missing in the data; the audits report it, the row stays."""
+    loose = "name string, parts array<struct<label: string, weight: double, marks array<bigint>>>"
+    rows = [("a", [(None, 1.0, [1]), None, ("l", None, [2])])]
+    element = T.StructType(MODEL["parts"].dataType.elementType.fields[:3])
+    model = T.StructType([MODEL["name"], T.StructField("parts", T.ArrayType(element))])
+    tables = shred(spark.createDataFrame(rows, loose), "D", key="name", model=model)
+    parts = tables["D_parts"].orderBy("_pos").collect()
+    assert [(r["label"], r["weight"], r["_pos"]) for r in parts] == [(None, 1.0, 0), ("l", None, 2)]
+    assert tables["D_parts_marks"].count() == 2
+
+
 def test_unrequested_columns_and_tables_are_not_read(stored):
     _, tables = stored
     schemas = read_schemas(assemble(tables, ["name", "parts.label"]))
