@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from nestframe.llm.dart_minhash import near_duplicates
 from nestframe.llm.suffix_dedup import remove_repeats
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -34,3 +35,9 @@ def op7_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
         F.size("spans").cast("long").alias("n_spans"),
         F.sha2("kept", 256).alias("kept_sha256"),
     )
+
+
+@query
+def op10_dart_minhash(spark: SparkSession, folder: str) -> DataFrame:
+    """The class of near duplicates of each document and how many links its text has."""
+    return near_duplicates(table(spark, folder, "documents"))
