@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from nestframe.llm.dart_minhash import near_duplicates
+from nestframe.llm.packing import pack
 from nestframe.llm.suffix_dedup import remove_repeats
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -41,3 +43,12 @@ def op7_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
 def op10_dart_minhash(spark: SparkSession, folder: str) -> DataFrame:
     """The class of near duplicates of each document and how many links its text has."""
     return near_duplicates(table(spark, folder, "documents"))
+
+
+@query
+def op2_mixture_packing(spark: SparkSession, folder: str) -> DataFrame:
+    """The pieces of the documents' tokens in sequences of 2048 in which every source keeps its share."""
+    pieces = pack(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    return pieces.select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset", "source"
+    )
