@@ -14,11 +14,16 @@ def durable(frame: DataFrame) -> DataFrame:
     A written table, unlike a checkpoint, is read column by column and has a known size.
     """
     spark = frame.sparkSession
-    path = f"{_folder(spark)}/nestframe-{uuid.uuid4().hex}"
+    path = shared_path(spark)
     frame.write.parquet(path)
     return spark.read.schema(frame.schema).parquet(path)
 
 
+def shared_path(spark: SparkSession) -> str:
+    """A new path in the shared folder."""
+    return f"{_folder(spark)}/nestframe-{uuid.uuid4().hex}"
+
+
 def _folder(spark: SparkSession) -> str:
     """``spark.checkpoint.dir``, or for a local session without it a temporary folder."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
