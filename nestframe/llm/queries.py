@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from nestframe.llm.dart_minhash import near_duplicates
 from nestframe.llm.packing import pack
 from nestframe.llm.suffix_dedup import remove_repeats
+from nestframe.llm.warc import archived, page_of
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -52,3 +53,31 @@ def op2_mixture_packing(spark: SparkSession, folder: str) -> DataFrame:
     return pieces.select(
         "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset", "source"
     )
+
+
+@query
+def op9_warc(spark: SparkSession, folder: str) -> DataFrame:
+    """Each page as its record in the archives says it, after writing and reading them."""
+    return archived(table(spark, folder, "pages")).where("gap IS NULL").select(
+        page_of("record_id").alias("page_id"),
+        "payload_bytes",
+        F.col("digest").alias("payload_digest"),
+        F.col("type").alias("record_type"),
+        page_of("refers_to").alias("refers_to"),
+    )
+
+
+ORACLES["op9_warc"] = """
+WITH payloads AS (
+    SELECT page_id, coalesce(html, '') AS html, strlen(coalesce(html, '')) AS payload_bytes,
+           sha256(coalesce(html, '')) AS payload_digest
+    FROM pages),
+marked AS (
+    SELECT *, CASE WHEN payload_bytes >= 100
+                   THEN min(page_id) OVER (PARTITION BY payload_digest) END AS first
+    FROM payloads)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN first <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN first <> page_id THEN first END AS refers_to
+FROM marked
+"""

@@ -254,17 +254,35 @@ def _stretches(length: int, splitters: list[bytes]) -> Callable[[pa.Table, pa.Ta
         for i, (a, size) in enumerate(zip(start.tolist(), (n + length - 1).tolist(), strict=True)):
             piece = whole[a : a + size]
             repeated[i] = seen.setdefault(piece, i) != i
-            pieces.append(None if repeated[i] else piece)
-        lead = np.array([whole[a : a + LEAD] for a in anchor.tolist()], f"S{LEAD}")
+            if not repeated[i]:
+                pieces.append(piece)
+        # Findings need no comparing: neighbours become one, and they are dealt out evenly.
+        again = np.flatnonzero(repeated)
+        opens = np.ones(len(again), bool)
+        opens[1:] = start[again][1:] != (start + n)[again][:-1]
+        ends = (start + n)[again][np.append(opens[1:], True)] if len(again) else start[:0]
+        again = again[opens]
+        first = np.flatnonzero(~repeated)
+        lead = np.array([whole[a : a + LEAD] for a in anchor[first].tolist()], f"S{LEAD}")
         low, high = np.searchsorted(limits, lead, "left"), np.searchsorted(limits, lead, "right")
-        spread = mix(block.ids[document].view(np.uint64) + start.astype(np.uint64)) if len(live) else start
+        spread = mix(block.ids[document[first]].view(np.uint64) + start[first].astype(np.uint64))
         shared = high - low > 1
-        target = np.where(shared, low + (spread % np.maximum(high - low, 1).astype(np.uint64)).astype(np.int64), low)
+        within = (spread % np.maximum(high - low, 1).astype(np.uint64)).astype(np.int64)
+        rows = np.concatenate((first, again))
         return _table(
-            [target, np.full(len(live), number), block.ids[document], block.seq[document],
-             start - block.starts[document], n, anchor - start, shared, pieces],
+            [
+                np.concatenate((np.where(shared, low + within, low), np.full(len(again), number % (len(limits) + 1)))),
+                np.full(len(rows), number),
+                block.ids[document[rows]],
+                block.seq[document[rows]],
+                start[rows] - block.starts[document[rows]],
+                np.concatenate((n[first], ends - start[again])),
+                anchor[rows] - start[rows],
+                np.concatenate((shared, np.zeros(len(again), bool))),
+                pieces + [None] * len(again),
+            ],
             _STRETCH_TYPES,
-        )
+        )
 
     return cut
 
