@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from nestframe.llm.dart_minhash import near_duplicates
 from nestframe.llm.packing import pack
+from nestframe.llm.personal_data import BASE, find_personal_data
 from nestframe.llm.suffix_dedup import remove_repeats
 from nestframe.llm.warc import archived, page_of
 
@@ -81,3 +82,18 @@ SELECT page_id, payload_bytes, payload_digest,
        CASE WHEN first <> page_id THEN first END AS refers_to
 FROM marked
 """
+
+
+@query
+def op1_personal_data(spark: SparkSession, folder: str) -> DataFrame:
+    """Personal data of each document: the four base kinds counted, and all spans."""
+    found = find_personal_data(table(spark, folder, "documents"))
+    written = lambda spans: F.array_join(
+        F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ","
+    )
+    base = F.filter("spans", lambda s: s["base"])
+    of_kind = lambda kind: F.filter(base, lambda s: s["kind"] == kind)
+    counts = [F.size(of_kind(kind)).cast("long").alias(f"n_{kind}") for kind in BASE]
+    return found.select(
+        "doc_id", *counts, F.sha2(written(base), 256).alias("base_sha256"), written(F.col("spans")).alias("spans")
+    )
