@@ -14,6 +14,15 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[ord("A") : ord("Z") + 1] += 32
 
 
+def gaps_between(words: bytes, high: bool = True) -> np.ndarray:
+    """The bytes that are none of ``words``, nor, with ``high``, part of a character beyond ASCII."""
+    gaps = np.ones(256, bool)
+    gaps[list(words)] = False
+    if high:
+        gaps[128:] = False
+    return gaps
+
+
 def buffer_of(column: pa.ChunkedArray | pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The UTF-8 bytes of a string column with the start and end of each row; null counts as empty."""
     if isinstance(column, pa.ChunkedArray):
@@ -37,33 +46,41 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """A 64-bit hash of each word (ASCII letters in lower case) and the row it lies in.
-
-    Words are runs of bytes other than blanks; a word never goes over the end of a row.
-    """
-    n = len(data)
-    if not n:
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    inside = ~_BLANKS[data]
-    first = inside.copy()
+def word_bounds(
+    data: np.ndarray, starts: np.ndarray, ends: np.ndarray, gaps: np.ndarray = _BLANKS
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Begin, end and row of each word: runs of bytes that are no ``gaps``, none of them over the end of a row."""
+    if not len(data):
+        return (np.zeros(0, np.int64),) * 3
+    inside = ~gaps[data]
+    filled = np.flatnonzero(starts < ends)
+    first, last = inside.copy(), inside.copy()
     first[1:] &= ~inside[:-1]
-    cuts = starts[(starts < ends)]
-    first[cuts] = inside[cuts]
-    begin = np.flatnonzero(first)
-    last = inside.copy()
+    first[starts[filled]] = inside[starts[filled]]
     last[:-1] &= ~inside[1:]
-    tails = ends[(starts < ends)] - 1
-    last[tails] = inside[tails]
-    stop = np.flatnonzero(last) + 1
-    # Sums of byte times power, so that any stretch's hash is a difference; powers are invertible.
-    power = np.cumprod(np.full(n, _MULTIPLIER, np.uint64))
-    inverse = np.cumprod(np.full(n, np.uint64(pow(int(_MULTIPLIER), -1, 1 << 64)), np.uint64))
-    sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum((_LOWER[data].astype(np.uint64) + np.uint64(1)) * power)))
-    hashes = mix((sums[stop] - sums[begin]) * inverse[begin] + (stop - begin).astype(np.uint64))
-    filled = np.flatnonzero(starts < ends)
-    row = filled[np.searchsorted(starts[filled], begin, side="right") - 1]
-    return hashes, row
+    last[ends[filled] - 1] = inside[ends[filled] - 1]
+    begin, stop = np.flatnonzero(first), np.flatnonzero(last) + 1
+    return begin, stop, filled[np.searchsorted(starts[filled], begin, side="right") - 1]
+
+
+class Hasher:
+    """64-bit hashes of any stretches of a buffer: sums of byte times power, whose differences are hashes."""
+
+    def __init__(self, data: np.ndarray, lower: bool = True):
+        n = len(data)
+        power = np.cumprod(np.full(n, _MULTIPLIER, np.uint64))
+        self.inverse = np.cumprod(np.full(n, np.uint64(pow(int(_MULTIPLIER), -1, 1 << 64)), np.uint64))
+        plain = _LOWER[data] if lower else data
+        self.sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum((plain.astype(np.uint64) + np.uint64(1)) * power)))
+
+    def __call__(self, begin: np.ndarray, stop: np.ndarray) -> np.ndarray:
+        return mix((self.sums[stop] - self.sums[begin]) * self.inverse[begin] + (stop - begin).astype(np.uint64))
+
+
+def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A hash of each word between blanks (ASCII letters in lower case) and the row it lies in."""
+    begin, stop, row = word_bounds(data, starts, ends)
+    return (Hasher(data)(begin, stop) if len(begin) else np.zeros(0, np.uint64)), row
 
 
 def shingles(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:

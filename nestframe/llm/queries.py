@@ -11,7 +11,9 @@ from pyspark.sql import functions as F
 from nestframe.llm.dart_minhash import near_duplicates
 from nestframe.llm.packing import pack
 from nestframe.llm.personal_data import BASE, find_personal_data
+from nestframe.llm.quality_qda import fit_quality, score_quality
 from nestframe.llm.suffix_dedup import remove_repeats
+from nestframe.llm.toxicity import fit_toxicity, score_toxicity
 from nestframe.llm.warc import archived, page_of
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -97,3 +99,17 @@ def op1_personal_data(spark: SparkSession, folder: str) -> DataFrame:
     return found.select(
         "doc_id", *counts, F.sha2(written(base), 256).alias("base_sha256"), written(F.col("spans")).alias("spans")
     )
+
+
+@query
+def op4_quality_qda(spark: SparkSession, folder: str) -> DataFrame:
+    """Quality of each document, learned from the labels that are not held out."""
+    documents = table(spark, folder, "documents")
+    return score_quality(documents, fit_quality(documents, table(spark, folder, "labels")))
+
+
+@query
+def op5_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    """Toxicity of each document, learned from the labels that are not held out."""
+    documents = table(spark, folder, "documents")
+    return score_toxicity(documents, fit_toxicity(documents, table(spark, folder, "labels")))
