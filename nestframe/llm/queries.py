@@ -9,11 +9,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from nestframe.llm.dart_minhash import near_duplicates
+from nestframe.llm.line_rules import BOILERPLATE, WORD, clean_lines
 from nestframe.llm.packing import pack
 from nestframe.llm.personal_data import BASE, find_personal_data
 from nestframe.llm.quality_qda import fit_quality, score_quality
 from nestframe.llm.suffix_dedup import remove_repeats
 from nestframe.llm.toxicity import fit_toxicity, score_toxicity
+from nestframe.llm.vector_search import nearest_vectors
 from nestframe.llm.warc import archived, page_of
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -113,3 +115,60 @@ def op5_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     """Toxicity of each document, learned from the labels that are not held out."""
     documents = table(spark, folder, "documents")
     return score_toxicity(documents, fit_toxicity(documents, table(spark, folder, "labels")))
+
+
+@query
+def op6_line_rules(spark: SparkSession, folder: str) -> DataFrame:
+    """Counts and verdict of line-first cleaning for each document."""
+    return clean_lines(table(spark, folder, "documents")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
+    )
+
+
+_BLANK = "[\\x20\\x09-\\x0D]"
+ORACLES["op6_line_rules"] = f"""
+WITH texts AS (
+    SELECT row_number() OVER () AS place, doc_id, coalesce(text, '') AS text FROM documents),
+split AS (
+    SELECT *, list_filter(regexp_split_to_array(text, '{_BLANK}+'), w -> w <> '') AS words,
+           list_filter(string_split(text, chr(10)), l -> regexp_matches(l, '[^\\x20\\x09-\\x0D]')) AS lines
+    FROM texts),
+runs AS (
+    SELECT place, i, words[i:i + 4] AS run
+    FROM (SELECT place, words, unnest(range(1, len(words) - 3)) AS i FROM split)),
+repeated AS (
+    SELECT place, i FROM (SELECT place, i, count(*) OVER (PARTITION BY place, run) AS n FROM runs) WHERE n > 1),
+covered AS (
+    SELECT place, sum(least(5, coalesce(following - i, 5))) AS n
+    FROM (SELECT place, i, lead(i) OVER (PARTITION BY place ORDER BY i) AS following FROM repeated)
+    GROUP BY place),
+lines AS (
+    SELECT DISTINCT place, line FROM (SELECT place, unnest(lines) AS line FROM split)),
+remaining AS (
+    SELECT place, sum(length(regexp_replace(line, '{_BLANK}+', '', 'g'))) AS n
+    FROM lines
+    WHERE NOT (len(regexp_extract_all(line, '{_BLANK}[|»>]{_BLANK}')) >= 2
+               OR len(regexp_extract_all(line, '[#*$%&|<>]')) > 0.1::DOUBLE * length(line)
+               OR (NOT regexp_matches(line, '(?:{WORD}{_BLANK}+){{2}}{WORD}')
+                   AND NOT regexp_matches(line, '[.!?:;"'')»”]{_BLANK}*\\z'))
+               OR regexp_matches(line, '(?i)(?:{"|".join(BOILERPLATE)})'))
+    GROUP BY place),
+counted AS (
+    SELECT place, doc_id, len(words) AS n_words, length(array_to_string(words, '')) AS word_chars,
+           len(regexp_extract_all(text, '[#*$%&|<>]')) AS n_symbols,
+           len(lines) - len(list_distinct(lines)) AS n_dup_lines
+    FROM split),
+judged AS (
+    SELECT counted.*, coalesce(covered.n, 0)::BIGINT AS n_repeat_words, coalesce(remaining.n, 0) AS n_left
+    FROM counted LEFT JOIN covered USING (place) LEFT JOIN remaining USING (place))
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+       n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
+       NOT (n_words < 10 OR 100 * n_repeat_words > 20 * n_words) AND n_left >= 0.6::DOUBLE * word_chars AS kept
+FROM judged
+"""
+
+
+@query
+def op8_vector_search(spark: SparkSession, folder: str) -> DataFrame:
+    """The five nearest vectors of every fiftieth."""
+    return nearest_vectors(table(spark, folder, "embeddings"), F.col("vec_id") % 50 == 0)
