@@ -13,6 +13,7 @@ from nestframe.llm.line_rules import BOILERPLATE, WORD, clean_lines
 from nestframe.llm.packing import pack
 from nestframe.llm.personal_data import BASE, find_personal_data
 from nestframe.llm.quality_qda import fit_quality, score_quality
+from nestframe.llm.soft_mixing import DomainModel, fit_domains, mixing_rates
 from nestframe.llm.suffix_dedup import remove_repeats
 from nestframe.llm.toxicity import fit_toxicity, score_toxicity
 from nestframe.llm.vector_search import nearest_vectors
@@ -172,3 +173,21 @@ FROM judged
 def op8_vector_search(spark: SparkSession, folder: str) -> DataFrame:
     """The five nearest vectors of every fiftieth."""
     return nearest_vectors(table(spark, folder, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+#: Shares of tokens by language, the domain that mixing steers by in the samples.
+LANGUAGES = {"en": 0.5, "de": 0.2, "fr": 0.2, "es": 0.1}
+
+
+def language_model(documents: DataFrame, known: DataFrame, labels: DataFrame) -> DomainModel:
+    """Learned from the language of the documents that have labels; ``known`` are the documents as given."""
+    of_labelled = known.select("doc_id", "lang").join(labels.select("doc_id").distinct(), "doc_id", "left_semi")
+    return fit_domains(documents, of_labelled, F.col("lang"))
+
+
+@query
+def op3_soft_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    """How often to use each document for the languages' expected tokens to be in the wanted proportions."""
+    documents = table(spark, folder, "documents")
+    model = language_model(documents, documents, table(spark, folder, "labels"))
+    return mixing_rates(documents, model, LANGUAGES).select("doc_id", "tokens", "domain", "rate", "copies")
