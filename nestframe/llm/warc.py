@@ -3,7 +3,7 @@
 ``write_warc`` writes a gzip member per record. ``read_warc`` reads such files, plain ones and mixtures. A record
 counts if its version line, header, length, end and digest are right. Where one of these fails, the reader looks for
 the next place from which a whole record can be read - a gzip member that unpacks with the right checksum, or a
-version line at the start of a line - goes on there, and logs the bytes between as a gap. So each byte of a file is
+version line with a record behind it - goes on there, and logs the bytes between as a gap. So each byte of a file is
 part of a record, of an empty member or of one gap.
 """
 
@@ -164,8 +164,6 @@ def next_valid(content: bytes, begin: int) -> int:
         else:
             place = plain.start()
             plain = _START.search(content, place + 1)
-            if content[place - 1 : place] != b"\n":
-                continue
         if unit(content, place)[2] is None:
             return place
     return len(content)
@@ -213,7 +211,9 @@ def plain_record(data: bytes, at: int) -> tuple[dict | None, int | None, str | N
         if line[:1] in b" \t" and fields:
             last = next(reversed(fields))
             fields[last] += " " + line.strip().decode("utf-8", "replace")
-        elif field := _FIELD.fullmatch(line):
+        elif (field := _FIELD.fullmatch(line)) and field[1].lower() in (name.encode() for name in fields if name != "warc-concurrent-to"):
+            return None, None, "header field twice"  # as where a record breaks off and another one follows
+        elif field:
             fields[field[1].decode().lower()] = field[2].strip().decode("utf-8", "replace")
         else:
             return None, None, "header line broken"
