@@ -113,8 +113,8 @@ def ranges(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     return np.arange(total) + shift
 
 
-def batched(function: Callable[[pa.Table], pa.Table], max_bytes: int = 4 << 20, column: str = "text"):
-    """A function for ``mapInArrow`` that hands on blocks of at most ``max_bytes`` of text.
+def batched(function: Callable[[pa.Table], pa.Table], max_bytes: int = 4 << 20, column: str = "text", rows: int = 10_000):
+    """A function for ``mapInArrow`` that hands on blocks of at most ``max_bytes`` of text and ``rows`` rows.
 
     A longer text is a block of its own; batches are cut, not joined.
     """
@@ -129,7 +129,7 @@ def batched(function: Callable[[pa.Table], pa.Table], max_bytes: int = 4 << 20,
             begin = 0
             while begin < table.num_rows:
                 base = sizes[begin - 1] if begin else 0
-                stop = max(begin + 1, int(np.searchsorted(sizes, base + max_bytes, side="right")))
+                stop = min(max(begin + 1, int(np.searchsorted(sizes, base + max_bytes, side="right"))), begin + rows)
                 yield from function(table.slice(begin, stop - begin)).to_batches()
                 begin = stop
 

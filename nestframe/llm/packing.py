@@ -17,11 +17,13 @@ from __future__ import annotations
 from bisect import bisect_right
 from collections.abc import Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from nestframe.llm.tokens import WordTokenizer
+from nestframe.llm.bytesets import buffer_of
+from nestframe.llm.tokens import shared_tokenizer
 from nestframe.operators.durable import durable
 
 #: Rows of (task, source) totals that are broadcast at most; more are joined by shuffle.
@@ -61,22 +63,30 @@ class Shares:
             self.sums.append(_sums(part))
             passed = [a + b for a, b in zip(passed, part, strict=True)]
 
-    def taken(self, g: int, source: int) -> tuple[int, int]:
-        """Of the first ``g`` tokens: those of the sources before ``source``, and those of ``source``."""
-        if not self.begins:
-            return 0, 0
-        phase = bisect_right(self.begins, g) - 1
-        amount, sums, before = g - self.begins[phase], self.sums[phase], self.before[phase]
-        low, high, ahead = 0, self.count, 0
-        while high - low > 1:
-            middle = (low + high) // 2
-            whole = sums[high] - sums[low]
-            part = amount * (sums[middle] - sums[low]) // whole if whole else 0
-            if source < middle:
-                high, amount = middle, part
-            else:
-                low, amount, ahead = middle, amount - part, ahead + part
-        return before[source] + ahead, before[source + 1] - before[source] + amount
+    def taken(self, amounts: list[int]) -> np.ndarray:
+        """A row for each amount ``g``: of the first ``g`` tokens, those of the sources before the first, second, ...
+
+        The last column is ``g`` itself. Products of totals are exact: beyond 64 bits they are Python's numbers.
+        """
+        kind = np.int64 if self.total < 1 << 31 else object
+        rows = np.zeros((len(amounts), self.count + 1), kind)
+        phase = np.array([bisect_right(self.begins, g) - 1 for g in amounts], int)
+        for number in np.unique(phase):
+            here = phase == number
+            local = np.array([g - self.begins[number] for g, mine in zip(amounts, here, strict=True) if mine], kind)
+            sums, own = self.sums[number], np.zeros((len(local), self.count), kind)
+            halves = [(0, self.count, local)]
+            while halves:
+                low, high, amount = halves.pop()
+                if high - low == 1:
+                    own[:, low] = amount
+                    continue
+                middle = (low + high) // 2
+                whole = sums[high] - sums[low]
+                part = amount * (sums[middle] - sums[low]) // whole if whole else amount * 0
+                halves += [(low, middle, part), (middle, high, amount - part)]
+            rows[here, 1:] = np.cumsum(own, axis=1) + np.array(self.before[number][1:], kind)
+        return rows
 
 
 def _sums(values: list[int]) -> list[int]:
@@ -87,42 +97,61 @@ def _sums(values: list[int]) -> list[int]:
 
 
 class Cutter:
-    """Cuts stretches of a source's queue at the ends of its turns in the windows."""
+    """Cuts stretches of a source's queue at the ends of its turns in the windows, a block of windows at a time."""
 
-    def __init__(self, shares: Shares, size: int):
-        self.shares, self.size = shares, size
-        self.windows = -(-shares.total // size)
-        self.seen: dict[tuple[int, int], tuple[int, int]] = {}
+    def __init__(self, shares: Shares, size: int, block: int = 512):
+        self.shares, self.size, self.block = shares, size, block
+        self.blocks = -(-shares.total // (size * block))
+        self.seen: dict[int, np.ndarray] = {}
+        self.turns: dict[tuple[int, int], tuple[list[int], list[int]]] = {}
         self.last: dict[int, int] = {}
 
-    def taken(self, window: int, source: int) -> tuple[int, int]:
-        key = (window, source)
-        if key not in self.seen:
-            if len(self.seen) > 200_000:
-                self.seen.clear()
-            self.seen[key] = self.shares.taken(min(window * self.size, self.shares.total), source)
-        return self.seen[key]
+    def turns_of(self, block: int, source: int) -> tuple[list[int], list[int]]:
+        """At the beginning of each window of the block and at its end: tokens of the source, and of those before it."""
+        if (block, source) not in self.turns:
+            if block not in self.seen:
+                if len(self.seen) >= 16:
+                    self.seen.clear(), self.turns.clear()
+                first = block * self.block
+                amounts = [min(w * self.size, self.shares.total) for w in range(first, first + self.block + 1)]
+                self.seen[block] = self.shares.taken(amounts)
+            rows = self.seen[block]
+            self.turns[block, source] = (rows[:, source + 1] - rows[:, source]).tolist(), rows[:, source].tolist()
+        return self.turns[block, source]
 
     def pieces(self, source: int, begin: int, length: int) -> Iterator[tuple[int, int, int, int]]:
         """``start, length, window, offset`` of the pieces of the tokens begin ... begin + length - 1 of the queue."""
-        window = self.last.get(source, 0)
-        if not self.taken(window, source)[1] <= begin < self.taken(window + 1, source)[1]:
-            window, high = 0, self.windows
-            while high - window > 1:
-                middle = (window + high) // 2
-                if self.taken(middle, source)[1] <= begin:
-                    window = middle
+        block = self.last.get(source, 0)
+        own, ahead = self.turns_of(block, source)
+        if not own[0] <= begin < own[-1]:
+            block, high = 0, self.blocks
+            while high - block > 1:
+                middle = (block + high) // 2
+                at = self.shares.taken([min(middle * self.block * self.size, self.shares.total)])[0]
+                if at[source + 1] - at[source] <= begin:
+                    block = middle
                 else:
                     high = middle
-        done = 0
+            own, ahead = self.turns_of(block, source)
+        self.last[source] = block
+        place, done = bisect_right(own, begin) - 1, 0
         while done < length:
-            (ahead, own), (next_ahead, next_own) = self.taken(window, source), self.taken(window + 1, source)
-            take = min(next_own - begin - done, length - done)
+            if place >= self.block:
+                block, place = block + 1, 0
+                own, ahead = self.turns_of(block, source)
+                continue
+            take = min(own[place + 1] - begin, length) - done
             if take > 0:
-                yield done, take, window, next_ahead - ahead + begin + done - own
+                offset = ahead[place + 1] - ahead[place] + begin + done - own[place]
+                yield done, take, block * self.block + place, offset
                 done += take
-                self.last[source] = window
-            window += 1
+            place += 1
+
+
+def _binary(data: np.ndarray, sizes: np.ndarray) -> pa.Array:
+    """The values of these sizes in bytes that lie one after the other in the array."""
+    bounds = np.concatenate(([0], np.cumsum(sizes))).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(sizes), [None, pa.py_buffer(bounds), pa.py_buffer(data)])
 
 
 def pack(
@@ -149,21 +178,25 @@ def pack(
     def tokenize(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        words, part, before = WordTokenizer(tokenizer), TaskContext.get().partitionId(), {}
-        end = end_id.to_bytes(2, "little")
+        words, part, before = shared_tokenizer(tokenizer), TaskContext.get().partitionId(), {}
         for batch in batches:
-            for begin in range(0, batch.num_rows, 256):
-                some = batch.slice(begin, 256)
-                ids = [found + end for found in words.encode(some.column("text").to_pylist())]
+            for begin in range(0, batch.num_rows, 2000):
+                some = batch.slice(begin, 2000)
+                ids, counts = words.encode_column(some.column("text"))
+                counts = counts + 1
+                ends = np.cumsum(counts)
+                whole = np.full(len(ids) + len(counts), end_id, "<u2")
+                inner = np.ones(len(whole), bool)
+                inner[ends - 1] = False
+                whole[inner] = ids
                 places = []
-                for source, found in zip(some.column("source").to_pylist(), ids, strict=True):
+                for source, n in zip(some.column("source").to_pylist(), counts.tolist(), strict=True):
                     places.append(before.get(source, 0))
-                    before[source] = places[-1] + len(found) // 2
+                    before[source] = places[-1] + n
                 yield pa.RecordBatch.from_pydict(
                     {
-                        "id": some.column("id"), "source": some.column("source"), "part": pa.array([part] * len(ids), pa.int32()),
-                        "place": pa.array(places, pa.int64()), "ids": pa.array(ids, pa.binary()),
-                        "n": pa.array([len(found) // 2 for found in ids], pa.int64()),
+                        "id": some.column("id"), "source": some.column("source"), "part": np.full(len(counts), part, np.int32),
+                        "place": pa.array(places, pa.int64()), "ids": _binary(whole, counts * 2), "n": counts,
                     }
                 )
 
@@ -183,28 +216,26 @@ def pack(
     shares = Shares([n for _, n in queues], weights)
 
     def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import numpy as np
-
         cutter = Cutter(shares, size)
         for batch in batches:
             for begin in range(0, batch.num_rows, 512):
                 some = batch.slice(begin, 512)
-                rows, starts, lengths, windows, offsets, pieces = [], [], [], [], [], []
-                sources, ids = some.column("source").to_pylist(), some.column("ids").to_pylist()
+                sources, lengths = some.column("source").to_pylist(), some.column("n").to_pylist()
                 bases = (np.asarray(some.column("place")) + np.asarray(some.column("base"))).tolist()
-                for i, (source, found, base) in enumerate(zip(sources, ids, bases, strict=True)):
-                    wide = np.frombuffer(found, "<u2").astype("<u4").tobytes()
-                    for start, length, window, offset in cutter.pieces(number[source], base, len(found) // 2):
-                        rows.append(i), starts.append(start), lengths.append(length)
-                        windows.append(window), offsets.append(offset)
-                        pieces.append(wide[4 * start : 4 * (start + length)])
-                own = some.take(pa.array(rows, pa.int64()))
-                long = lambda values: pa.array(values, pa.int64())
+                cuts = [
+                    list(cutter.pieces(number[source], base, n))
+                    for source, base, n in zip(sources, bases, lengths, strict=True)
+                ]
+                own = some.select(["id", "source", "n"]).take(pa.array(np.repeat(np.arange(len(cuts)), [len(pieces) for pieces in cuts])))
+                start, length, window, offset = np.array([piece for pieces in cuts for piece in pieces], np.int64).T
+                # The pieces of a document, and so of all of them, lie one after the other.
+                data, _, _ = buffer_of(some.column("ids"))
+                wide = data.view("<u2").astype("<u4")
                 yield pa.RecordBatch.from_pydict(
                     {
-                        "id": own.column("id"), "source": own.column("source"), "start": long(starts), "length": long(lengths),
-                        "ids": pa.array(pieces, pa.binary()), "doc_tokens": own.column("n"),
-                        "sequence_id": long(windows), "offset": long(offsets),
+                        "id": own.column("id"), "source": own.column("source"), "start": start, "length": length,
+                        "ids": _binary(wide, length * 4),
+                        "doc_tokens": own.column("n"), "sequence_id": window, "offset": offset,
                     }
                 )
 
