@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from nestframe.functions.nested import rebuild
 
 # 128 bits as hex: about as collision-free as a random UUID at half the width of a full digest,
 # and short enough for a VARCHAR(36) key column.
@@ -16,13 +19,45 @@ def _digest(text: Column) -> Column:
     return F.substring(F.sha2(text, 256), 1, KEY_LENGTH)
 
 
-def child_key(parent_key: Column, attr: str, pos: Column) -> Column:
-    """Key of the object at ``pos`` in attribute ``attr`` of its parent."""
-    return _digest(
-        F.concat_ws("/", parent_key.cast("string"), F.lit(attr), pos.cast("string"))
-    )
+def exact(column: Column, dtype: T.DataType) -> Column:
+    """A value as text and JSON tell it apart from all others, whatever the session's time zone.
+
+    Times count microseconds and dates days, bytes are hexadecimal, zero has no sign.
+    """
+
+    def leaf(value: Column, kind: T.DataType) -> Column:
+        if isinstance(kind, T.TimestampType):
+            return F.unix_micros(value)
+        if isinstance(kind, T.DateType):
+            return F.unix_date(value)
+        if isinstance(kind, (T.TimestampNTZType, T.DecimalType)):
+            return value.cast("string")
+        if isinstance(kind, T.BinaryType):
+            return F.hex(value)
+        if isinstance(kind, (T.FloatType, T.DoubleType)):
+            return F.when(value == 0, F.lit(0.0).cast(kind)).otherwise(value)
+        return value
+
+    return rebuild(column, dtype, leaf)
+
+
+def child_key(
+    parent_key: Column, attr: str, pos: Column, parent_type: T.DataType | None = None
+) -> Column:
+    """Key of the object at ``pos`` in attribute ``attr`` of its parent.
+
+    ``parent_type`` is needed for keys whose text loses something, such as times.
+    """
+    text = exact(parent_key, parent_type or T.StringType()).cast("string")
+    return _digest(F.concat_ws("/", text, F.lit(attr), pos.cast("string")))
+
+
+def row_text(fields: Iterable[T.StructField], nulls: bool = True) -> Column:
+    """The columns of a row as one text that equal rows share and no others."""
+    values = [exact(F.col(f"`{f.name}`"), f.dataType).alias(f.name) for f in fields]
+    return F.to_json(F.struct(*values), {"ignoreNullFields": str(not nulls).lower()})
 
 
-def row_key(columns: Sequence[str]) -> Column:
+def row_key(fields: Iterable[T.StructField]) -> Column:
     """Key of a row without a natural key; equal rows get equal keys."""
-    return _digest(F.to_json(F.struct(*columns), {"ignoreNullFields": "false"}))
+    return _digest(row_text(fields))

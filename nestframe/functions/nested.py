@@ -9,11 +9,17 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def _rebuild(column: Column, dtype: T.DataType, leaf: Callable, array: Callable) -> Column:
+def rebuild(
+    column: Column,
+    dtype: T.DataType,
+    leaf: Callable[[Column, T.DataType], Column],
+    array: Callable[[Column, T.DataType], Column] = lambda column, element: column,
+) -> Column:
+    """``rewrite`` for one column."""
     if isinstance(dtype, T.StructType):
         rebuilt = F.struct(
             *(
-                _rebuild(column.getField(f.name), f.dataType, leaf, array).alias(f.name)
+                rebuild(column.getField(f.name), f.dataType, leaf, array).alias(f.name)
                 for f in dtype.fields
             )
         )
@@ -21,7 +27,7 @@ def _rebuild(column: Column, dtype: T.DataType, leaf: Callable, array: Callable)
     if isinstance(dtype, T.ArrayType):
         element = dtype.elementType
         if isinstance(element, (T.StructType, T.ArrayType)) or leaf(column, element) is not column:
-            column = F.transform(column, lambda x: _rebuild(x, element, leaf, array))
+            column = F.transform(column, lambda x: rebuild(x, element, leaf, array))
         return array(column, element)
     return leaf(column, dtype)
 
@@ -37,7 +43,7 @@ def rewrite(
     """
     return frame.select(
         *(
-            _rebuild(F.col(f"`{f.name}`"), f.dataType, leaf, array).alias(f.name)
+            rebuild(F.col(f"`{f.name}`"), f.dataType, leaf, array).alias(f.name)
             for f in frame.schema.fields
         )
     )

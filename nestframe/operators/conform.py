@@ -18,8 +18,9 @@ def conform(
 ) -> DataFrame:
     """Casts the columns of the model and lists what is wrong with each row in ``_reject``.
 
-    Values that do not parse become NULL, with the text kept in ``_reject``. A value outside its
-    enumeration or range is kept and listed, a missing required one is listed. Columns outside the
+    Values that do not parse become NULL, with the text kept in ``_reject``. A value that loses
+    something by the cast is listed, as is one outside its enumeration or range, which is kept, and
+    a missing required one. Enumerations, ranges and required values are checked on every level. Columns outside the
     model pass through, good rows have an empty list. ``temporal="string"`` gives dates and
     timestamps as text.
     """
@@ -29,28 +30,39 @@ def conform(
     missing = [name for name in fields if name not in rows.columns]
     if missing:
         raise ValueError(f"Columns {missing} of the model are not in the rows.")
-    columns, faults = [], []
+    columns, faults, nested = [], [], []
     for name in rows.columns:
         if name not in fields:
             columns.append(F.col(name))
             continue
         field = fields[name]
-        value = F.col(name).try_cast(field.dataType)
-        faults += _faults(field, F.col(name), value)
+        value = F.col(name).try_cast(_nullable(field.dataType))
+        faults += _faults(field, F.col(name), value, rows.schema[name].dataType)
+        if (inner := _inner_faults(field, value)) is not None:
+            nested.append(inner)
         if temporal == "string" and isinstance(field.dataType, (T.DateType, T.TimestampType)):
             value = value.cast("string")
         columns.append(value.alias(name))
     reject = F.array_compact(F.array(*faults)) if faults else F.array().cast("array<string>")
-    return rows.select(*columns, reject.alias(REJECT))
+    return rows.select(*columns, F.concat(reject, *nested).alias(REJECT))
 
 
-def _faults(field: T.StructField, raw: Column, value: Column) -> list[Column]:
+def _faults(
+    field: T.StructField, raw: Column, value: Column, raw_type: T.DataType | None
+) -> list[Column]:
+    """Faults of a value, which are null where there is none; ``raw_type`` is None inside a column."""
+
     def fault(condition: Column, *text: Column | str) -> Column:
         parts = [F.lit(t) if isinstance(t, str) else t.cast("string") for t in text]
         return F.when(condition, F.concat(F.lit(f"{field.name}: "), *parts))
 
-    kind = field.dataType.simpleString()
-    faults = [fault(raw.isNotNull() & value.isNull(), f"no {kind}: ", raw)]
+    plain = not isinstance(field.dataType, (T.StructType, T.ArrayType))
+    faults = []
+    if raw_type is not None:
+        kind = field.dataType.simpleString()
+        faults.append(fault(raw.isNotNull() & value.isNull(), f"no {kind}: ", raw))
+        if plain and (lost := _lost(raw, value, raw_type, field.dataType)) is not None:
+            faults.append(fault(value.isNotNull() & lost, "loses: ", raw))
     if not field.nullable:
         faults.append(fault(raw.isNull(), "missing"))
     if "allowed" in field.metadata:
@@ -60,9 +72,51 @@ def _faults(field: T.StructField, raw: Column, value: Column) -> list[Column]:
     return faults
 
 
+def _nullable(dtype: T.DataType) -> T.DataType:
+    """The type without required parts, as values that lack them are cast as well."""
+    if isinstance(dtype, T.ArrayType):
+        return T.ArrayType(_nullable(dtype.elementType))
+    if isinstance(dtype, T.StructType):
+        return T.StructType([T.StructField(f.name, _nullable(f.dataType)) for f in dtype.fields])
+    return dtype
+
+
+def _lost(raw: Column, value: Column, raw_type: T.DataType, dtype: T.DataType) -> Column | None:
+    """Whether the value cast back is another one; None for casts that keep all there is."""
+    if isinstance(raw_type, T.StringType):
+        if not isinstance(dtype, T.IntegralType):
+            return None
+        return F.coalesce(value.cast("double") != raw.try_cast("double"), F.lit(False))
+    if raw_type == dtype or isinstance(dtype, (T.StringType, T.BooleanType)):
+        return None
+    return ~value.try_cast(raw_type).eqNullSafe(raw)
+
+
+def _inner_faults(field: T.StructField, value: Column) -> Column | None:
+    """The faults below a column, each with the names on the way; None if nothing is checked there."""
+    dtype = field.dataType
+    if isinstance(dtype, T.StructType):
+        found = []
+        for inner in dtype.fields:
+            own = value.getField(inner.name)
+            named = T.StructField(f"{field.name}.{inner.name}", inner.dataType, inner.nullable, inner.metadata)
+            if faults := _faults(named, own, own, None):
+                present = [F.when(value.isNotNull(), fault) for fault in faults]
+                found.append(F.array_compact(F.array(*present)))
+            if (deeper := _inner_faults(named, own)) is not None:
+                found.append(deeper)
+        return F.concat(*found) if found else None
+    if isinstance(dtype, T.ArrayType) and isinstance(dtype.elementType, T.StructType):
+        item = T.StructField(field.name, dtype.elementType, True)
+        if _inner_faults(item, F.lit(None).cast(dtype.elementType)) is None:
+            return None
+        of_items = F.transform(value, lambda x: _inner_faults(item, x))
+        return F.coalesce(F.flatten(of_items), F.array().cast("array<string>"))
+    return None
+
+
 def text_output(documents: DataFrame, model: T.StructType | None = None) -> DataFrame:
-    """Documents for text-only readers: bytes as base64, enumerations as strings."""
-    enums = [f.name for f in model or [] if "allowed" in f.metadata]
+    """Documents for text-only readers: bytes as base64, enumerations of any level as strings."""
 
     def leaf(column: Column, dtype: T.DataType) -> Column:
         if isinstance(dtype, T.BinaryType):
@@ -71,4 +125,27 @@ def text_output(documents: DataFrame, model: T.StructType | None = None) -> Data
         return column
 
     plain = rewrite(documents, leaf)
-    return plain.withColumns({name: F.col(name).cast("string") for name in enums})
+    declared = [f for f in model or [] if f.name in plain.columns]
+    return plain.withColumns({f.name: _enumerations(F.col(f.name), f) for f in declared})
+
+
+def _enumerations(value: Column, field: T.StructField) -> Column:
+    """The value with what the model enumerates in it as strings."""
+    dtype = field.dataType
+    if "allowed" in field.metadata:
+        return value.cast("array<string>" if isinstance(dtype, T.ArrayType) else "string")
+    if not _has_enumeration(dtype):
+        return value
+    if isinstance(dtype, T.ArrayType):
+        item = T.StructField(field.name, dtype.elementType)
+        return F.transform(value, lambda x: _enumerations(x, item))
+    inner = (_enumerations(value.getField(f.name), f).alias(f.name) for f in dtype.fields)
+    return F.when(value.isNotNull(), F.struct(*inner))
+
+
+def _has_enumeration(dtype: T.DataType) -> bool:
+    if isinstance(dtype, T.ArrayType):
+        return _has_enumeration(dtype.elementType)
+    if isinstance(dtype, T.StructType):
+        return any("allowed" in f.metadata or _has_enumeration(f.dataType) for f in dtype.fields)
+    return False

@@ -33,11 +33,12 @@ def flatten(
     tables: DocumentTables,
     branch: str | None = None,
     how: str = "inner",
-    skip_empty: bool = True,
+    skip_empty: bool = False,
 ) -> DataFrame:
     """One row per chain of linked rows; clashing columns get their table name as a prefix.
 
-    With ``skip_empty`` a table without rows is left out, and all below it with it. Sibling lists
+    With ``skip_empty`` a table without rows is left out, and all below it with it; which columns
+    there are then hangs on the data. Sibling lists
     are not combined, as that would give every pair of their items: a model with several lists
     side by side needs ``branch``, the table at the end of the wanted chain of lists.
     """
@@ -69,7 +70,7 @@ def flatten(
 
 
 def flatten_branches(
-    tables: DocumentTables, how: str = "inner", skip_empty: bool = True
+    tables: DocumentTables, how: str = "inner", skip_empty: bool = False
 ) -> dict[str, DataFrame]:
     """One flattened table for each chain of lists, by the name of the table at its end."""
     skipped: set[str] = set()

@@ -39,7 +39,10 @@ def shred(
     layout = table_layout(model or documents.schema, root, names, keep_id)
     if key is None:
         documents = documents.distinct()
-    root_key = F.col(key) if isinstance(key, str) else row_key(key or documents.columns)
+    if isinstance(key, str):
+        root_key = F.col(key)
+    else:
+        root_key = row_key(documents.schema[name] for name in key or documents.columns)
     keyed = documents.select("*", root_key.alias(layout.key))
     frames = {
         layout.name: keyed.select(*(F.col(f.name) for f in layout.scalars), F.col(layout.key))
@@ -75,31 +78,16 @@ def _shred_attribute(
             items = owners.select(owner_key, F.lit(0).alias(POS), part.alias(ITEM))
         else:
             items = owners.select(owner_key, F.posexplode_outer(part).alias(POS, ITEM))
-        key = child_key(F.col(owner_key), table.attr, F.col(POS)).alias(table.key)
+        owner_type = owners.schema[owner_key].dataType
+        key = child_key(F.col(owner_key), table.attr, F.col(POS), owner_type).alias(table.key)
         return items.where(F.col(ITEM).isNotNull()).select(key, owner_key, POS, ITEM)
 
     item = F.col(ITEM)
-    needed = list(table.fields) if drop_all_null else []
-    if _scalars_tell_null(table):
-        needed = [f.name for f in table.scalars]
-        value_of_scalars = F.arrays_zip(*(value.getField(name) for name in needed))
-        objects = unpacked(value_of_scalars)
-    else:
-        objects = unpacked(value)
-    if needed:
-        present = (item.getField(name).isNotNull() for name in needed)
+    objects = unpacked(value)
+    if drop_all_null:
+        present = (item.getField(name).isNotNull() for name in table.fields)
         objects = objects.where(reduce(Column.__or__, present))
     columns = [item.getField(f.name).alias(f.name) for f in table.scalars]
     frames[table.name] = objects.select(*columns, table.key, owner_key, POS)
     for child in table.children:
         _shred_attribute(child, unpacked(value.getField(child.attr)), item, frames, drop_all_null)
-
-
-def _scalars_tell_null(table: Table) -> bool:
-    """Whether the scalars of a table are unpacked without the lists beside them.
-
-    That an item of a list is NULL is seen on the whole item only, which brings its inner lists
-    along. If the model requires one of its scalars, an item without any of them is taken for NULL.
-    """
-    required = any(not f.nullable for f in table.scalars)
-    return table.kind is Kind.OBJECTS and bool(table.children) and required

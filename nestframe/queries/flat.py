@@ -57,4 +57,4 @@ def flatten_skip_empty(spark: SparkSession, folder: str) -> DataFrame:
     """No line has a negative quantity, so the orders come alone."""
     tables = order_tables(spark, folder)
     none = tables["Order_lines"].where(F.col("l_quantity") < 0)
-    return flatten(tables.with_frames({"Order_lines": none}))
+    return flatten(tables.with_frames({"Order_lines": none}), skip_empty=True)

@@ -6,7 +6,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from nestframe.operators.append import absent_rows
+from nestframe.operators.durable import durable
+from nestframe.operators.fetch import restrict
+from nestframe.operators.versions import (
+    document_digests,
+    foreign_rows,
+    row_columns,
+    single_versions,
+)
 from nestframe.plans.layout import POS, Kind, Table
 from nestframe.plans.tables import DocumentTables
 
@@ -95,19 +102,103 @@ def _spreads_evenly(rows: DataFrame, column: str, buckets: int) -> bool:
     return total is None or largest * buckets <= max(total, 1_000_000)
 
 
-def insert(tables: DocumentTables, database: str = "default") -> None:
-    """Appends the rows whose key is not stored yet, parents first, creating tables as needed.
+def insert(
+    tables: DocumentTables, database: str = "default", on_conflict: str = "keep"
+) -> DataFrame:
+    """Stores whole documents and returns the key of each that was refused, with the reason.
 
-    The keys come from the documents, so repeating an insert that failed half-way adds just what
-    is missing. Values in lists have no key of their own and go by parent and position.
+    A document stored before with the same content is left alone. With other content it is a
+    conflict: ``"keep"`` refuses the new version, ``"replace"`` puts it in the place of the old
+    one. A document offered in several versions is refused, as is one of which rows of another
+    version, but not the document itself, are stored. Child rows are written first and the root
+    last: a document is stored once its root row is, and repeating an insert that failed half-way
+    adds what is missing. Attributes that the stored tables lack are added to them.
     """
-    for table in tables.layout.walk():
+    if on_conflict not in ("keep", "replace"):
+        raise ValueError(f"on_conflict is 'keep' or 'replace', not {on_conflict!r}.")
+    layout = tables.layout
+    key, spark = layout.key, tables[layout.name].sparkSession
+    if not tables[layout.name].where(F.col(key).isNull()).isEmpty():
+        raise ValueError(f"Documents without {key!r} cannot be stored.")
+    tables, refused = single_versions(tables)
+    known = _stored_tables(spark, tables, database)
+    offered = document_digests(tables)
+    stored = document_digests(restrict(known, offered.select(key)))
+    paired = offered.join(stored.withColumnRenamed("digest", "stored"), key, "left")
+    other_version = F.col("stored").isNotNull() & (F.col("stored") != F.col("digest"))
+    state = F.when(other_version, "conflict").when(F.col("stored").isNull(), "new").otherwise("same")
+    states = durable(paired.select(key, state.alias("state")))
+    leftover = foreign_rows(restrict(known, states.where("state = 'new'").select(key)), tables)
+    reasons = refused.select(key, F.lit("offered in several versions").alias("reason"))
+    reasons = reasons.unionByName(
+        leftover.select(key, F.lit("rows of another version are stored").alias("reason"))
+    )
+    if on_conflict == "keep":
+        conflicts = states.where("state = 'conflict'")
+        reasons = reasons.unionByName(
+            conflicts.select(key, F.lit("another version is stored").alias("reason"))
+        )
+    # Written, as what is stored changes from here on.
+    reasons = durable(reasons.groupBy(key).agg(F.min("reason").alias("reason")))
+    wanted = states.where("state <> 'same'").select(key).join(reasons, key, "left_anti")
+    wanted = durable(wanted)
+    if on_conflict == "replace":
+        replaced = states.where("state = 'conflict'").join(wanted, key, "left_semi").select(key)
+        _remove(known, durable(replaced), database)
+    rows = restrict(tables, wanted)
+    for table in reversed(list(layout.walk())):
+        _append(spark, f"{database}.{table.name}", rows[table.name], row_columns(table))
+    return reasons
+
+
+def _stored_tables(spark: SparkSession, like: DocumentTables, database: str) -> DocumentTables:
+    """The stored tables of a layout, with no rows for those that do not exist yet."""
+
+    def stored(table: Table) -> DataFrame:
+        name = f"{database}.{table.name}"
+        if spark.catalog.tableExists(name):
+            return spark.table(name)
+        return like[table.name].limit(0)
+
+    return DocumentTables(like.layout, {t.name: stored(t) for t in like.layout.walk()})
+
+
+def _remove(stored: DocumentTables, keys: DataFrame, database: str) -> None:
+    """Takes documents out of the stored tables, the root first, so that none is left in part."""
+    if keys.isEmpty():
+        return
+    layout = stored.layout
+    gone = restrict(stored, keys)
+    spark = keys.sparkSession
+    owners = {table.name: durable(gone[table.name].select(table.parent_key).distinct()) for table in layout.walk() if table.parent}
+    for table in layout.walk():
+        column, rows = (table.parent_key, owners[table.name]) if table.parent else (table.key, keys)
         name = f"{database}.{table.name}"
-        rows = tables[table.name]
-        spark = rows.sparkSession
-        key = [table.parent_key, POS] if table.kind is Kind.VALUES else [table.key]
         if spark.catalog.tableExists(name):
-            stored = spark.table(name)
-            absent_rows(rows, stored, key).select(*stored.columns).write.insertInto(name)
-        else:
-            absent_rows(rows, rows.limit(0), key).write.format("parquet").saveAsTable(name)
+            kept = durable(stored[table.name].join(rows, column, "left_anti").select(*stored[table.name].columns))
+            _bucketed(spark, name, kept).write.insertInto(name, overwrite=True)
+
+
+def _append(spark: SparkSession, name: str, rows: DataFrame, key: list[str]) -> None:
+    if not spark.catalog.tableExists(name):
+        rows.write.format("parquet").saveAsTable(name)
+        return
+    stored = spark.table(name)
+    new = [f for f in rows.schema if f.name not in stored.columns]
+    if new:
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in new)
+        spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({columns})")
+        stored = spark.table(name)
+    lacking = {f.name: F.lit(None).cast(f.dataType) for f in stored.schema if f.name not in rows.columns}
+    rows = rows.withColumns(lacking).select(*stored.columns)
+    absent = rows.join(stored.select(*key), key, "left_anti").select(*stored.columns)
+    _bucketed(spark, name, absent).write.insertInto(name)
+
+
+def _bucketed(spark: SparkSession, name: str, rows: DataFrame) -> DataFrame:
+    """Dealt as the table's buckets are, so that each bucket gets one more file and not many."""
+    buckets = [c.name for c in spark.catalog.listColumns(name) if c.isBucket]
+    if not buckets:
+        return rows
+    about = spark.sql(f"DESCRIBE EXTENDED {name}").where("col_name = 'Num Buckets'").first()
+    return rows.repartition(int(about["data_type"]), *buckets)

@@ -193,3 +193,66 @@ def test_durable_rows_are_read_back(spark):
     kept = durable(frame)
     assert kept.dtypes == frame.dtypes and kept.count() == 10
     assert kept.inputFiles()
+
+
+def whole(spark, tables, database):
+    loaded = load_tables(spark, tables.layout, database)
+    return {r["name"]: r.asDict(recursive=True) for r in assemble(loaded).collect()}
+
+
+def revised(name):
+    return document(name) | {"words": ["new0", "new1", "new2"]}
+
+
+def test_a_revised_document_is_kept_or_replaced_as_a_whole(spark):
+    first = stored(spark, "revised", [document("a"), document("b")])
+    assert insert(first, "revised").count() == 0
+    before = whole(spark, first, "revised")
+    second = shred(spark.createDataFrame([revised("a"), document("b"), document("c")], MODEL), "Root", key="name")
+    refused = insert(second, "revised").collect()
+    assert [tuple(r) for r in refused] == [("a", "another version is stored")]
+    after = whole(spark, first, "revised")
+    assert after["a"] == before["a"] and set(after) == {"a", "b", "c"}
+    assert insert(second, "revised", on_conflict="replace").count() == 0
+    after = whole(spark, first, "revised")
+    assert after["a"] == assemble(second).where("name = 'a'").first().asDict(recursive=True)
+    assert after["b"] == before["b"] and set(after) == {"a", "b", "c"}
+
+
+def test_two_versions_in_one_batch_are_refused(spark):
+    stored(spark, "versions", [])
+    rows = [document("a"), revised("a"), document("b"), document("b")]
+    tables = shred(spark.createDataFrame(rows, MODEL), "Root", key="name")
+    assert [tuple(r) for r in insert(tables, "versions").collect()] == [("a", "offered in several versions")]
+    assert set(whole(spark, tables, "versions")) == {"b"}
+
+
+def test_rows_left_by_another_version_are_not_mixed_in(spark):
+    old = stored(spark, "leftover", [document("a"), document("b")])
+    old["Root_words"].write.saveAsTable("leftover.Root_words")
+    new = shred(spark.createDataFrame([revised("a"), document("b")], MODEL), "Root", key="name")
+    assert [r[0] for r in insert(new, "leftover").collect()] == ["a"]
+    assert set(whole(spark, new, "leftover")) == {"b"}
+
+
+def test_new_attributes_are_stored(spark):
+    spark.sql("CREATE DATABASE IF NOT EXISTS wider")
+    narrow = shred(spark.createDataFrame([("a", 1)], "n string, x int"), "W", key="n")
+    wide = shred(spark.createDataFrame([("b", 2, "y"), ("a", 1, None)], "n string, x int, y string"), "W", key="n")
+    insert(narrow, "wider")
+    assert insert(wide, "wider").count() == 0
+    rows = sorted(tuple(r) for r in spark.table("wider.W").select("n", "x", "y").collect())
+    assert rows == [("a", 1, None), ("b", 2, "y")]
+    insert(shred(spark.createDataFrame([("c", 3)], "n string, x int"), "W", key="n"), "wider")
+    assert spark.table("wider.W").count() == 3
+    with pytest.raises(ValueError):
+        insert(shred(spark.createDataFrame([(None, 3)], "n string, x int"), "W", key="n"), "wider")
+
+
+def test_inserting_into_buckets_adds_a_file_each(spark):
+    first = stored(spark, "filled", [document(f"n{i}") for i in range(30)])
+    save_tables(first, "filled", buckets=4)
+    more = shred(spark.createDataFrame([document(f"m{i}") for i in range(30)], MODEL).repartition(6), "Root", key="name")
+    insert(more, "filled")
+    assert spark.table("filled.Root_words").inputFiles().__len__() <= 8
+    assert len(whole(spark, first, "filled")) == 60
