@@ -11,7 +11,7 @@ belong to one anchor, and only anchors whose 32 bytes occur a second time anywhe
 2. Hashes known to two blocks, or found twice within one, go back to their blocks.
 3. Each block takes the stretches of such anchors; of equal stretches within the block only the first goes on.
 4. Splitters sampled from leading bytes of anchors deal the stretches into ranges. A leading string so frequent that
-   several splitters equal it is spread over the ranges between them. Each range sorts by multikey quicksort and
+   several splitters equal it is spread over the ranges between them; ranges too few for the blocks are dealt on by hash. Each range sorts by multikey quicksort and
    compares neighbours, first whole stretches, then the single strings of those that still share 32 bytes.
 5. Where a leading string lies in several ranges, the first place of each string in its range is compared across them.
 
@@ -75,7 +75,7 @@ def remove_repeats(
     stretches = (
         texts.groupBy("block")
         .cogroup(known.groupBy("block"))
-        .applyInArrow(_stretches(length, splitters), _STRETCH)
+        .applyInArrow(_stretches(length, splitters, -(-blocks // (len(splitters) + 1))), _STRETCH)
     )
     found = stretches.groupBy("range").applyInArrow(_compare(length), _FOUND)
     # Without a digest a row is a finding; with one it is the first place in its range, to be compared across ranges.
@@ -220,6 +220,7 @@ def _splitters(texts: DataFrame, fraction: float, parts: int, length: int) -> li
         return []
     rows = texts.select("text").sample(fraction, seed=11).mapInArrow(leads, "lead binary").collect()
     found = sorted(bytes(row.lead) for row in rows)
+    parts = min(parts, max(1, len(found) // 8))
     return [found[len(found) * i // parts] for i in range(1, parts)] if found else []
 
 
@@ -234,7 +235,7 @@ def _block_hashes(length: int) -> Callable[[pa.Table], pa.Table]:
     return name
 
 
-def _stretches(length: int, splitters: list[bytes]) -> Callable[[pa.Table, pa.Table], pa.Table]:
+def _stretches(length: int, splitters: list[bytes], fan: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
     limits = np.array(splitters, f"S{LEAD}")
 
     def cut(texts: pa.Table, known: pa.Table) -> pa.Table:
@@ -268,10 +269,15 @@ def _stretches(length: int, splitters: list[bytes]) -> Callable[[pa.Table, pa.Ta
         spread = mix(block.ids[document[first]].view(np.uint64) + start[first].astype(np.uint64))
         shared = high - low > 1
         within = (spread % np.maximum(high - low, 1).astype(np.uint64)).astype(np.int64)
+        # Where there are fewer splitters than blocks, a hash of the leading bytes deals each range further.
+        target = np.where(shared, low + within, low) * fan
+        if fan > 1 and len(first):
+            halves = lead.view(np.uint64).reshape(-1, 2)
+            target += (mix(halves[:, 0] ^ mix(halves[:, 1])) % np.uint64(fan)).astype(np.int64)
         rows = np.concatenate((first, again))
         return _table(
             [
-                np.concatenate((np.where(shared, low + within, low), np.full(len(again), number % (len(limits) + 1)))),
+                np.concatenate((target, np.full(len(again), number % ((len(limits) + 1) * fan)))),
                 np.full(len(rows), number),
                 block.ids[document[rows]],
                 block.seq[document[rows]],
