@@ -17,6 +17,11 @@ def held_out(id_column: str = "doc_id") -> Column:
     return F.coalesce(F.crc32(F.col(id_column).cast("string")) % 3 == 1, F.lit(False))
 
 
+def by_lot(share: float, *columns: str) -> Column:
+    """Whether a row is in a sample of about this share, which the hash of the columns decides."""
+    return F.pmod(F.xxhash64(*columns), F.lit(1 << 40)) < int(share * (1 << 40))
+
+
 def teaching_rows(
     documents: DataFrame, labels: DataFrame, label: Column, id_column: str = "doc_id", text_column: str = "text",
     rows: int = LABELLED_ROWS,
@@ -31,6 +36,6 @@ def teaching_rows(
     )
     known = known.where(~held_out("labelled")).groupBy("labelled").agg(F.max("label").alias("label"))
     share = min(1.0, rows / max(known.count(), 1))
-    known = known.where(F.pmod(F.xxhash64("labelled"), F.lit(1_000_000)) < int(share * 1_000_000))
+    known = known.where(by_lot(share, "labelled"))
     texts = documents.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"))
     return texts.join(F.broadcast(known), F.col("id") == F.col("labelled")).select("text", "label")

@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from nestframe.llm.boosting import BoostedTrees
+from nestframe.llm.labelled import by_lot
 
 SAMPLED_DOCUMENTS = 10_000
 #: Base kinds first; spans that start together are in this order.
@@ -228,7 +229,7 @@ def fit_detector(documents: DataFrame, text_column: str = "text", precision: flo
             yield pa.RecordBatch.from_pylist(found, kind)
 
     # Chosen by what is written, so that a repeated run learns the same.
-    sampled = rows.where(F.pmod(F.xxhash64("text"), F.lit(1_000_000)) < int(fraction * 1_000_000))
+    sampled = rows.where(by_lot(fraction, "text"))
     examples_of = sampled.mapInArrow(examples, "x array<double>, y int").collect()
     found = sorted((tuple(row.x), row.y) for row in examples_of)
     y = np.array([label for _, label in found], int)

@@ -27,7 +27,7 @@ _BUCKETS = 1 << 13
 #: Words of a text that weigh fully; beyond it evidence grows with the square root.
 _FULL = 50
 #: Domains at most; their names and sums are collected.
-MAX_DOMAINS = 1000
+MAX_DOMAINS = 100
 
 
 class DomainModel:
@@ -86,7 +86,9 @@ def fit_domains(
 
     counted = rows.where("NOT aside").mapInArrow(count, "domain string, bucket long, n long")
     counted = counted.groupBy("domain", "bucket").agg(F.sum("n").alias("n"))
-    found = counted.groupBy("domain").agg(F.collect_list(F.struct("bucket", "n")).alias("counts")).limit(MAX_DOMAINS).collect()
+    found = counted.groupBy("domain").agg(F.collect_list(F.struct("bucket", "n")).alias("counts")).limit(MAX_DOMAINS + 1).collect()
+    if len(found) > MAX_DOMAINS:
+        raise ValueError(f"More than {MAX_DOMAINS} domains")
     domains = sorted(row.domain for row in found) or [""]
     counts = np.zeros((len(domains), _BUCKETS + 1))
     for row in found:

@@ -25,11 +25,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from nestframe.llm.labelled import by_lot
 from nestframe.operators.durable import durable
 
 #: Directions; even, as the chi-square distribution then has a short form.
 DIRECTIONS = 8
-#: Projections the top of the tree is fitted on at most.
+#: Projections the top of the tree is fitted on at most, and so its cells at most; over a billion vectors want more.
 SAMPLED = 20_000
 _LEAF = 32
 
@@ -167,7 +168,7 @@ def nearest_vectors(
     asked = keyed.where("asks").select("id", "key", "v").mapInArrow(project, "id long, key string, v array<double>, p array<double>")
     count = known.count()
     share = min(1.0, SAMPLED / max(count, 1))
-    sample = known.where(F.pmod(F.xxhash64("key"), F.lit(1_000_000)) < int(share * 1_000_000)).select("key", "p")
+    sample = known.where(by_lot(share, "key")).select("key", "p")
     points = np.array([row.p for row in sorted(sample.collect(), key=lambda row: row.key)]).reshape(-1, DIRECTIONS)
     top = Tree(points, max(1, int(len(points) * cell_size / max(count, 1))) if len(points) else 1)
     del points, sample
