@@ -131,8 +131,8 @@ ORACLES["op6_line_rules"] = f"""
 WITH texts AS (
     SELECT row_number() OVER () AS place, doc_id, coalesce(text, '') AS text FROM documents),
 split AS (
-    SELECT *, list_filter(regexp_split_to_array(text, '{_BLANK}+'), w -> w <> '') AS words,
-           list_filter(string_split(text, chr(10)), l -> regexp_matches(l, '[^\\x20\\x09-\\x0D]')) AS lines
+    SELECT *, [w FOR w IN regexp_split_to_array(text, '{_BLANK}+') IF w <> ''] AS words,
+           [l FOR l IN string_split(text, chr(10)) IF regexp_matches(l, '[^\\x20\\x09-\\x0D]')] AS lines
     FROM texts),
 runs AS (
     SELECT place, i, words[i:i + 4] AS run
