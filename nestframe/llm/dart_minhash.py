@@ -10,11 +10,14 @@ probability of the weighted Jaccard similarity.
 
 Five coordinates make a band, 25 bands a signature: a pair at 0.8 shares a band but in 1 of 20,000 cases.
 
-Copies count once. Each band's bucket first checks its members against its smallest. Only where a bucket then still
-holds several components are members of different components checked against each other; members of one component need
-no further link. So a bucket with thousands of copies costs as many checks as it has members, and yet every pair that
-shares a bucket is checked or already connected. The check compares whole shingle sets (32-bit hashes): a link is a
-plain Jaccard similarity of ``threshold`` or more.
+Copies count once. Each bucket of a band pairs its members with one of them, chosen by lot in every bucket, and each
+text is checked against the two likeliest of those it met. Where a bucket then still holds several components, what is
+outside the largest is compared with all that is not of its component; members of one component need no further link.
+So copies in a bucket cost as many checks as there are copies, and yet every pair that shares a bucket is checked or
+already connected. Most of the last comparisons end inside the join: the parities of 1024 counters tell in how many
+shingles two sets differ at least. The check compares whole shingle sets (32-bit hashes): a link is a plain Jaccard
+similarity of ``threshold`` or more. Texts that share buckets with a large group and are similar to none of it cost one
+comparison of parities with each of its members; no exact method is known to spare these.
 """
 
 from __future__ import annotations
@@ -31,6 +34,8 @@ from nestframe.llm.components import components
 from nestframe.operators.durable import durable
 
 NO_ID = -(2**63)
+#: Words of 64 bits in a sketch.
+SKETCH = 16
 
 
 def near_duplicates(
@@ -91,40 +96,22 @@ def _classes(documents: DataFrame, id_column: str, text_column: str, threshold,
         F.coalesce(F.col(id_column).cast("long"), F.lit(NO_ID)).alias("id"), F.col(text_column).alias("text")
     )
     texts = texts.select("id", F.when(F.col("text").rlike(_WORD), _digest(F.col("text"))).alias("digest"), "text")
-    members = durable(texts.mapInArrow(batched(_bands(width, bands, rows)), "id long, digest binary, bands array<long>"))
-    nodes = durable(members.where("digest IS NOT NULL").groupBy("digest").agg(F.first("bands").alias("bands")))
+    members = durable(texts.mapInArrow(batched(_sign(width, bands, rows), 2 << 20, rows=512), "id long, digest binary, bands array<long>"))
+    nodes = members.where("digest IS NOT NULL").groupBy("digest").agg(F.first("bands").alias("bands"))
+    nodes = durable(nodes)
     entries = nodes.select("digest", F.explode("bands").alias("bucket"))
-    least = entries.groupBy("bucket").agg(F.min("digest").alias("a"), F.max("digest").alias("last")).where("a <> last")
-    placed = durable(entries.join(least.select("bucket", "a"), "bucket").withColumnRenamed("digest", "b"))
-    pairs = placed.where("a <> b").select("a", "b").distinct()
-    ids = placed.select(F.col("b").alias("digest")).distinct()
-    chosen = texts.select("digest", "text").join(ids, "digest", "left_semi").dropDuplicates(["digest"])
-    sets = durable(chosen.mapInArrow(batched(_sets(width)), "digest binary, size long, elements binary"))
-
-    links = durable(_check(pairs, sets, threshold))
+    full = entries.groupBy("bucket").agg(F.min("digest").alias("low"), F.max("digest").alias("high")).where("low <> high")
+    placed = durable(entries.join(full.select("bucket"), "bucket", "left_semi").withColumnRenamed("digest", "node"))
+    chosen = placed.select(F.col("node").alias("digest")).distinct()
+    chosen = texts.select("digest", "text").join(chosen, "digest", "left_semi").dropDuplicates(["digest"])
+    sets = "digest binary, size long, sketch array<long>, elements binary"
+    sets = durable(chosen.mapInArrow(batched(_sets(width), 2 << 20, rows=512), sets))
+
+    links = durable(_check(_by_leader(placed), sets, threshold, most=2))
     roots = components(links)
-    rooted = placed.join(roots, placed["b"] == roots["node"], "left").select(
-        "bucket", "a", "b", F.coalesce("root", "b").alias("root")
-    )
-    rooted = rooted.join(sets.select(F.col("digest").alias("b"), "size"), "b")
-    parts = rooted.groupBy("bucket", "root").agg(F.count("*").alias("n"))
-    mixed = parts.groupBy("bucket").agg(F.count("*").alias("parts"), F.max(F.struct("n", "root"))["root"].alias("main"))
-    rooted = durable(rooted.join(mixed.where("parts > 1"), "bucket"))
-    minor = rooted.where("root <> main AND a <> b").select("bucket", "b", "root", "size")
-    other = rooted.where("a <> b").select(
-        "bucket", F.col("b").alias("c"), F.col("root").alias("other"), F.col("size").alias("length"),
-        (F.col("root") == F.col("main")).alias("major"),
-    )
-    near = (F.least("size", "length") >= F.greatest("size", "length") * threshold) & (F.col("root") != F.col("other"))
-    crossing = (
-        minor.join(other.where("major"), "bucket").where(near)
-        .unionByName(minor.join(other.where("NOT major"), "bucket").where(near & (F.col("b") < F.col("c"))))
-        .select(F.least("b", "c").alias("a"), F.greatest("b", "c").alias("b"))
-        .distinct()
-    )
-    more = durable(_check(crossing, sets, threshold))
+    more = durable(_check(_all_apart(_mixed(placed, roots), sets, threshold), sets, threshold))
     if not more.isEmpty():
-        links = links.unionByName(more)
+        links = durable(links.unionByName(more).distinct())
         roots = components(links)
 
     ends = links.select(F.col("a").alias("digest")).unionByName(links.select(F.col("b").alias("digest")))
@@ -144,8 +131,67 @@ def _classes(documents: DataFrame, id_column: str, text_column: str, threshold,
     )
 
 
-def _check(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
-    """The pairs whose texts' shingle sets have the similarity."""
+def _by_leader(placed: DataFrame) -> DataFrame:
+    """Each node with one of its bucket, which the hash of both chooses, so that buckets alike have different ones."""
+    dice = F.struct(F.xxhash64("node", "bucket"), "node")
+    leader = placed.groupBy("bucket").agg(F.min(dice)["node"].alias("leader"))
+    pairs = placed.join(leader, "bucket").where("node <> leader")
+    return pairs.select(F.col("node").alias("a"), F.col("leader").alias("b")).distinct()
+
+
+def _mixed(placed: DataFrame, roots: DataFrame) -> DataFrame:
+    """``bucket, node, root, main`` of the buckets that hold several components; ``main`` is the largest there."""
+    rooted = placed.join(roots, "node", "left").select("bucket", "node", F.coalesce("root", "node").alias("root"))
+    parts = rooted.groupBy("bucket", "root").agg(F.count("*").alias("n"))
+    parts = parts.groupBy("bucket").agg(F.count("*").alias("parts"), F.max(F.struct("n", "root"))["root"].alias("main"))
+    return rooted.join(parts.where("parts > 1").drop("parts"), "bucket")
+
+
+def _all_apart(mixed: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
+    """All pairs of a bucket in different components that sizes and sketches do not rule out.
+
+    Members of the largest component are not paired with each other.
+    """
+    known = sets.select(F.col("digest").alias("node"), "size", "sketch")
+    left = durable(mixed.join(known, "node"))
+    right = left.select(
+        "bucket", *(F.col(c).alias(f"{c}_") for c in ("node", "root", "size", "sketch")), (F.col("root") == F.col("main")).alias("major")
+    )
+    minor = left.where("root <> main")
+    apart = (F.col("root") != F.col("root_")) & _possible("size", "sketch", "size_", "sketch_", threshold)
+    once = F.col("major") | (F.col("node") < F.col("node_"))
+    pairs = minor.join(right, "bucket").where(apart & once)
+    return pairs.select(F.least("node", "node_").alias("a"), F.greatest("node", "node_").alias("b")).distinct()
+
+
+def _bits(sketch: str, other: str) -> F.Column:
+    """In how many bits two sketches differ, and so in how many elements their sets do at least."""
+    one = lambda i: F.bit_count(F.col(sketch)[i].bitwiseXOR(F.col(other)[i]))
+    return sum((one(i) for i in range(1, SKETCH)), one(0))
+
+
+def _possible(size: str, sketch: str, other_size: str, other_sketch: str, threshold: float) -> F.Column:
+    """Whether sizes and sketches let the similarity be as high."""
+    bits, both = _bits(sketch, other_sketch), F.col(size) + F.col(other_size)
+    near = F.least(size, other_size) >= F.greatest(size, other_size) * threshold
+    return near & (both - bits >= (both + bits) * threshold)
+
+
+def _check(pairs: DataFrame, sets: DataFrame, threshold: float, most: int | None = None) -> DataFrame:
+    """The pairs whose texts' shingle sets have the similarity.
+
+    With ``most``, of the pairs that a node is first in only those as many with the nearest sketches are looked at;
+    what this leaves out must be looked at otherwise.
+    """
+    known = lambda at: sets.select(
+        F.col("digest").alias(at), F.col("size").alias(f"size_{at}"), F.col("sketch").alias(f"sketch_{at}")
+    )
+    pairs = pairs.join(known("b"), "b").join(known("a"), "a")
+    pairs = pairs.where(_possible("size_a", "sketch_a", "size_b", "sketch_b", threshold))
+    if most is not None:
+        nearest = Window.partitionBy("a").orderBy(_bits("sketch_a", "sketch_b"), "b")
+        pairs = pairs.withColumn("place", F.row_number().over(nearest)).where(F.col("place") <= most)
+    pairs = pairs.select("a", "b")
     left = sets.select(F.col("digest").alias("a"), F.col("elements").alias("first"))
     right = sets.select(F.col("digest").alias("b"), F.col("elements").alias("second"))
 
@@ -166,24 +212,27 @@ def _check(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
     return joined.mapInArrow(similar, "a binary, b binary")
 
 
-def signatures(
-    data: np.ndarray, starts: np.ndarray, ends: np.ndarray, width: int, size: int
-) -> tuple[np.ndarray, np.ndarray]:
-    """The rows that have words, and their signatures (rows x size, unsigned)."""
-    value, row = shingles(data, starts, ends, width)
-    order = np.lexsort((value, row))
-    value, row = value[order], row[order]
-    fresh = np.ones(len(value), bool)
-    fresh[1:] = (value[1:] != value[:-1]) | (row[1:] != row[:-1])
-    at = np.arange(len(value))
-    repeat = at - np.maximum.accumulate(np.where(fresh, at, 0)) if len(value) else at
+def weighted_shingles(table: pa.Table, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Shingles of each row in order of row and hash, repeats included: hash (44 bits), row, number of the repeat."""
+    value, row = shingles(*buffer_of(table.column("text")), width)
+    joined = (row.astype(np.uint64) << np.uint64(44)) | (value >> np.uint64(20))
+    joined.sort()
+    fresh = np.ones(len(joined), bool)
+    fresh[1:] = joined[1:] != joined[:-1]
+    at = np.arange(len(joined))
+    repeat = at - np.maximum.accumulate(np.where(fresh, at, 0)) if len(joined) else at
+    return joined & np.uint64((1 << 44) - 1), (joined >> np.uint64(44)).astype(np.int64), repeat
+
+
+def signatures(value: np.ndarray, row: np.ndarray, repeat: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """The rows that have shingles, and their signatures (rows x size, unsigned)."""
     span = np.ones(len(value))
     again = repeat > 0
     span[again] = np.log2((repeat[again] + 1) / repeat[again]) / 8
     rows, row = np.unique(row, return_inverse=True)
     weight = np.bincount(row, span, minlength=len(rows))
     region = mix(value + repeat.astype(np.uint64) * np.uint64(0xA0761D6478BD642F))
-    result = np.zeros((len(rows), size), np.uint64)
+    result = np.full(len(rows) * size, np.iinfo(np.uint64).max)
     height = (size * np.log(size) + 2 * size) / np.maximum(weight, 1e-9)
     todo = np.arange(len(rows))
     while len(todo):
@@ -202,43 +251,61 @@ def signatures(
         dart, rank, owner = (np.concatenate(x) for x in (darts, ranks, owners))
         name = mix(dart ^ np.uint64(0x589965CC75374CC3))
         slot = owner * size + (name % np.uint64(size)).astype(np.int64)
-        order = np.lexsort((name, rank))[::-1]  # the earliest is written last and stays
-        flat = result.reshape(-1)
-        filled = np.zeros(flat.shape, bool)
-        flat[slot[order]] = name[order]
-        filled[slot] = True
-        todo = todo[~filled.reshape(result.shape)[todo].all(axis=1)]
+        earliest = np.full(len(result), np.inf)
+        np.minimum.at(earliest, slot, rank)
+        first = rank == earliest[slot]
+        of_todo = (todo[:, None] * size + np.arange(size)).reshape(-1)
+        result[of_todo] = np.iinfo(np.uint64).max
+        np.minimum.at(result, slot[first], name[first])
+        todo = todo[np.isinf(earliest[of_todo].reshape(-1, size)).any(axis=1)]
         height[todo] *= 2
-    return rows, result
+    return rows, result.reshape(-1, size)
+
+
+def _lists(values: np.ndarray, lengths: np.ndarray) -> pa.ListArray:
+    offsets = np.concatenate(([0], np.cumsum(lengths))).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values.reshape(-1)))
 
 
-def _bands(width: int, bands: int, rows: int) -> Callable[[pa.Table], pa.Table]:
+def _sign(width: int, bands: int, rows: int) -> Callable[[pa.Table], pa.Table]:
     def sign(table: pa.Table) -> pa.Table:
-        data, starts, ends = buffer_of(table.column("text"))
-        filled, signature = signatures(data, starts, ends, width, bands * rows)
+        shingle, row, repeat = weighted_shingles(table, width)
+        filled, signature = signatures(shingle, row, repeat, bands * rows)
         value = np.zeros((len(filled), bands), np.uint64)
         for i in range(rows):
             value = mix(value * np.uint64(5) + signature[:, i::rows])
         value = mix(value + np.arange(bands, dtype=np.uint64)).view(np.int64)
         length = np.zeros(table.num_rows, np.int64)
-        length[filled] = bands
-        offsets = np.concatenate(([0], np.cumsum(length))).astype(np.int32)
-        lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(value.reshape(-1)))
-        return pa.table({"id": table.column("id"), "digest": table.column("digest"), "bands": lists})
+        length[filled] = 1
+        return pa.table(
+            {
+                "id": table.column("id"),
+                "digest": table.column("digest"),
+                "bands": _lists(value, length * bands),
+            }
+        )
 
     return sign
 
 
 def _sets(width: int) -> Callable[[pa.Table], pa.Table]:
     def collect(table: pa.Table) -> pa.Table:
-        data, starts, ends = buffer_of(table.column("text"))
-        value, row = shingles(data, starts, ends, width)
-        value = (value >> np.uint64(32)).astype(np.uint32)
-        joined = np.unique((row.astype(np.uint64) << np.uint64(32)) | value)
-        size = np.bincount((joined >> np.uint64(32)).astype(np.int64), minlength=table.num_rows)
-        raw = (joined & np.uint64(0xFFFFFFFF)).astype(np.uint32)
+        shingle, row, repeat = weighted_shingles(table, width)
+        shingle, row = shingle[repeat == 0] >> np.uint64(12), row[repeat == 0]
+        size = np.bincount(row, minlength=table.num_rows)
+        # A bit of the sketch is the parity of the number of elements that fall on it.
+        at = row * (64 * SKETCH) + (shingle % np.uint64(64 * SKETCH)).astype(np.int64)
+        parity = np.bincount(at, minlength=table.num_rows * 64 * SKETCH) & 1
+        sketch = np.packbits(parity.astype(np.uint8).reshape(table.num_rows, -1), axis=1).view(np.int64)
         offsets = np.concatenate(([0], np.cumsum(size) * 4)).astype(np.int32)
-        elements = pa.Array.from_buffers(pa.binary(), table.num_rows, [None, pa.py_buffer(offsets), pa.py_buffer(raw)])
-        return pa.table({"digest": table.column("digest"), "size": size, "elements": elements})
+        elements = pa.py_buffer(shingle.astype(np.uint32))
+        return pa.table(
+            {
+                "digest": table.column("digest"),
+                "size": size,
+                "sketch": _lists(sketch, np.full(table.num_rows, SKETCH)),
+                "elements": pa.Array.from_buffers(pa.binary(), table.num_rows, [None, pa.py_buffer(offsets), elements]),
+            }
+        )
 
     return collect
