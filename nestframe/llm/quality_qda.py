@@ -59,17 +59,16 @@ def statistics(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nda
 
     hasher = Hasher(data) if len(begin) else None
     hashes = hasher(begin, stop) if len(begin) else np.zeros(0, np.uint64)
-    fresh = _repeats(hashes, row)
     pair, pair_row = _runs(hashes, row, 2)
     five, five_row = _runs(hashes, row, 5)
-    of_runs = lambda value, at: _logit(
-        np.bincount(at, _repeats(value, at), count) / np.maximum(np.bincount(at, minlength=count), 1),
-        np.bincount(at, minlength=count),
-    )
+
+    def repeated(value: np.ndarray, at: np.ndarray) -> np.ndarray:
+        of = np.bincount(at, minlength=count)
+        return _logit(_repeats(value, at, count) / np.maximum(of, 1), of)
+
     line_begin, line_stop, line_row = word_bounds(data, starts, ends, _LINE_END)
     lines = np.bincount(line_row, minlength=count).astype(float)
-    line_hash = hasher(line_begin, line_stop) if len(line_begin) and hasher else np.zeros(0, np.uint64)
-    twice = _repeats(line_hash, line_row) if len(line_hash) else np.zeros(len(line_row))
+    line_hash = hasher(line_begin, line_stop) if hasher else np.zeros(len(line_row), np.uint64)
     ending = np.isin(data[line_stop - 1], list(b".!?\"'")) if len(line_stop) else np.zeros(0)
     columns = [
         np.log1p(words),
@@ -78,12 +77,12 @@ def statistics(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nda
         *kinds,
         of_words(length <= 3),
         of_words(length >= 12),
-        of_words(fresh),
-        of_runs(pair, pair_row),
-        of_runs(five, five_row),
+        repeated(hashes, row),
+        repeated(pair, pair_row),
+        repeated(five, five_row),
         np.log1p(lines),
         np.log1p(words / np.maximum(lines, 1)),
-        _logit(np.bincount(line_row, twice, count) / np.maximum(lines, 1), lines),
+        repeated(line_hash, line_row),
         _logit(np.bincount(line_row, ending, count) / np.maximum(lines, 1), lines),
     ]
     return np.stack(columns, axis=1)
@@ -95,13 +94,12 @@ def _logit(share: np.ndarray, of: np.ndarray) -> np.ndarray:
     return np.log(share / (1 - share))
 
 
-def _repeats(value: np.ndarray, row: np.ndarray) -> np.ndarray:
-    """1.0 for each value that its row has had before, else 0.0."""
-    order = np.lexsort((value, row))
-    again = np.zeros(len(value))
-    if len(value):
-        again[order[1:]] = (value[order[1:]] == value[order[:-1]]) & (row[order[1:]] == row[order[:-1]])
-    return again
+def _repeats(value: np.ndarray, row: np.ndarray, count: int) -> np.ndarray:
+    """For each of ``count`` rows, how many of its values it has had before; values are compared by 44 bits."""
+    joined = (row.astype(np.uint64) << np.uint64(44)) | (value >> np.uint64(20))
+    joined.sort()
+    again = joined[1:][joined[1:] == joined[:-1]] >> np.uint64(44)
+    return np.bincount(again.astype(np.int64), minlength=count).astype(float)
 
 
 def _runs(hashes: np.ndarray, row: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
