@@ -5,6 +5,7 @@ from nestframe.operators import (
     absent_rows,
     assemble,
     audit_foreign_key,
+    audit_model,
     audit_not_null,
     audit_primary_key,
     conform,
@@ -42,6 +43,7 @@ __all__ = [
     "any_item_equals",
     "assemble",
     "audit_foreign_key",
+    "audit_model",
     "audit_not_null",
     "audit_primary_key",
     "canonical",

@@ -4,6 +4,7 @@ from nestframe.operators.append import absent_rows
 from nestframe.operators.assemble import assemble
 from nestframe.operators.audit import (
     audit_foreign_key,
+    audit_model,
     audit_not_null,
     audit_primary_key,
     difference,
@@ -19,6 +20,7 @@ __all__ = [
     "absent_rows",
     "assemble",
     "audit_foreign_key",
+    "audit_model",
     "audit_not_null",
     "audit_primary_key",
     "conform",

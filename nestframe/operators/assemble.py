@@ -34,12 +34,14 @@ def assemble(
     its lists; nothing is left out. At the root the pieces are rows, told apart by ``_part``: "0",
     "1"... for stretches of the root's own lists, and "0.1", "0.2"... for later pieces of items
     on stretch "0". So the rows without a dot hold the first piece of each item exactly once.
-    By default ``list_size`` keeps a row below a million items along any chain of lists. Whether
-    there are such lists is found out by a Spark job when this is called.
+    By default ``list_size`` keeps a row below a million items along any chain of lists, and
+    documents that were rows before stay rows. Whether there are such lists is found out by a Spark
+    job when this is called.
     """
     layout = tables.layout.only(fields) if fields is not None else tables.layout
     size = list_size or _default_list_size(layout)
-    split = not tables.rows_fit and _any_list_over(tables, layout, size)
+    asked = list_size is not None or not tables.rows_fit
+    split = asked and _any_list_over(tables, layout, size)
     if split:
         tables = _with_positions(tables, layout, size)
     plan = _Plan(tables, size, split)

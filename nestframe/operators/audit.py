@@ -8,7 +8,9 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from nestframe.functions.keys import row_text
 from nestframe.plans.layout import Kind, Table
+from nestframe.plans.model import nullable_type
 from nestframe.plans.tables import DocumentTables
 
 
@@ -54,6 +56,37 @@ def audit_foreign_key(
     return counts.join(keys, column, "left_anti")
 
 
+def audit_model(tables: DocumentTables) -> DataFrame:
+    """All checks of a layout: ``table_name, column, fault, n_rows``, a row for each that fails.
+
+    Faults are ``missing`` (a required value), ``repeated`` (rows beyond the first of a key) and
+    ``no parent`` (a row whose parent key no parent has).
+    """
+    found = []
+
+    def add(table: Table, column: str, fault: str, rows: DataFrame, count: str) -> None:
+        named = rows.agg(F.coalesce(F.sum(count), F.lit(0)).cast("long").alias("n_rows"))
+        labels = (F.lit(v).alias(n) for n, v in (("table_name", table.name), ("column", column), ("fault", fault)))
+        found.append(named.select(*labels, "n_rows"))
+
+    for table in tables.layout.walk():
+        rows = tables[table.name]
+        missing = audit_not_null(rows, [c for c in required_columns(table) if c in rows.columns])
+        found.append(
+            missing.select(
+                F.lit(table.name).alias("table_name"), "column", F.lit("missing").alias("fault"), F.col("n_null").alias("n_rows")
+            )
+        )
+        if tables.has_key(table):
+            repeated = audit_primary_key(rows.where(F.col(table.key).isNotNull()), table.key)
+            add(table, table.key, "repeated", repeated.select((F.col("n_rows") - 1).alias("n")), "n")
+        if table.parent:
+            parents = tables[table.parent]
+            orphans = audit_foreign_key(rows, table.parent_key, parents, table.parent_key)
+            add(table, table.parent_key, "no parent", orphans, "n_rows")
+    return reduce(DataFrame.unionByName, found).where("n_rows > 0")
+
+
 def table_counts(tables: DocumentTables) -> DataFrame:
     """Number of rows of each table."""
     counts = [
@@ -68,13 +101,18 @@ def table_counts(tables: DocumentTables) -> DataFrame:
 def difference(expected: DataFrame, actual: DataFrame) -> DataFrame:
     """One row: how many rows of each side the other lacks, copies counted.
 
-    One aggregation does for both directions; equal rows meet in its map-side half.
+    Rows are compared by a digest of their content, so that not they but their digests are
+    shuffled, summed up before; one aggregation does for both directions.
     """
-    columns = expected.columns
-    both = expected.withColumn("_side", F.lit(1)).unionByName(
-        actual.select(*columns).withColumn("_side", F.lit(-1))
-    )
-    surplus = both.groupBy(*columns).agg(F.sum("_side").alias("_surplus"))
+    fields = expected.schema.fields
+
+    def digests(rows: DataFrame, side: int) -> DataFrame:
+        # Cast, so that the other side's text is written from the same types.
+        alike = rows.select(*(F.col(f"`{f.name}`").cast(nullable_type(f.dataType)).alias(f.name) for f in fields))
+        return alike.select(F.unhex(F.sha2(row_text(fields), 256)).alias("_row"), F.lit(side).alias("_side"))
+
+    both = digests(expected, 1).unionByName(digests(actual, -1))
+    surplus = both.groupBy("_row").agg(F.sum("_side").alias("_surplus"))
     zero = F.lit(0).cast("long")
     return surplus.agg(
         F.coalesce(F.sum(F.greatest(F.col("_surplus"), zero)), zero).alias("n_missing"),

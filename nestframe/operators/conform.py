@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from nestframe.functions.nested import rewrite
+from nestframe.plans.model import nullable_type
 
 REJECT = "_reject"
 
@@ -36,7 +37,7 @@ def conform(
             columns.append(F.col(name))
             continue
         field = fields[name]
-        value = F.col(name).try_cast(_nullable(field.dataType))
+        value = F.col(name).try_cast(nullable_type(field.dataType))
         faults += _faults(field, F.col(name), value, rows.schema[name].dataType)
         if (inner := _inner_faults(field, value)) is not None:
             nested.append(inner)
@@ -72,15 +73,6 @@ def _faults(
     return faults
 
 
-def _nullable(dtype: T.DataType) -> T.DataType:
-    """The type without required parts, as values that lack them are cast as well."""
-    if isinstance(dtype, T.ArrayType):
-        return T.ArrayType(_nullable(dtype.elementType))
-    if isinstance(dtype, T.StructType):
-        return T.StructType([T.StructField(f.name, _nullable(f.dataType)) for f in dtype.fields])
-    return dtype
-
-
 def _lost(raw: Column, value: Column, raw_type: T.DataType, dtype: T.DataType) -> Column | None:
     """Whether the value cast back is another one; None for casts that keep all there is."""
     if isinstance(raw_type, T.StringType):

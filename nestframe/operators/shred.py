@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from nestframe.functions.keys import child_key, row_key
+from nestframe.operators.durable import durable
 from nestframe.plans.layout import ITEM, PART, POS, Kind, Table, table_layout
 from nestframe.plans.tables import DocumentTables
 
@@ -28,8 +29,8 @@ def shred(
     Every table is a lazy projection of ``documents``: no shuffle, and each reads only the columns
     it needs. ``key`` names the natural key of a document: one column that is used as it is, or
     several of which a digest is taken. It must be unique and not NULL. Without a natural key the
-    key is a digest of the whole row. Copies are then one document, and every table reads every
-    column and shuffles the documents to find the copies.
+    key is a digest of the whole row. Copies are then one document; the documents are shuffled to
+    find them and written to the shared folder once.
 
     NULL objects and NULL list items that are objects make no row; ``drop_all_null`` also drops
     objects whose attributes are all NULL. NULL values in lists of values are kept.
@@ -38,7 +39,8 @@ def shred(
         raise ValueError(f"Documents in several pieces cannot be shredded; column {PART!r} found.")
     layout = table_layout(model or documents.schema, root, names, keep_id)
     if key is None:
-        documents = documents.distinct()
+        # Written, or each table would look for the copies again.
+        documents = durable(documents.distinct())
     if isinstance(key, str):
         root_key = F.col(key)
     else:

@@ -66,3 +66,12 @@ def model_schema(model: T.StructType | str) -> T.StructType:
     if model.lstrip().startswith("{"):
         return T.StructType.fromJson(json.loads(model))
     return T.StructType.fromDDL(model)
+
+
+def nullable_type(dtype: T.DataType) -> T.DataType:
+    """The type without required parts, as values that lack them are cast as well."""
+    if isinstance(dtype, T.ArrayType):
+        return T.ArrayType(nullable_type(dtype.elementType))
+    if isinstance(dtype, T.StructType):
+        return T.StructType([T.StructField(f.name, nullable_type(f.dataType)) for f in dtype.fields])
+    return dtype

@@ -5,14 +5,17 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from nestframe import (
+    DocumentTables,
     absent_rows,
     audit_foreign_key,
+    audit_model,
     audit_not_null,
     audit_primary_key,
     conform,
     field,
     parse_documents,
     table_counts,
+    table_layout,
     text_output,
 )
 from nestframe.queries.registry import query
@@ -133,6 +136,30 @@ def find_missing_parents(spark: SparkSession, folder: str) -> DataFrame:
     return audit_foreign_key(load(spark, folder, "lineitem"), "l_orderkey", finished, "o_orderkey")
 
 
+@query("""
+    SELECT 'Order_lines' AS table_name, 'Order_id' AS "column", 'no parent' AS fault, count(*) AS n_rows
+    FROM lineitem WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders WHERE o_orderstatus = 'F')
+    UNION ALL
+    SELECT 'Order', 'o_orderpriority', 'missing', count(*) FROM orders
+    WHERE o_orderstatus = 'F' AND o_orderpriority = '1-URGENT'
+    UNION ALL
+    SELECT 'Order_lines', 'Order_lines_id', 'repeated', sum(n - 1)::BIGINT
+    FROM (SELECT count(*) AS n FROM lineitem GROUP BY l_orderkey, l_linenumber)
+""", name="audit_model")
+def audit_whole_model(spark: SparkSession, folder: str) -> DataFrame:
+    """Orders without those not finished, some without their priority, and lines with repeated keys."""
+    line = T.StructType([T.StructField("l_quantity", T.DoubleType())])
+    model = T.StructType([field("o_orderpriority", "string", required=True), T.StructField("lines", T.ArrayType(line))])
+    key = F.concat_ws("/", "l_orderkey", "l_linenumber").alias("Order_lines_id")
+    orders = load(spark, folder, "orders").where("o_orderstatus = 'F'")
+    priority = F.nullif("o_orderpriority", F.lit("1-URGENT")).alias("o_orderpriority")
+    frames = {
+        "Order": orders.select(priority, F.col("o_orderkey").alias("Order_id")),
+        "Order_lines": load(spark, folder, "lineitem").select("l_quantity", F.col("l_orderkey").alias("Order_id"), key),
+    }
+    return audit_model(DocumentTables(table_layout(model, "Order"), frames))
+
+
 @query("""
     SELECT event_id, event_type,
            CASE WHEN event_type <> 'error'

@@ -104,8 +104,17 @@ def filter_equal(spark: SparkSession, folder: str) -> DataFrame:
     WHERE o_orderkey IN (SELECT l_orderkey FROM lineitem WHERE l_returnflag = 'R')
 """)
 def filter_nested_path(spark: SparkSession, folder: str) -> DataFrame:
-    orders = assemble(
-        order_tables(spark, folder), ["o_orderkey", "o_orderstatus", "lines.l_returnflag"]
-    )
-    returned = orders.where(any_item_equals("lines.l_returnflag", "R"))
-    return returned.select("o_orderkey", "o_orderstatus").distinct()
+    """The hit is looked for in the table of lines; orders are chosen by its keys."""
+    tables = order_tables(spark, folder)
+    returned = owner_keys(tables, "Order_lines", F.col("l_returnflag") == "R")
+    whole = fetch(tables, matching=returned, max_rows=None, fields=["o_orderkey", "o_orderstatus"])
+    return whole.select("o_orderkey", "o_orderstatus")
+
+
+@query("""
+    SELECT conv_id FROM conversations WHERE role = 'system' GROUP BY conv_id
+""")
+def filter_nested_value(spark: SparkSession, folder: str) -> DataFrame:
+    """The same on nested documents, by a condition on the items of their list."""
+    talks = assemble(conversation_tables(spark, folder), ["conv_id", "turns.role"])
+    return talks.where(any_item_equals("turns.role", "system")).select("conv_id").distinct()

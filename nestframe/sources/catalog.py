@@ -73,19 +73,22 @@ def load_tables(spark: SparkSession, layout: Table, database: str = "default") -
 
 def save_tables(
     tables: DocumentTables, database: str = "default", buckets: int | None = None
-) -> None:
+) -> list[str]:
     """Creates the tables of a layout and fills them; a table that exists is an error.
 
     With ``buckets`` a table is bucketed by the key it is joined on: its own if it has child
     tables, else that of its parent. Rebuilding then needs no shuffle between these two. A table
     with more rows of one key than an even bucket holds stays unbucketed, since its largest bucket
-    would be read by one task.
+    would be read by one task; the names of such tables are returned.
     """
+    uneven = []
     for table in tables.layout.walk():
         rows = tables[table.name]
         writer = rows.write.mode("errorifexists").format("parquet")
         column = table.key if table.children else table.parent_key
-        if buckets and column and _spreads_evenly(rows, column, buckets):
+        if buckets and column and not _spreads_evenly(rows, column, buckets):
+            uneven.append(table.name)
+        elif buckets and column:
             writer = (
                 rows.repartition(buckets, column)
                 .write.mode("errorifexists")
@@ -94,6 +97,7 @@ def save_tables(
                 .sortBy(column)
             )
         writer.saveAsTable(f"{database}.{table.name}")
+    return uneven
 
 
 def _spreads_evenly(rows: DataFrame, column: str, buckets: int) -> bool:

@@ -319,3 +319,30 @@ def test_schema_is_rejected(spark):
         table_layout("`a.b` int", "D")
     with pytest.raises(ValueError):
         shred(spark.createDataFrame([(1, "0")], "a int, _part string"), "D")
+
+
+def test_an_explicit_list_size_counts_for_shredded_tables(spark):
+    frame = spark.createDataFrame([("a", list(range(10)))], "name string, marks array<int>")
+    pieces = assemble(shred(frame, "D", key="name"), list_size=3).orderBy("_part").collect()
+    assert [len(r["marks"]) for r in pieces] == [3, 3, 3, 1]
+    assert assemble(shred(frame, "D", key="name")).count() == 1
+
+
+def test_keys_tell_microseconds_apart_in_every_time_zone(spark):
+    query = (
+        "SELECT * FROM VALUES ('u', TIMESTAMP'2024-01-01 00:00:00.000001', 0.0D, X'00FF', 1.10),"
+        " ('u', TIMESTAMP'2024-01-01 00:00:00.000002', -0.0D, X'00FE', 1.10) AS t(u, ts, x, b, d)"
+    )
+    rows = spark.sql(query).selectExpr("*", "array('a') AS tags")
+    found = []
+    for zone in ("UTC", "Asia/Tokyo"):
+        spark.conf.set("spark.sql.session.timeZone", zone)
+        fixed = rows.withColumn("ts", F.timestamp_micros(F.when(F.col("b") == F.lit(b"\x00\xff"), 1).otherwise(2)))
+        for key in (["u", "ts"], None, "ts"):
+            tags = shred(fixed, "K", key=key)["K_tags"]
+            found.append([str(r[0]) for r in tags.select(tags.columns[1]).collect()])
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert all(len(set(keys)) == 2 for keys in found)
+    assert [sorted(k) for k in found[:2]] == [sorted(k) for k in found[3:5]]
+    zero = spark.sql("SELECT 0.0D AS x, array(struct(1 AS y)) AS l UNION ALL SELECT -0.0D, array(struct(1 AS y))")
+    assert shred(zero, "Z", key=["x"])["Z_l"].select("Z_id").distinct().count() == 1
