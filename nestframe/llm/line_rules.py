@@ -36,7 +36,7 @@ def clean_lines(
     text_column: str = "text",
     least_words: int = 10,
     repeated_percent: int = 20,
-    lost_share: float = 0.4,
+    lost_share: float = 0.5,
     symbol_share: float = 0.1,
 ) -> DataFrame:
     """``id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept, cleaned, n_bad_lines``.

@@ -164,7 +164,7 @@ judged AS (
     FROM counted LEFT JOIN covered USING (place) LEFT JOIN remaining USING (place))
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
        n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
-       NOT (n_words < 10 OR 100 * n_repeat_words > 20 * n_words) AND n_left >= 0.6::DOUBLE * word_chars AS kept
+       NOT (n_words < 10 OR 100 * n_repeat_words > 20 * n_words) AND n_left >= 0.5::DOUBLE * word_chars AS kept
 FROM judged
 """
 
