@@ -181,8 +181,8 @@ def fit_toxicity(
 
 
 def _term_features(groups: tuple[tuple[str, ...], ...]) -> np.ndarray:
-    """The features that swapping can change."""
-    words = pa.array([term for group in groups for term in group], pa.string())
+    """The features that swapping can change; neutral words have none, so that no weight can move to them."""
+    words = pa.array([term for group in groups for term in group[1:]], pa.string())
     return text_features(*buffer_of(words))[0] if len(words) else np.zeros(0, np.uint64)
 
 
