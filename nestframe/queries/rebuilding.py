@@ -2,6 +2,7 @@
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from nestframe import assemble, canonical, difference, nan_as_null, shred
 from nestframe.plans import DocumentTables, table_layout
@@ -149,3 +150,43 @@ def round_trip_diff(spark: SparkSession, folder: str) -> DataFrame:
     fields = [*documents.columns[:-1], "paragraphs.text", "paragraphs.words"]
     rebuilt = assemble(shred(documents, "Document", key="doc_id"), fields)
     return difference(documents, rebuilt.drop("id", "_part"))
+
+
+@query("""
+    SELECT vec_id, CAST(p - 1 AS INTEGER) AS pos, embedding[p] AS value
+    FROM embeddings, LATERAL unnest(range(1, len(embedding) + 1)) AS r(p)
+""")
+def assemble_list_values(spark: SparkSession, folder: str) -> DataFrame:
+    """Each value of a rebuilt list at its place."""
+    vectors = assemble(shred(load(spark, folder, "embeddings"), "Vector", key="vec_id"))
+    return vectors.select("vec_id", F.posexplode("embedding").alias("pos", "value"))
+
+
+@query("""
+    SELECT conv_id, CAST(row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS INTEGER) AS pos,
+           turn, role, text
+    FROM conversations
+""")
+def assemble_list_objects(spark: SparkSession, folder: str) -> DataFrame:
+    """Each object of a rebuilt list at its place."""
+    talks = assemble(conversation_tables(spark, folder))
+    items = talks.select("conv_id", F.posexplode("turns").alias("pos", "item"))
+    return items.select("conv_id", "pos", "item.turn", "item.role", "item.text")
+
+
+@query("""
+    SELECT orders.*, lineitem.* EXCLUDE (l_orderkey)
+    FROM orders JOIN lineitem ON l_orderkey = o_orderkey
+""")
+def assemble_full_width(spark: SparkSession, folder: str) -> DataFrame:
+    """Orders and lines with all their columns, rebuilt and taken apart line by line."""
+    orders, lines = load(spark, folder, "orders"), load(spark, folder, "lineitem")
+    line = T.StructType([f for f in lines.schema if f.name != "l_orderkey"])
+    model = T.StructType([*orders.schema, T.StructField("lines", T.ArrayType(line))])
+    frames = {
+        "Order": orders.select("*", F.col("o_orderkey").alias("Order_id")),
+        "Order_lines": lines.withColumnRenamed("l_orderkey", "Order_id"),
+    }
+    order = {"Order_lines": ["l_linenumber"]}
+    whole = assemble(DocumentTables(table_layout(model, "Order"), frames, order=order))
+    return whole.select(*orders.columns, F.inline("lines")).drop("id")
