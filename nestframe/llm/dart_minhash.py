@@ -96,7 +96,7 @@ def _classes(documents: DataFrame, id_column: str, text_column: str, threshold,
         F.coalesce(F.col(id_column).cast("long"), F.lit(NO_ID)).alias("id"), F.col(text_column).alias("text")
     )
     texts = texts.select("id", F.when(F.col("text").rlike(_WORD), _digest(F.col("text"))).alias("digest"), "text")
-    members = durable(texts.mapInArrow(batched(_sign(width, bands, rows), 2 << 20, rows=512), "id long, digest binary, bands array<long>"))
+    members = durable(texts.mapInArrow(batched(_sign(width, bands, rows), rows=256), "id long, digest binary, bands array<long>"))
     nodes = members.where("digest IS NOT NULL").groupBy("digest").agg(F.first("bands").alias("bands"))
     nodes = durable(nodes)
     entries = nodes.select("digest", F.explode("bands").alias("bucket"))
@@ -105,7 +105,7 @@ def _classes(documents: DataFrame, id_column: str, text_column: str, threshold,
     chosen = placed.select(F.col("node").alias("digest")).distinct()
     chosen = texts.select("digest", "text").join(chosen, "digest", "left_semi").dropDuplicates(["digest"])
     sets = "digest binary, size long, sketch array<long>, elements binary"
-    sets = durable(chosen.mapInArrow(batched(_sets(width), 2 << 20, rows=512), sets))
+    sets = durable(chosen.mapInArrow(batched(_sets(width), rows=256), sets))
 
     links = durable(_check(_by_leader(placed), sets, threshold, most=2))
     roots = components(links)

@@ -180,8 +180,8 @@ def pack(
 
         words, part, before = shared_tokenizer(tokenizer), TaskContext.get().partitionId(), {}
         for batch in batches:
-            for begin in range(0, batch.num_rows, 2000):
-                some = batch.slice(begin, 2000)
+            for begin in range(0, batch.num_rows, 1000):
+                some = batch.slice(begin, 1000)
                 ids, counts = words.encode_column(some.column("text"))
                 counts = counts + 1
                 ends = np.cumsum(counts)

@@ -12,7 +12,7 @@ import pyarrow.compute as pc
 from nestframe.llm.bytesets import ranges
 
 #: Words that a Python worker remembers; when they are as many, it starts anew.
-REMEMBERED = 500_000
+REMEMBERED = 300_000
 #: Characters below this may take the short way.
 _LIMIT = 0x180
 
