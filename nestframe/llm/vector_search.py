@@ -32,7 +32,7 @@ from nestframe.operators.durable import durable
 DIRECTIONS = 8
 #: Projections the top of the tree is fitted on at most, and so its cells at most; over a billion vectors want more.
 SAMPLED = 20_000
-_LEAF = 32
+_LEAF = 128
 
 
 def chi_square(x: float, degrees: int = DIRECTIONS) -> float:
@@ -79,7 +79,7 @@ class Tree:
         return number
 
     def leaves(self, point: np.ndarray):
-        """The leaves from near to far: squared distance at least, leaf's rows."""
+        """The leaves from near to far: squared distance at least, number of the node."""
         heap = [(0.0, 0, 0, np.zeros(len(point)))]
         tie = 0
         while heap:
@@ -93,7 +93,14 @@ class Tree:
                 tie += 1
                 heapq.heappush(heap, (near - offset[axis] ** 2 + gap**2, tie, far, other))
                 axis, cut, left, right = self.nodes[number]
-            yield near, left
+            yield near, number
+
+    def packed(self) -> tuple[np.ndarray, dict[int, tuple[int, int]]]:
+        """The points leaf after leaf, and where each leaf begins and ends there."""
+        leaves = [(number, node[2]) for number, node in enumerate(self.nodes) if node[0] < 0]
+        ends = np.cumsum([len(rows) for _, rows in leaves]).tolist()
+        bounds = {number: (end - len(rows), end) for (number, rows), end in zip(leaves, ends, strict=True)}
+        return np.concatenate([rows for _, rows in leaves]), bounds
 
     def cell_of(self, points: np.ndarray) -> np.ndarray:
         """The leaf each point falls in."""
@@ -230,16 +237,29 @@ def _search(k: int, dimension: int, radius: float) -> Callable[[pa.Table, pa.Tab
             cell = cell.sort_by("key")
             vectors, points = _matrix(cell.column("v"), dimension), _matrix(cell.column("p"), DIRECTIONS)
             names = cell.column("ids").to_pylist()
+            # In the order of leaves, so that a leaf is a slice.
             tree = Tree(points)
+            order, leaf_at = tree.packed()
+            vectors, points, names = vectors[order], points[order], [names[i] for i in order.tolist()]
+            units = _unit(vectors)
             asked, places = _matrix(queries.column("v"), dimension), _matrix(queries.column("p"), DIRECTIONS)
-            for own, bound, v, p in zip(queries.column("id").to_pylist(), queries.column("bound").to_pylist(), asked, places, strict=True):
+            directions = _unit(asked)
+            for own, bound, v, p, u in zip(
+                queries.column("id").to_pylist(), queries.column("bound").to_pylist(), asked, places, directions, strict=True
+            ):
                 best: list[tuple[float, int]] = []
                 limit = bound
-                for near, rows in tree.leaves(p):
+                for near, leaf in tree.leaves(p):
                     # Had anything nearer than the limit been left, its projection would most likely be nearer as well.
                     if near > radius * limit:
                         break
-                    close = rows[((points[rows] - p) ** 2).sum(axis=1) <= radius * limit] if limit < inf else rows
+                    first, last = leaf_at[leaf]
+                    away = points[first:last] - p
+                    close = np.einsum("ij,ij->i", away, away) <= radius * limit
+                    if len(best) == k:
+                        # What rounding could not bring among the best need not be looked at exactly.
+                        close &= units[first:last] @ u >= -best[-1][0] - 1e-9
+                    close = np.flatnonzero(close) + first
                     if not len(close):
                         continue
                     exact = cosines(v, vectors[close])

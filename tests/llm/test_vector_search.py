@@ -52,7 +52,9 @@ def test_tree_gives_leaves_from_near_to_far():
     points = np.random.default_rng(1).normal(size=(500, 8))
     tree, at = Tree(points, leaf=7), np.zeros(8)
     seen, last = [], 0.0
-    for near, rows in tree.leaves(at):
+    order, leaf_at = tree.packed()
+    for near, leaf in tree.leaves(at):
+        rows = order[slice(*leaf_at[leaf])]
         assert near >= last and all((points[rows] ** 2).sum(axis=1) >= near - 1e-9)
         seen += rows.tolist()
         last = near
