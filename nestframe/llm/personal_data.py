@@ -3,8 +3,9 @@
 Four patterns with their checks find what counts anyhow (the base). Beyond it, generous generators propose spans that
 may overlap: numbers written in groups, addresses spelled out, long mixed strings as keys have them. Boosted trees judge
 each by its format and its context. They learn from the corpus itself: candidates that a pattern with its check
-confirms, or that are assigned to a name such as ``token``, are examples for; other candidates are examples against,
-but for those that fail nothing but a checksum, which teach nothing. Probabilities are calibrated on candidates left
+confirms, that are assigned to a name such as ``token``, or that have the form and a word beside them (``call``,
+``ssn``, ``mail``; brackets around ``at`` will do), are examples for. Those that fail nothing but a checksum, or have
+the form but no such word, teach nothing. Other candidates are examples against. Probabilities are calibrated on candidates left
 out of the boosting, and each generator has the lowest threshold that keeps the precision there. Of overlapping
 candidates above it the likeliest stays; none may overlap the base.
 
@@ -48,6 +49,20 @@ _DOMAIN = re.compile(r"[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)+")
 _ADDRESS = re.compile(r"\b[\w.+-]{1,64} ?(?:\[at\]|\(at\)| at ) ?[\w-]{1,64}(?: ?(?:\[dot\]|\(dot\)| dot ) ?\w{2,20})+", re.I)
 _NUMBER = re.compile(r"[0-9](?:[ ./()-]{0,2}[0-9]){6,}+")
 _SECRET = re.compile(r"[A-Za-z0-9+/_=-]{16,}+")
+#: What national phone numbers and social security numbers look like.
+_NATIONAL = re.compile(
+    r"0[0-9]{1,4}\)?[ /.-]{0,2}[0-9]{3,8}(?:[ -][0-9]{2,4})?|0[0-9](?:[ .-][0-9]{2}){4}|[0-9]{3}\)?[ .-]{1,2}[0-9]{3}[ .-][0-9]{4}"
+)
+_SOCIAL = re.compile(r"[0-9]{3}[ -][0-9]{2}[ -][0-9]{4}")
+_PHONE_WORDS = re.compile(r"(?<![a-z])(?:telefon|telephone|tel|phone|call|fax|mobile?|cell|handy|whatsapp)(?![a-z])")
+_ID_WORDS = re.compile(r"(?<![a-z])(?:ssn|social security|passport|ausweis|id|account|acct|konto|iban|card|visa)(?![a-z])")
+_MAIL_WORDS = re.compile(r"(?<![a-z])(?:e-?mail|mail|contact|kontakt|write|reach)(?![a-z])")
+_AT = re.compile(r" ?(?:\[at\]|\(at\)) ?| at ", re.I)
+_DOT = re.compile(r" ?(?:\[dot\]|\(dot\)) ?| dot ", re.I)
+_PLAIN_ADDRESS = re.compile(r"[\w.+-]+@[\w-]+(?:\.\w+)*\.([A-Za-z]{2,20})")
+_TOP_LEVEL = frozenset("com org net edu gov info biz io eu de at ch fr es it nl uk us ca au jp cn in br pl se no dk fi be".split())
+_RUN_BEFORE = re.compile(r"[0-9][ ./()-]{0,2}\Z")
+_RUN_BEHIND = re.compile(r"[ ./()-]{0,2}[0-9]")
 _ASSIGNED = re.compile(r"(?:token|key|secret|passw\w*|auth\w*|bearer)[\"']?\s*[=:]?\s*[\"']?\Z", re.I)
 
 
@@ -128,21 +143,51 @@ def features(text: str, begin: int, end: int, kind: str) -> list[float]:
         float(after[:1].isalnum()),
         float(before[-1:] in ("", " ", "\n", "\t")),
         *(float(any(word in near for word in words)) for words in CONTEXT),
+        float(bool(_PHONE_WORDS.search(near))),
+        float(bool(_ID_WORDS.search(near))),
+        float(bool(_MAIL_WORDS.search(near))),
+        float(kind == "number" and bool(_NATIONAL.fullmatch(span))),
+        float(kind == "number" and bool(_SOCIAL.fullmatch(span))),
+        float(kind == "number" and _within_run(text, begin, end)),
+        float(kind == "address" and ("[" in span or "(" in span)),
+        float(kind == "address" and plain_address(span).rpartition(".")[2].lower() in _TOP_LEVEL),
     ]
 
 
 def weak_label(text: str, begin: int, end: int, kind: str, base: list[tuple[int, int, str]]) -> int | None:
-    """1 or 0 as far as patterns, checks and assignments tell, else None."""
+    """1 or 0 as far as patterns, checks, assignments and context words tell, else None."""
     span = text[begin:end]
-    if any(min(end, z) - max(begin, a) >= 0.8 * (end - begin) for a, z, _ in base):
-        return 1
+    over = [(min(end, z) - max(begin, a), z - a) for a, z, _ in base if a < end and begin < z]
+    if over:
+        return 1 if any(common >= 0.8 * max(end - begin, size) for common, size in over) else None
+    near = text[max(0, begin - 32) : begin].lower()
     if kind == "secret":
         return int(bool(_ASSIGNED.search(text, max(0, begin - 32), begin)))
-    digits = re.sub("[^0-9]", "", span)
-    if kind == "number" and 12 <= len(digits) <= 19 and _CARD.fullmatch(span):
+    if kind == "address":
+        written = _PLAIN_ADDRESS.fullmatch(plain_address(span))
+        if written and ("[" in span or "(" in span or _MAIL_WORDS.search(near)):
+            return 1
+        return None if written and written[1].lower() in _TOP_LEVEL else 0
+    digits = sum(c in "0123456789" for c in span)
+    whole = not _within_run(text, begin, end)
+    phone, known = _PHONE_WORDS.search(near), _ID_WORDS.search(near)
+    if phone or known:
+        formed = phone and _NATIONAL.fullmatch(span) or known and _SOCIAL.fullmatch(span)
+        return 1 if formed or whole and digits <= (19 if known else 15) else None
+    if 12 <= digits <= 19 and _CARD.fullmatch(span):
         around = text[begin - 1 : begin] + text[end : end + 1]
-        return 0 if around.isalnum() or any(c.isalnum() for c in around) else None
-    return 0
+        return 0 if any(c.isalnum() for c in around) else None
+    return None if _NATIONAL.fullmatch(span) or _SOCIAL.fullmatch(span) else 0
+
+
+def plain_address(span: str) -> str:
+    """An address that is spelled out, as it would be written."""
+    return _DOT.sub(".", _AT.sub("@", span))
+
+
+def _within_run(text: str, begin: int, end: int) -> bool:
+    """Whether a number goes on, over separators, before or behind the place."""
+    return bool(_RUN_BEFORE.search(text, max(0, begin - 3), begin) or _RUN_BEHIND.match(text, end))
 
 
 class Detector:

@@ -63,3 +63,34 @@ def test_trees_learn_what_no_line_parts():
     assert ((p > 0.5) == (y[held] == 1)).mean() > 0.95
     sure = p > 0.9
     assert y[held][sure].mean() > 0.9
+
+
+def planted(n=240):
+    """Numbers and addresses beside words that tell what they are, and prose with numbers and places."""
+    rows, letters = [], "abcdefghijklmnop"
+    for i in range(n):
+        word = letters[i % 16] * (1 + i % 3) + letters[i // 16] * (1 + i % 5) + "in"
+        rows += [
+            f"Please call 030 {1234567 + 7919 * i} before noon.",
+            f"Her ssn is {100 + i}-{10 + i % 90}-{1000 + 31 * i} as filed.",
+            f"You may mail {word} at {word[::-1]} dot com for more.",
+            f"or {word} [at] {word[::-1]} [dot] org",
+            f"The survey counted {1000000 + 104729 * i} birds over the years.",
+            f"We met at {word} dot {('after', 'so', 'now', 'then', 'and')[i % 5]} that we left.",
+        ]
+    return rows
+
+
+def test_planted_numbers_and_addresses_are_found_and_prose_is_not(spark):
+    frame = spark.createDataFrame([(t,) for t in planted()], "text string")
+    detector = fit_detector(frame)
+    probes = {
+        "Please call 040 7654321 before noon.": "040 7654321",
+        "Her ssn is 123-45-6789 as filed.": "123-45-6789",
+        "You may mail kim at mail dot com for more.": "kim at mail dot com",
+        "or eve [at] mail [dot] org": "eve [at] mail [dot] org",
+        "The survey counted 7654321 birds over the years.": None,
+        "We met at dawn dot after that we left.": None,
+    }
+    for text, wanted in probes.items():
+        assert [text[a:z] for a, z, *_ in detector.spans(text)] == ([wanted] if wanted else []), text
