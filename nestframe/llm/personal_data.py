@@ -5,16 +5,17 @@ may overlap: numbers written in groups, addresses spelled out, long mixed string
 each by its format and its context. They learn from the corpus itself: candidates that a pattern with its check
 confirms, that are assigned to a name such as ``token``, or that have the form and a word beside them (``call``,
 ``ssn``, ``mail``; brackets around ``at`` will do), are examples for. Those that fail nothing but a checksum, or have
-the form but no such word, teach nothing. Other candidates are examples against. Probabilities are calibrated on candidates left
-out of the boosting, and each generator has the lowest threshold that keeps the precision there. Of overlapping
+the form but no such word, teach nothing. Other candidates are examples against. Probabilities are calibrated on
+candidates left out of the boosting, and each generator has the lowest threshold that keeps the precision there. Of overlapping
 candidates above it the likeliest stays; none may overlap the base.
 
-The trees are fitted on the candidates of at most ``SAMPLED_DOCUMENTS`` documents, 20 of each at most. All documents
-are searched whole.
+Candidates of all documents are labelled. The trees are grown on those with the smallest hashes, ``EXAMPLES`` at most of
+each kind and label; thresholds come from counts of the scores of all others. All documents are searched whole.
 """
 
 from __future__ import annotations
 
+import hashlib
 import re
 from collections import Counter
 from collections.abc import Callable, Iterable, Iterator
@@ -26,9 +27,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from nestframe.llm.boosting import BoostedTrees
-from nestframe.llm.labelled import by_lot
+from nestframe.operators.durable import durable
 
-SAMPLED_DOCUMENTS = 10_000
+#: Examples the trees are grown and calibrated on at most, of each kind and label; fewest of a label for trees at all.
+EXAMPLES, LEAST = 5_000, 20
+#: Scores are counted in so many steps.
+BINS = 1_000
 #: Base kinds first; spans that start together are in this order.
 KINDS = ("email", "ip", "card", "phone", "address", "number", "secret")
 BASE = KINDS[:4]
@@ -255,46 +259,80 @@ def _free(taken: list[tuple[int, int]], begin: int, end: int) -> bool:
 
 
 def fit_detector(documents: DataFrame, text_column: str = "text", precision: float = 0.95) -> Detector:
-    """Fits the trees on candidates of a sample of the documents; without enough of them only the base is found."""
+    """Fits the trees on candidates of all documents; without ``LEAST`` different ones for and against only the base is found."""
     rows = documents.select(F.col(text_column).alias("text")).where("text IS NOT NULL")
-    fraction = min(1.0, SAMPLED_DOCUMENTS / max(rows.count(), 1))
 
     def examples(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = []
+            found: dict[tuple[int, int, int], list] = {}
             for text in batch.column(0).to_pylist():
                 if not _ANYTHING.search(text):
                     continue
                 base = base_spans(text)
-                for span in list(dict.fromkeys(candidates(text)))[:20]:
-                    label = weak_label(text, *span, base)
+                for begin, end, kind in dict.fromkeys(candidates(text)):
+                    label = weak_label(text, begin, end, kind, base)
                     if label is not None:
-                        found.append({"x": [float(v) for v in features(text, *span)], "y": label})
-            kind = pa.schema([("x", pa.list_(pa.float64())), ("y", pa.int32())])
-            yield pa.RecordBatch.from_pylist(found, kind)
-
-    # Chosen by what is written, so that a repeated run learns the same.
-    sampled = rows.where(by_lot(fraction, "text"))
-    examples_of = sampled.mapInArrow(examples, "x array<double>, y int").collect()
-    found = sorted((tuple(row.x), row.y) for row in examples_of)
-    y = np.array([label for _, label in found], int)
-    if y.sum() < 20 or (1 - y).sum() < 20:
+                        # By what is written, so that a repeated run learns the same.
+                        seen = f"{kind}\0{text[max(0, begin - 32) : begin]}\0{text[begin:end]}\0{text[end : end + 8]}"
+                        lot = int.from_bytes(hashlib.blake2b(seen.encode("utf-8", "replace"), digest_size=8).digest(), "big") >> 1
+                        key = (KINDS.index(kind), label, lot)
+                        if key in found:
+                            found[key][1] += 1
+                        else:
+                            found[key] = [features(text, begin, end, kind), 1]
+            columns = [*zip(*found)] if found else [(), (), ()]
+            x, n = [[float(v) for v in x] for x, _ in found.values()], [n for _, n in found.values()]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, t) for c, t in zip((*columns, x, n), (*[pa.int64()] * 3, pa.list_(pa.float64()), pa.int64()), strict=True)],
+                ["kind", "y", "lot", "x", "n"],
+            )
+
+    known = rows.mapInArrow(examples, "kind long, y long, lot long, x array<double>, n long")
+    known = durable(known.groupBy("kind", "y", "lot").agg(F.first("x").alias("x"), F.sum("n").alias("n")))
+    counts = {(row.kind, row.y): row["count"] for row in known.groupBy("kind", "y").count().collect()}
+    if any(sum(n for (_, label), n in counts.items() if label == y) < LEAST for y in (0, 1)):
         return Detector(None, {})
-    x = np.array([features_of for features_of, _ in found])
-    held = np.arange(len(y)) % 3 == 1
-    trees = BoostedTrees().fit(x, y, held)
-    scores, thresholds = trees.probability(x[held]), {}
-    for number, kind in enumerate(KINDS):
-        own = x[held][:, 0] == number
-        thresholds[kind] = _threshold(scores[own], y[held][own], precision)
-    return Detector(trees, thresholds)
-
-
-def _threshold(scores: np.ndarray, labels: np.ndarray, precision: float) -> float:
-    """The lowest score, a half at least, from which on the precision holds; 0.9 without examples."""
-    order = np.argsort(-scores)
-    good = np.flatnonzero(np.cumsum(labels[order]) >= precision * np.arange(1, len(labels) + 1))
-    return max(0.5, float(scores[order][good[-1]])) if len(good) else 0.9
+    below = {stratum: int(min(1.0, EXAMPLES / n) * (1 << 63)) - 1 for stratum, n in counts.items()}
+    chosen = F.lit(False)
+    for (kind, label), most in below.items():
+        chosen |= (F.col("kind") == kind) & (F.col("y") == label) & (F.col("lot") <= most)
+    found = sorted((tuple(row.x), row.y, row.lot) for row in known.where(chosen).select("x", "y", "lot").collect())
+    x, y = np.array([x for x, _, _ in found]), np.array([label for _, label, _ in found])
+    trees = BoostedTrees().fit(x, y, np.array([lot % 3 == 1 for _, _, lot in found]))
+
+    def score(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: Counter = Counter()
+        for batch in batches:
+            kind, label, lot, n = (np.asarray(batch.column(i)) for i in (0, 1, 2, 4))
+            p = trees.probability(np.array(batch.column(3).to_pylist())) if len(n) else np.zeros(0)
+            most = np.array([below[stratum] for stratum in zip(kind.tolist(), label.tolist(), strict=True)], np.int64)
+            grown = (lot % 3 != 1) & (lot <= most)
+            for *key, count in zip(kind.tolist(), label.tolist(), np.where(grown, -1, (p * BINS).astype(int)).tolist(), n.tolist(), strict=True):
+                sums[tuple(key)] += count
+        columns = [*zip(*sums)] if sums else [(), (), ()]
+        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (*columns, [*sums.values()])], ["kind", "y", "bin", "n"])
+
+    scored = known.mapInArrow(score, "kind long, y long, bin long, n long")
+    histogram = np.zeros((len(KINDS), 2, BINS + 2))
+    for row in scored.groupBy("kind", "y", "bin").agg(F.sum("n").alias("n")).collect():
+        histogram[row.kind, row.y, row.bin] = row.n
+    return Detector(trees, {kind: _threshold(histogram[i], precision) for i, kind in enumerate(KINDS)})
+
+
+def _threshold(histogram: np.ndarray, precision: float) -> float:
+    """The lowest score, a half at least, from which on the precision holds; 0.9 without examples that tell.
+
+    A row of counts by score for each label; the last holds the examples the trees were grown on, whose scores flatter.
+    The others count for these as well.
+    """
+    judged = histogram[:, :-1]
+    sums = judged.sum(axis=1)
+    if any(grown and not n for grown, n in zip(histogram[:, -1], sums, strict=True)):
+        return 0.9
+    against, those_for = judged * ((sums + histogram[:, -1]) / np.maximum(sums, 1))[:, None]
+    above, total = those_for[::-1].cumsum()[::-1], (against + those_for)[::-1].cumsum()[::-1]
+    good = np.flatnonzero((those_for > 0) & (above >= precision * total))
+    return max(0.5, float(good[0]) / BINS) if len(good) else 0.9
 
 
 _SPANS = "array<struct<start: int, end: int, kind: string, base: boolean, score: double>>"

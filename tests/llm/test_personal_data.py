@@ -94,3 +94,12 @@ def test_planted_numbers_and_addresses_are_found_and_prose_is_not(spark):
     }
     for text, wanted in probes.items():
         assert [text[a:z] for a, z, *_ in detector.spans(text)] == ([wanted] if wanted else []), text
+
+
+def test_rare_personal_data_teaches_as_well(spark):
+    """One document in 1,000 holds a key; a sample of 10,000 documents would have about ten of them."""
+    text = "CASE id % 1000 WHEN 0 THEN concat('token = ', sha1(string(id))) WHEN 500 THEN concat('commit ', sha1(string(id))) ELSE 'words' END"
+    detector = fit_detector(spark.range(60_000).selectExpr(f"{text} AS text"))
+    key = "9b0b3c6a43eb78aa99cbd7049c572391524f37a8"
+    assert [s[:3] for s in detector.spans(f"token = {key}")] == [(8, 48, "secret")]
+    assert detector.spans(f"commit {key}") == []
