@@ -1,7 +1,7 @@
 """Finding and redacting personal data: patterns, candidate spans and boosted trees.
 
 Four patterns with their checks find what counts anyhow (the base). Beyond it, generous generators propose spans that
-may overlap: numbers written in groups, addresses spelled out, long mixed strings as keys have them. Boosted trees judge
+may overlap: each stretch of whole digit groups, addresses spelled out, long mixed strings as keys have them. Boosted trees judge
 each by its format and its context. They learn from the corpus itself: candidates that a pattern with its check
 confirms, that are assigned to a name such as ``token``, or that have the form and a word beside them (``call``,
 ``ssn``, ``mail``; brackets around ``at`` will do), are examples for. Those that fail nothing but a checksum, or have
@@ -31,6 +31,8 @@ from nestframe.operators.durable import durable
 
 #: Examples the trees are grown and calibrated on at most, of each kind and label; fewest of a label for trees at all.
 EXAMPLES, LEAST = 5_000, 20
+#: Characters of the longest format of a number, an account number in groups of four.
+LONGEST = 42
 #: Scores are counted in so many steps.
 BINS = 1_000
 #: Base kinds first; spans that start together are in this order.
@@ -52,12 +54,14 @@ _LOCAL_CHARS = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz01
 _DOMAIN = re.compile(r"[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)+")
 _ADDRESS = re.compile(r"\b[\w.+-]{1,64} ?(?:\[at\]|\(at\)| at ) ?[\w-]{1,64}(?: ?(?:\[dot\]|\(dot\)| dot ) ?\w{2,20})+", re.I)
 _NUMBER = re.compile(r"[0-9](?:[ ./()-]{0,2}[0-9]){6,}+")
+_GROUP = re.compile(r"[0-9]+")
 _SECRET = re.compile(r"[A-Za-z0-9+/_=-]{16,}+")
 #: What national phone numbers and social security numbers look like.
 _NATIONAL = re.compile(
-    r"0[0-9]{1,4}\)?[ /.-]{0,2}[0-9]{3,8}(?:[ -][0-9]{2,4})?|0[0-9](?:[ .-][0-9]{2}){4}|[0-9]{3}\)?[ .-]{1,2}[0-9]{3}[ .-][0-9]{4}"
+    r"0[0-9]{1,4}\)?[ /.-]{0,2}[0-9]{3,8}(?:-[0-9]{1,4})?|0[0-9](?:[ .-][0-9]{2}){4}|[0-9]{3}\)?[ .-]{1,2}[0-9]{3}[ .-][0-9]{4}"
 )
 _SOCIAL = re.compile(r"[0-9]{3}[ -][0-9]{2}[ -][0-9]{4}")
+_FORMED_INSIDE = re.compile(rf"(?<![0-9])(?:{_NATIONAL.pattern}|{_SOCIAL.pattern})(?![0-9])")
 _PHONE_WORDS = re.compile(r"(?<![a-z])(?:telefon|telephone|tel|phone|call|fax|mobile?|cell|handy|whatsapp)(?![a-z])")
 _ID_WORDS = re.compile(r"(?<![a-z])(?:ssn|social security|passport|ausweis|id|account|acct|konto|iban|card|visa)(?![a-z])")
 _MAIL_WORDS = re.compile(r"(?<![a-z])(?:e-?mail|mail|contact|kontakt|write|reach)(?![a-z])")
@@ -107,10 +111,9 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
 
 def candidates(text: str) -> Iterator[tuple[int, int, str]]:
     for match in _NUMBER.finditer(text):
-        if match.end() - match.start() <= 40:
-            yield *match.span(), "number"
+        yield from ((begin, end, "number") for begin, end in _windows(text, *match.span()))
     for match in _SECRET.finditer(text):
-        if match.end() - match.start() <= 512 and re.search("[0-9]", match[0]) and re.search("[A-Za-z]", match[0]):
+        if re.search("[0-9]", match[0]) and re.search("[A-Za-z]", match[0]):
             yield *match.span(), "secret"
     lowered = text.lower()
     if "dot" in lowered and "at" in lowered:
@@ -120,6 +123,22 @@ def candidates(text: str) -> Iterator[tuple[int, int, str]]:
         yield begin, end, "address"
 
 
+def _windows(text: str, begin: int, end: int) -> Iterator[tuple[int, int]]:
+    """Stretches of whole digit groups of a run, with seven digits at least and as long as the longest format at most.
+
+    A group longer than that has no part that counts as a number.
+    """
+    groups = [match.span() for match in _GROUP.finditer(text, begin, end)]
+    for first, (start, _) in enumerate(groups):
+        digits = 0
+        for a, z in groups[first : first + LONGEST]:
+            if z - start > LONGEST:
+                break
+            digits += z - a
+            if digits >= 7:
+                yield start, z
+
+
 def features(text: str, begin: int, end: int, kind: str) -> list[float]:
     """What the trees see: the make of the span and of the text around it."""
     span, before, after = text[begin:end], text[max(0, begin - 32) : begin], text[end : end + 8]
@@ -177,7 +196,9 @@ def weak_label(text: str, begin: int, end: int, kind: str, base: list[tuple[int,
     phone, known = _PHONE_WORDS.search(near), _ID_WORDS.search(near)
     if phone or known:
         formed = phone and _NATIONAL.fullmatch(span) or known and _SOCIAL.fullmatch(span)
-        return 1 if formed or whole and digits <= (19 if known else 15) else None
+        if formed or whole and digits <= (19 if known else 15):
+            return 1
+        return 0 if _FORMED_INSIDE.search(span) else None  # numbers in a row, or one and a piece of another
     if 12 <= digits <= 19 and _CARD.fullmatch(span):
         around = text[begin - 1 : begin] + text[end : end + 1]
         return 0 if any(c.isalnum() for c in around) else None

@@ -5,7 +5,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from nestframe.llm.boosting import BoostedTrees
-from nestframe.llm.personal_data import base_spans, find_personal_data, fit_detector, redact_personal_data
+from nestframe.llm.personal_data import base_spans, candidates, find_personal_data, fit_detector, redact_personal_data
 from tests.llm import plain
 
 FOLDER = "/root/testdata/sf0.1"
@@ -103,3 +103,18 @@ def test_rare_personal_data_teaches_as_well(spark):
     key = "9b0b3c6a43eb78aa99cbd7049c572391524f37a8"
     assert [s[:3] for s in detector.spans(f"token = {key}")] == [(8, 48, "secret")]
     assert detector.spans(f"commit {key}") == []
+
+
+def test_numbers_in_a_row_and_long_keys(spark):
+    numbers = ["030 1234567", "030 7654321", "040 1234567", "040 7654321", "089 1234567"]
+    proposed = list(candidates("call " + " ".join(numbers) + "."))
+    assert all((5 + 12 * i, 16 + 12 * i, "number") in proposed for i in range(5))
+    text, key = "from 192.168.1.1 4111111111111112 and", "a1" * 400
+    assert (17, 33, "number") in candidates(text) and (7, 807, "secret") in candidates(f"key is {key}")
+    rows = [f"Please call 030 {1234567 + i} 040 {2345678 + 7 * i} 089 {3456789 + 11 * i} before noon." for i in range(200)]
+    rows += [*planted(), *(f"token = {i}{key}" for i in range(60))]
+    detector = fit_detector(spark.createDataFrame([(t,) for t in rows], "text string"))
+    text = "Please call " + " ".join(numbers) + " before noon."
+    assert [text[a:z] for a, z, *_ in detector.spans(text)] == numbers
+    text = f"token = {key}"
+    assert [text[a:z] for a, z, *_ in detector.spans(text)] == [key]
