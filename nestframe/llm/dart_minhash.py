@@ -1,14 +1,15 @@
 """Near duplicates by DartMinHash signatures, banded joining and an exact check.
 
-A document is the weighted set of its shingles (runs of five words, ASCII case ignored; all its words if there are
-fewer). A shingle found c times weighs 1 + log2(c) / 8, so repeats count a little. Darts fall on the plane of weight
+A document is the set of its shingles (runs of five words, ASCII case ignored; all its words if there are fewer).
+``signatures`` takes weighted sets, in which a shingle found c times weighs 1 + log2(c) / 8; for the bands each counts
+once, with weight 1, as it does in the links. Darts fall on the plane of weight
 and rank as a Poisson process that depends on the shingle alone: the region of its i-th repeat, as wide as that repeat
 weighs, gets hashed exponential waiting times. A document keeps the darts below a rank at which it expects about
 k ln k + 2k of them, whatever its size, deals them to k coordinates by hash, and the earliest dart of each coordinate
 is the signature. Should a coordinate stay empty, the rank doubles. Two signatures agree in a coordinate with the
 probability of the weighted Jaccard similarity.
 
-Five coordinates make a band, 25 bands a signature: a pair at 0.8 shares a band but in 1 of 20,000 cases.
+Five coordinates make a band, 25 bands a signature: a pair at 0.8 shares a band but in 1 of 20,000 cases, whatever it repeats.
 
 Copies count once. Each bucket of a band pairs its members with one of them, chosen by lot in every bucket, and each
 text is checked against the two likeliest of those it met. Where a bucket then still holds several components, what is
@@ -270,6 +271,8 @@ def _lists(values: np.ndarray, lengths: np.ndarray) -> pa.ListArray:
 def _sign(width: int, bands: int, rows: int) -> Callable[[pa.Table], pa.Table]:
     def sign(table: pa.Table) -> pa.Table:
         shingle, row, repeat = weighted_shingles(table, width)
+        # Links ask for plain similarity, so bands must find it however often each text repeats a shingle.
+        shingle, row, repeat = (values[repeat == 0] for values in (shingle, row, repeat))
         filled, signature = signatures(shingle, row, repeat, bands * rows)
         value = np.zeros((len(filled), bands), np.uint64)
         for i in range(rows):

@@ -63,3 +63,13 @@ def test_components_of_a_long_path(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 101), (101, 101)], "a long, b long")
     found = {r.node: r.root for r in components(edges).collect()}
     assert found == {**dict.fromkeys(range(1, 41), 0), 101: 100}
+
+
+def test_repeating_a_text_does_not_hide_it(spark):
+    dice = random.Random(5)
+    rows = []
+    for number in range(36):
+        passage = " ".join(f"w{dice.randrange(10**6)}" for _ in range(60))
+        rows += [(2 * number, passage), (2 * number + 1, " ".join([passage] * (10, 64, 400)[number % 3]))]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r.doc_id: r.class_id for r in near_duplicates(frame).collect()} == {doc: doc // 2 * 2 for doc, _ in rows}
