@@ -5,6 +5,9 @@ counts if its version line, header, length, end and digest are right. Where one
 the next place from which a whole record can be read - a gzip member that unpacks with the right checksum, or a
 version line with a record behind it - goes on there, and logs the bytes between as a gap. So each byte of a file is
 part of a record, of an empty member or of one gap.
+
+What can be unpacked of a damaged gzip member of several records is searched in the same way: its whole records count,
+and the bytes between are gaps with their place inside the member. A damaged member of one record is one gap.
 """
 
 from __future__ import annotations
@@ -30,7 +33,7 @@ _FIELD = re.compile(rb"([!#$%&'*+.^_`|~0-9A-Za-z-]+)[ \t]*:[ \t]*(.*)")
 
 RECORD = (
     "path string, offset long, length long, gap string, type string, record_id string, uri string, refers_to string, "
-    "digest string, payload_bytes long, payload binary"
+    "digest string, payload_bytes long, payload binary, inner_offset long, inner_length long"
 )
 
 
@@ -111,7 +114,8 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
     """A row per record and per gap of the archives in ``path``; ``gap`` says why a gap is one, and is null in records.
 
     Offsets and lengths are bytes of the file as stored; records within one gzip member share its place. The payload
-    is what follows the HTTP header, and null in revisits, whose ``payload_bytes`` comes from that header.
+    is what follows the HTTP header, and null in revisits, whose ``payload_bytes`` comes from that header. A gap within a
+    gzip member has its place in the unpacked bytes as ``inner_offset`` and ``inner_length``, the latter null where unpacking broke off.
     """
     files = spark.read.format("binaryFile").load(path).select("path", "content")
 
@@ -151,10 +155,49 @@ def salvage(content: bytes) -> Iterator[dict]:
         # What was to be read ends where the next whole unit begins; its own end is tried first.
         onward = after if after is not None and (after == len(content) or unit(content, after)[2] is None) else None
         onward = next_valid(content, at + 1) if onward is None else onward
+        inner = list(salvage_member(content[at:onward])) if content.startswith(MAGIC, at) else []
+        if sum(found.get("inner_length", 1) is not None for found in inner) > 1 and any("gap" not in found for found in inner):
+            yield from ({"offset": at, "length": onward - at, **found} for found in inner)
+            at = onward
+            continue
         yield {"offset": at, "length": onward - at, "gap": fault}
         at = onward
 
 
+def salvage_member(member: bytes) -> Iterator[dict]:
+    """The records and gaps of what can be unpacked of a gzip member; a gap has its place in the unpacked bytes."""
+    data, fault = unpacked(member)
+    at = 0
+    while at < len(data):
+        found, after, wrong = plain_record(data, at)
+        if wrong is None:
+            yield found
+            at = after
+            continue
+        whole = lambda place: place == len(data) or plain_record(data, place)[2] is None
+        if after is None or not whole(after):
+            after = next((m.start() for m in _START.finditer(data, at + 1) if whole(m.start())), len(data))
+        yield {"gap": wrong, "inner_offset": at, "inner_length": after - at}
+        at = after
+    if fault:  # what follows could not be unpacked
+        yield {"gap": fault, "inner_offset": len(data), "inner_length": None}
+
+
+def unpacked(member: bytes) -> tuple[bytes, str | None]:
+    """What can be unpacked of a member, damaged or cut short, and what is wrong."""
+    for step in (len(member), 1):  # an error takes all that its step would have given
+        unpacker, data = zlib.decompressobj(31), []
+        try:
+            for begin in range(0, len(member), step):
+                data.append(unpacker.decompress(member[begin : begin + step]))
+                if unpacker.eof:
+                    return b"".join(data), None
+            return b"".join([*data, unpacker.flush()]), "gzip member cut short"
+        except zlib.error as error:
+            fault = f"gzip member broken: {str(error)[:60]}"
+    return b"".join(data), fault
+
+
 def next_valid(content: bytes, begin: int) -> int:
     """The next place from which a gzip member or a record can be read whole, or the end."""
     member, plain = content.find(MAGIC, begin), _START.search(content, begin)

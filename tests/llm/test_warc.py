@@ -93,3 +93,25 @@ def test_damaged_file_in_a_store(spark, tmp_path):
     read = warc.read_warc(spark, str(tmp_path)).collect()
     assert sorted(r.record_id.split(":")[2] for r in read if r.gap is None) == ["0", "1", "3"]
     assert sorted(r.length for r in read if r.gap) == [9, 100]
+
+
+def test_damage_in_a_member_of_several_records_costs_the_record_it_hits():
+    joined = b"".join(RECORDS)
+    pages = lambda content: [r["gap"] if "gap" in r else int(r["record_id"].split(":")[2]) for r in warc.salvage(content)]
+    broken = joined.replace(b"payload 3", b"payload X", 1)
+    member = warc.gzip_member(broken)
+    assert pages(member + warc.gzip_member(RECORDS[0])) == [0, 1, 2, "digest differs", 4, 5, 6, 7, 0]
+    (gap,) = [r for r in warc.salvage(member) if "gap" in r]
+    assert (gap["offset"], gap["length"]) == (0, len(member))
+    assert (gap["inner_offset"], gap["inner_length"]) == (sum(map(len, RECORDS[:3])), len(RECORDS[3]))
+    # A length that is wrong: the next version line tells where to go on.
+    broken = joined.replace(b"Content-Length", b"Content-Lengxx", 1)
+    assert pages(warc.gzip_member(broken)) == ["no content length", *range(1, 8)]
+    # A wrong checksum costs nothing of what was unpacked, a cut what comes after it.
+    member = bytearray(warc.gzip_member(joined))
+    member[-6] ^= 1
+    assert pages(bytes(member) + warc.gzip_member(RECORDS[0]))[:8] == list(range(8))
+    whole = warc.gzip_member(joined)
+    left = pages(whole[: len(whole) * 3 // 4])
+    kept = [page for page in left if isinstance(page, int)]
+    assert len(kept) > 2 and kept == list(range(len(kept)))
