@@ -39,8 +39,8 @@ IDENTITY_GROUPS = (
 _BUCKETS = 1 << 20
 _GAPS = gaps_between(b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789'_")
 _PREFIXES = (4, 5, 6)
-#: Features chosen at most, and texts with terms to swap at most.
-FEATURES, SWAPPED = 20_000, 5_000
+#: Features chosen at most.
+FEATURES = 20_000
 
 
 def text_features(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -196,8 +196,6 @@ def _fit(examples: list, terms: set[int], swap_penalty: float, l2: float, steps:
     change_row, change_at, change = [], [], []
     number = 0
     for _, features, swaps in examples:
-        if number >= SWAPPED:
-            break
         before = terms & set(features)
         for swap in swaps:
             for f in before ^ set(swap):

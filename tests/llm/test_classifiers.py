@@ -7,7 +7,7 @@ import pyspark.sql.functions as F
 import pytest
 
 from nestframe.llm.quality_qda import Discriminant, fit_quality, score_quality
-from nestframe.llm.toxicity import Swapper, drop_toxic, fit_toxicity, score_toxicity
+from nestframe.llm.toxicity import Swapper, _fit, drop_toxic, fit_toxicity, score_toxicity
 
 FOLDER = "/root/testdata/sf0.1"
 
@@ -90,3 +90,12 @@ def test_toxic_documents_go_with_all_columns(spark):
     assert kept.columns == documents.columns
     assert sorted((r.doc_id for r in kept.collect()), key=repr) == sorted([*range(0, 60, 2), None], key=repr)
     assert kept.where(F.col("label") == "y").count() == 1
+
+
+def test_terms_of_toxic_texts_are_swapped_behind_many_clean_ones():
+    """Term 3 is in many clean texts, term 1 in toxic ones only, which come last."""
+    clean = [(0, (3,), ((), (4,)))] * 3000 + [(0, (), ())] * 1000
+    toxic = [(1, (1, 5), ((), (2,)))] * 150 + [(1, (1,), ((), (2,)))] * 150
+    model = _fit(clean + toxic, {1, 2, 3, 4}, swap_penalty=10.0, l2=1e-4)
+    weight = dict(zip(model.hashes.tolist(), model.weights.tolist(), strict=True))
+    assert abs(weight[1]) < 0.5 and weight[5] > 1
