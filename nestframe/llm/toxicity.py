@@ -132,12 +132,11 @@ def fit_toxicity(
 
         for _ in batched(add)(batches):
             pass
-        seen = np.flatnonzero(counts[1])
+        seen = np.flatnonzero(counts.any(axis=0))
         bucket = np.append(seen, -1)
         of = [np.append(counts[k][seen], texts[k]) for k in (0, 1)]
         yield pa.RecordBatch.from_pydict({"bucket": bucket.astype(np.int64), "clean": of[0].astype(np.int64), "toxic": of[1].astype(np.int64)})
 
-    # A bucket that no toxic text of a task has does not come from it; its clean texts there only make it look rarer.
     counted = rows.mapInArrow(count, "bucket long, clean long, toxic long")
     counted = counted.groupBy("bucket").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
     total = counted.where("bucket = -1").first()

@@ -99,3 +99,11 @@ def test_terms_of_toxic_texts_are_swapped_behind_many_clean_ones():
     model = _fit(clean + toxic, {1, 2, 3, 4}, swap_penalty=10.0, l2=1e-4)
     weight = dict(zip(model.hashes.tolist(), model.weights.tolist(), strict=True))
     assert abs(weight[1]) < 0.5 and weight[5] > 1
+
+
+def test_partitions_do_not_change_the_toxicity_model(spark):
+    rows = [(i, f"word{i % 40} thing{i % 7} {'vile' if i % 10 == 0 else 'kind'} text{i % 23}") for i in range(600)]
+    documents = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 10 == 0)) for i, _ in rows], "doc_id long, toxic int")
+    one, many = (fit_toxicity(documents.repartition(n, "doc_id"), labels) for n in (1, 60))
+    assert np.array_equal(one.hashes, many.hashes) and np.array_equal(one.weights, many.weights)
