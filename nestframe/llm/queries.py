@@ -8,13 +8,16 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from nestframe.llm.conversation_repair import conversation_id, damaged, repair
 from nestframe.llm.dart_minhash import near_duplicates
 from nestframe.llm.line_rules import BOILERPLATE, WORD, clean_lines
+from nestframe.llm.merkle import leaf_digest, lower_ascii, manifest
 from nestframe.llm.packing import pack
 from nestframe.llm.personal_data import BASE, find_personal_data
 from nestframe.llm.quality_qda import fit_quality, score_quality
 from nestframe.llm.soft_mixing import DomainModel, fit_domains, mixing_rates
 from nestframe.llm.suffix_dedup import remove_repeats
+from nestframe.llm.token_counts import count_tokens
 from nestframe.llm.toxicity import fit_toxicity, score_toxicity
 from nestframe.llm.vector_search import nearest_vectors
 from nestframe.llm.warc import archived, page_of
@@ -191,3 +194,51 @@ def op3_soft_mixing(spark: SparkSession, folder: str) -> DataFrame:
     documents = table(spark, folder, "documents")
     model = language_model(documents, documents, table(spark, folder, "labels"))
     return mixing_rates(documents, model, LANGUAGES).select("doc_id", "tokens", "domain", "rate", "copies")
+
+
+@query
+def op11_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    """Each document's leaf and proof, and whether the version with its tampered text still has the root."""
+    columns = [F.col(name) for name in ("doc_id", "source", "lang", "n_chars", "text")]
+    tampered = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
+    leaves = table(spark, folder, "documents").select(
+        F.col("doc_id").alias("id"),
+        F.col("source").alias("group"),
+        leaf_digest(columns).alias("leaf"),
+        F.when(tampered, leaf_digest([*columns[:-1], lower_ascii(columns[-1])])).alias("changed"),
+    )
+    return manifest(leaves).select(
+        F.col("id").alias("doc_id"),
+        "leaf",
+        "subroot",
+        "root",
+        F.col("proof").alias("proof_sha256"),
+        F.col("folded").alias("folded_root"),
+        (F.col("folded") == F.col("root")).alias("verified"),
+    )
+
+
+@query
+def op12_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    """Faults and cheapest repair of each conversation after damage."""
+    conversations = table(spark, folder, "conversations")
+    repaired = repair(damaged(conversations))
+    every = conversations.select("conv_id").distinct().select("conv_id", conversation_id().alias("conv"))
+    numbers = ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")
+    return every.join(repaired, "conv", "left").select(
+        "conv_id",
+        *(F.coalesce(name, F.lit(0).cast("long")).alias(name) for name in numbers),
+        F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("repaired_sha256", F.sha2(F.lit("").cast("binary"), 256)).alias("repaired_sha256"),
+    )
+
+
+#: Tokens beyond which a text is reported.
+TOKEN_LIMIT = 4096
+
+
+@query
+def op13_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """Bytes and tokens of each document."""
+    counts = count_tokens(table(spark, folder, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+    return counts.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > TOKEN_LIMIT).alias("over_limit"))
