@@ -1,6 +1,6 @@
 """Nested documents in relational form, on Spark."""
 
-from nestframe.functions import any_item_equals, canonical, equals, nan_as_null
+from nestframe.functions import any_item_equals, equals, nan_as_null
 from nestframe.operators import (
     absent_rows,
     assemble,
@@ -8,12 +8,16 @@ from nestframe.operators import (
     audit_model,
     audit_not_null,
     audit_primary_key,
+    canonical,
+    canonical_tables,
     conform,
+    count_documents,
     difference,
     fetch,
     fetch_by_id,
     flatten,
     flatten_branches,
+    having,
     join_renamed,
     owner_keys,
     required_columns,
@@ -47,7 +51,9 @@ __all__ = [
     "audit_not_null",
     "audit_primary_key",
     "canonical",
+    "canonical_tables",
     "conform",
+    "count_documents",
     "create_tables",
     "difference",
     "durable",
@@ -57,6 +63,7 @@ __all__ = [
     "field",
     "flatten",
     "flatten_branches",
+    "having",
     "insert",
     "join_renamed",
     "list_tables",

@@ -8,7 +8,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from nestframe.functions.nested import rebuild
+from nestframe.functions.nested import exact
 
 # 128 bits as hex: about as collision-free as a random UUID at half the width of a full digest,
 # and short enough for a VARCHAR(36) key column.
@@ -19,28 +19,6 @@ def _digest(text: Column) -> Column:
     return F.substring(F.sha2(text, 256), 1, KEY_LENGTH)
 
 
-def exact(column: Column, dtype: T.DataType) -> Column:
-    """A value as text and JSON tell it apart from all others, whatever the session's time zone.
-
-    Times count microseconds and dates days, bytes are hexadecimal, zero has no sign.
-    """
-
-    def leaf(value: Column, kind: T.DataType) -> Column:
-        if isinstance(kind, T.TimestampType):
-            return F.unix_micros(value)
-        if isinstance(kind, T.DateType):
-            return F.unix_date(value)
-        if isinstance(kind, (T.TimestampNTZType, T.DecimalType)):
-            return value.cast("string")
-        if isinstance(kind, T.BinaryType):
-            return F.hex(value)
-        if isinstance(kind, (T.FloatType, T.DoubleType)):
-            return F.when(value == 0, F.lit(0.0).cast(kind)).otherwise(value)
-        return value
-
-    return rebuild(column, dtype, leaf)
-
-
 def child_key(
     parent_key: Column, attr: str, pos: Column, parent_type: T.DataType | None = None
 ) -> Column:

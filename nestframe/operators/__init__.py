@@ -12,8 +12,10 @@ from nestframe.operators.audit import (
     table_counts,
 )
 from nestframe.operators.conform import conform, text_output
-from nestframe.operators.fetch import fetch, fetch_by_id, owner_keys, restrict
+from nestframe.operators.fetch import fetch, fetch_by_id, owner_keys
 from nestframe.operators.flatten import flatten, flatten_branches, join_renamed
+from nestframe.operators.pieces import canonical, canonical_tables, count_documents, having
+from nestframe.operators.restrict import restrict
 from nestframe.operators.shred import shred
 
 __all__ = [
@@ -23,12 +25,16 @@ __all__ = [
     "audit_model",
     "audit_not_null",
     "audit_primary_key",
+    "canonical",
+    "canonical_tables",
     "conform",
+    "count_documents",
     "difference",
     "fetch",
     "fetch_by_id",
     "flatten",
     "flatten_branches",
+    "having",
     "join_renamed",
     "owner_keys",
     "required_columns",

@@ -5,16 +5,21 @@ from __future__ import annotations
 from collections.abc import Iterable
 from dataclasses import dataclass
 from functools import reduce
+from math import prod
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from nestframe.operators.durable import durable
 from nestframe.operators.numbering import long_parents, number_long_lists
-from nestframe.plans.layout import ITEM, KEY, ORDER, PART, POS, UP, Kind, Table
+from nestframe.operators.restrict import restrict, without
+from nestframe.plans.layout import GIVEN, ITEM, KEY, ORDER, PART, POS, UP, Kind, Table
 from nestframe.plans.tables import DocumentTables
 
 FIRST_PIECE = "0"
-ROWS_PER_DOCUMENT = 1_000_000
+_N = "_n"
+# Items that one row holds at most, of any list of lists.
+ROWS_PER_DOCUMENT = 200_000
 LIST_SIZE = 1_000
 
 
@@ -29,25 +34,36 @@ def assemble(
     rows; an object without a row is NULL, and the first row counts if there are several.
     ``fields`` limits the work to dotted paths: other columns and tables are not read.
 
-    A list may be too long for a row or a task. If any list has over ``list_size`` items, objects
-    with such lists come in several pieces of the same ``id`` and scalars, each with a stretch of
-    its lists; nothing is left out. At the root the pieces are rows, told apart by ``_part``: "0",
-    "1"... for stretches of the root's own lists, and "0.1", "0.2"... for later pieces of items
-    on stretch "0". So the rows without a dot hold the first piece of each item exactly once.
-    By default ``list_size`` keeps a row below a million items along any chain of lists, and
-    documents that were rows before stay rows. Whether there are such lists is found out by a Spark
-    job when this is called.
+    A document is one row. Only one of which a list, or the lists in a list, have more items than a
+    row should hold (``ROWS_PER_DOCUMENT``) comes in several rows, its pieces, each with the same
+    ``id`` and scalars and a stretch of its lists; nothing is left out. With ``list_size`` all
+    documents with longer lists come in pieces, on every level. Whether there are such documents
+    is found out by a Spark job when this is called.
+
+    ``_part`` says where a piece belongs. "0", "1000"... is the position of its first item in each
+    list of the root. "7.1000" has the items at position 7 of the root's lists again, whose own
+    lists begin at position 1000. So rows without a dot have the first piece of each item exactly
+    once, and every value in a list comes once. ``nestframe.operators.pieces`` treats pieces as one
+    document. The column can only be NULL, by its schema, where there may be pieces.
     """
     layout = tables.layout.only(fields) if fields is not None else tables.layout
-    size = list_size or _default_list_size(layout)
-    asked = list_size is not None or not tables.rows_fit
-    split = asked and _any_list_over(tables, layout, size)
-    if split:
-        tables = _with_positions(tables, layout, size)
-    plan = _Plan(tables, size, split)
+    if list_size is not None:
+        if _any_list_over(tables, layout, list_size):
+            return _assembled(tables, layout, list_size)
+    elif not tables.rows_fit and (large := _large_documents(tables, layout)) is not None:
+        others = _assembled(without(tables, large), layout)
+        pieces = _assembled(restrict(tables, large), layout, _default_list_size(layout))
+        return others.unionByName(pieces)
+    return _assembled(tables, layout)
+
+
+def _assembled(tables: DocumentTables, layout: Table, list_size: int | None = None) -> DataFrame:
+    if list_size is not None:
+        tables = _with_positions(tables, layout, list_size)
+    plan = _Plan(tables, list_size or 0, list_size is not None)
     documents = _objects(layout, plan)
-    part = F.col(PART) if split else F.lit(FIRST_PIECE).alias(PART)
-    return documents.select(*_attributes(layout, documents), part)
+    part = F.when(F.col(PART).isNotNull(), F.col(PART)) if plan.split else F.lit(FIRST_PIECE)
+    return documents.select(*_attributes(layout, documents), part.alias(PART))
 
 
 @dataclass(frozen=True)
@@ -63,12 +79,56 @@ class _Plan:
 
 def _default_list_size(layout: Table) -> int:
     """Bounds the product of list lengths along the deepest path."""
-    depth = max(
-        sum(step.is_list for step in layout.lineage(table.name)) for table in layout.walk()
-    )
+    depth = max(_lists_above(layout, table) for table in layout.walk())
     return min(LIST_SIZE, int(ROWS_PER_DOCUMENT ** (1 / max(depth, 1)) + 1e-9))
 
 
+def _lists_above(layout: Table, table: Table) -> int:
+    return sum(step.is_list for step in layout.lineage(table.name))
+
+
+def _large_documents(tables: DocumentTables, layout: Table) -> DataFrame | None:
+    """Keys of the documents with more items than a row should hold; None if there are none.
+
+    If not even the longest lists of all levels together make too many, nothing is joined.
+    """
+    lists = _lists(layout)
+    longest = _longest_lists(tables, lists)
+    found = []
+    for table in lists:
+        chain = [step for step in layout.lineage(table.name) if step.is_list]
+        if prod(longest[step.name] for step in chain) <= ROWS_PER_DOCUMENT:
+            continue
+        counts = _whole(tables, table).groupBy(table.parent_key).agg(F.count(F.lit(1)).alias(_N))
+        for step in reversed(layout.lineage(table.name)[1:-1]):
+            owners = _whole(tables, step).select(step.key, step.parent_key)
+            counts = owners.join(counts, step.key).groupBy(step.parent_key).agg(F.sum(_N).alias(_N))
+        found.append(counts.where(F.col(_N) > ROWS_PER_DOCUMENT).select(layout.key))
+    if not found:
+        return None
+    large = durable(reduce(DataFrame.union, found).distinct())
+    return None if large.isEmpty() else large
+
+
+def _longest_lists(tables: DocumentTables, lists: list[Table]) -> dict[str, int]:
+    """The length of the longest list in each table, found by one job.
+
+    Positions that are known to number the rows tell it without counting.
+    """
+    if not lists:
+        return {}
+    found = []
+    for table in lists:
+        rows = _whole(tables, table)
+        if tables.numbered and tables.has_pos(table):
+            length = rows.agg((F.max(POS) + 1).cast("long").alias(_N))
+        else:
+            counts = rows.groupBy(table.parent_key).agg(F.count(F.lit(1)).alias(_N))
+            length = counts.agg(F.max(_N).alias(_N))
+        found.append(length.select(F.lit(table.name).alias("name"), _N))
+    return {row["name"]: row[_N] or 0 for row in reduce(DataFrame.union, found).collect()}
+
+
 def _lists(layout: Table) -> list[Table]:
     return [table for table in layout.walk() if table.is_list]
 
@@ -84,30 +144,26 @@ def _whole(tables: DocumentTables, table: Table) -> DataFrame:
 
 
 def _any_list_over(tables: DocumentTables, layout: Table, size: int) -> bool:
-    """Looks for one over-long list. On ``_pos`` the scan is cut short by the column statistics."""
-    found = []
-    for table in _lists(layout):
-        rows = _whole(tables, table)
-        if tables.has_pos(table):
-            over = rows.where(F.col(POS) >= size)
-        else:
-            over = long_parents(rows, table.parent_key, size)
-        found.append(over.select(F.lit(table.name)).limit(1))
-    return bool(found) and not reduce(DataFrame.union, found).isEmpty()
+    return any(length > size for length in _longest_lists(tables, _lists(layout)).values())
 
 
 def _with_positions(tables: DocumentTables, layout: Table, size: int) -> DocumentTables:
-    """Numbers the long lists stored without positions; their other lists keep to one stretch."""
+    """Numbers the long lists whose positions are not known; the other lists keep to one stretch."""
     numbered, order = {}, {}
     for table in _lists(layout):
-        if not tables.has_pos(table):
+        if not (tables.numbered and tables.has_pos(table)):
             rows = _linked(tables[table.name], table)
             parents = long_parents(_whole(tables, table), table.parent_key, size)
             order[table.name] = tables.order_columns(table)
             unique = table.key if tables.has_key(table) else None
             numbered[table.name] = number_long_lists(
-                rows, parents, table.parent_key, order[table.name], unique
+                rows.withColumnRenamed(POS, GIVEN) if tables.has_pos(table) else rows,
+                parents,
+                table.parent_key,
+                [GIVEN if c == POS else c for c in order[table.name]],
+                unique,
             )
+            order[table.name] = [GIVEN if c == POS else c for c in order[table.name]]
     return tables.with_frames(numbered, order={**tables.order, **order})
 
 
@@ -173,7 +229,8 @@ def _gather(table: Table, plan: _Plan) -> tuple[DataFrame, DataFrame]:
         columns.append(F.struct(*(c for c in (ORDER, KEY) if c in rows.columns)).alias(ORDER))
         if plan.split:
             own, stretch = F.col(PART), _stretch(plan)
-            piece = F.when(own == FIRST_PIECE, stretch).otherwise(F.concat_ws(".", stretch, own))
+            again = F.concat_ws(".", F.col(POS).cast("string"), own)
+            piece = F.when(own == FIRST_PIECE, stretch).otherwise(again)
             columns.append(piece.alias(PART))
         rows = rows.select(*columns)
 
@@ -186,7 +243,8 @@ def _gather(table: Table, plan: _Plan) -> tuple[DataFrame, DataFrame]:
 
 
 def _stretch(plan: _Plan) -> Column:
-    return F.floor(F.col(POS) / plan.list_size).cast("string")
+    """The position at which the stretch of an item begins."""
+    return (F.col(POS) - F.col(POS) % plan.list_size).cast("string")
 
 
 def _attributes(table: Table, objects: DataFrame) -> list[Column]:

@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from nestframe.functions.keys import row_text
-from nestframe.plans.layout import Kind, Table
+from nestframe.operators.pieces import content_digests, may_be_pieces
+from nestframe.plans.layout import PART, Kind, Table
 from nestframe.plans.model import nullable_type
 from nestframe.plans.tables import DocumentTables
 
@@ -99,17 +100,31 @@ def table_counts(tables: DocumentTables) -> DataFrame:
 
 
 def difference(expected: DataFrame, actual: DataFrame) -> DataFrame:
-    """One row: how many rows of each side the other lacks, copies counted.
+    """One row: how many documents of each side the other lacks, copies counted.
 
-    Rows are compared by a digest of their content, so that not they but their digests are
-    shuffled, summed up before; one aggregation does for both directions.
+    Documents are compared by a digest of their content, so that not they but their digests are
+    shuffled, summed up before; one aggregation does for both directions. A document in pieces,
+    which needs its ``id`` for that, is compared as a whole. The columns of ``expected`` are compared,
+    but for the numbers of pieces, and for generated keys unless both sides have them and no pieces.
     """
-    fields = expected.schema.fields
+    sides = expected, actual
+    in_pieces = any(may_be_pieces(side) for side in sides)
+    skipped = {PART} if not in_pieces and all("id" in side.columns for side in sides) else {PART, "id"}
+    fields = [f for f in expected.schema.fields if f.name not in skipped]
 
-    def digests(rows: DataFrame, side: int) -> DataFrame:
+    def alike(rows: DataFrame) -> DataFrame:
         # Cast, so that the other side's text is written from the same types.
-        alike = rows.select(*(F.col(f"`{f.name}`").cast(nullable_type(f.dataType)).alias(f.name) for f in fields))
-        return alike.select(F.unhex(F.sha2(row_text(fields), 256)).alias("_row"), F.lit(side).alias("_side"))
+        columns = [F.col(f"`{f.name}`").cast(nullable_type(f.dataType)).alias(f.name) for f in fields]
+        return rows.select(*columns, *({PART, "id"} & set(rows.columns) if may_be_pieces(rows) else []))
+
+    def digests(rows: DataFrame, side: int) -> DataFrame:
+        if in_pieces:
+            content = F.struct("a", "b")
+            rows = content_digests(alike(rows), fields)
+        else:
+            content = F.unhex(F.sha2(row_text(fields), 256))
+            rows = alike(rows)
+        return rows.select(content.alias("_row"), F.lit(side).alias("_side"))
 
     both = digests(expected, 1).unionByName(digests(actual, -1))
     surplus = both.groupBy("_row").agg(F.sum("_side").alias("_surplus"))

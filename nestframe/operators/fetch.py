@@ -9,12 +9,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from nestframe.operators.assemble import assemble
-from nestframe.plans.layout import Table
+from nestframe.operators.restrict import LITERAL_KEYS, restrict
 from nestframe.plans.tables import DocumentTables
 
-# Up to this many keys are written into the scan filters of the tables they link to.
-LITERAL_KEYS = 1_000
-
 
 def fetch(
     tables: DocumentTables,
@@ -28,7 +25,8 @@ def fetch(
 
     ``matching`` is any DataFrame with the key column of the table, such as a filtered join;
     each document comes once however often its key occurs there. ``max_rows`` bounds the documents,
-    ``None`` takes all; the lists inside are never cut.
+    ``None`` takes all; the lists inside are never cut. A document is one row, unless it has more
+    items than a row should hold or ``list_size`` asks for pieces; see ``assemble``.
     """
     if name is not None:
         tables = tables.subtree(name)
@@ -73,39 +71,3 @@ def owner_keys(tables: DocumentTables, name: str, condition: Column) -> DataFram
         owners = tables[step.name].join(keys, step.key, "left_semi")
         keys = owners.select(step.parent_key).distinct()
     return keys
-
-
-def restrict(tables: DocumentTables, keys: DataFrame | list[Any]) -> DocumentTables:
-    """The rows, on every level, of the documents with the given root keys.
-
-    A short list of keys becomes a filter of the scans of the root and of its child tables, and
-    further down as long as the keys stay few. Beyond that, and for a DataFrame of distinct keys,
-    it is a semi-join on the key.
-    """
-    root = tables.layout
-    frames: dict[str, DataFrame] = {}
-    whole: dict[str, DataFrame] = {}
-
-    def keep(name: str, column: str, wanted: DataFrame | list[Any]) -> DataFrame:
-        rows = tables[name]
-        if isinstance(wanted, list):
-            return rows.where(F.col(column).isin(wanted) if wanted else F.lit(False))
-        whole[name] = tables.whole.get(name, rows)
-        return rows.join(wanted, column, "left_semi")
-
-    def visit(table: Table, wanted: DataFrame | list[Any]) -> None:
-        for child in table.children:
-            frames[child.name] = keep(child.name, child.parent_key, wanted)
-            if child.children:
-                below = frames[child.name].select(child.key)
-                visit(child, _literal(below) if isinstance(wanted, list) else below)
-
-    frames[root.name] = keep(root.name, root.key, keys)
-    visit(root, keys)
-    return tables.with_frames(frames, whole={**tables.whole, **whole})
-
-
-def _literal(keys: DataFrame) -> DataFrame | list[Any]:
-    """The keys themselves if they are few."""
-    found = [row[0] for row in keys.limit(LITERAL_KEYS + 1).collect()]
-    return found if len(found) <= LITERAL_KEYS else keys

@@ -12,8 +12,8 @@ from nestframe.plans.model import model_schema
 
 POS = "_pos"
 PART = "_part"
-KEY, UP, ORDER, ITEM = "_key", "_up", "_order", "_item"
-RESERVED = (POS, PART, KEY, UP, ORDER, ITEM)
+KEY, UP, ORDER, ITEM, GIVEN = "_key", "_up", "_order", "_item", "_given"
+RESERVED = (POS, PART, KEY, UP, ORDER, ITEM, GIVEN)
 
 
 class Kind(Enum):

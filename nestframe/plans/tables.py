@@ -17,17 +17,21 @@ class DocumentTables:
 
     ``order`` gives the sort columns of list tables that have no ``_pos`` column. ``rows_fit``
     promises that every document fits one row, as is the case for tables shredded from rows; it
-    saves ``assemble`` the look for over-long lists. ``clustered`` names the tables stored in
-    buckets by the key of their parent. ``whole`` has the full tables of those in ``frames`` that
-    are selections by a join.
+    saves ``assemble`` the look for over-long lists. ``numbered`` promises that ``_pos`` tells the
+    rows of a parent apart, as in tables made or stored by this library; else they are counted.
+    ``clustered`` names the tables stored in buckets by the key of their parent. ``whole`` has the
+    full tables of those in ``frames`` that are selections by a join. ``rejected`` has the keys of
+    documents that were not taken apart, with the reason.
     """
 
     layout: Table
     frames: Mapping[str, DataFrame]
     order: Mapping[str, Sequence[str]] = field(default_factory=dict)
     rows_fit: bool = False
+    numbered: bool = False
     clustered: frozenset[str] = frozenset()
     whole: Mapping[str, DataFrame] = field(default_factory=dict)
+    rejected: DataFrame | None = None
 
     def __post_init__(self) -> None:
         missing = [t.name for t in self.layout.walk() if t.name not in self.frames]

@@ -3,16 +3,18 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from nestframe import any_item_equals, assemble, equals, fetch, fetch_by_id, owner_keys
-from nestframe.queries.rebuilding import cents, customer_sums, total
+from nestframe import any_item_equals, assemble, equals, fetch, fetch_by_id, having, owner_keys
+from nestframe.queries.rebuilding import cents, customer_rows, customer_sums, total
 from nestframe.queries.registry import query
 from nestframe.queries.samples import conversation_tables, customer_tables, load, order_tables
 
 
 def order_sums(orders: DataFrame) -> DataFrame:
-    return orders.groupBy("o_orderkey").agg(
-        F.sum(F.size("lines")).alias("n_lines"),
-        F.sum(total(F.col("lines"), cents)).alias("cents"),
+    """The documents as they are fetched, a row each."""
+    return orders.select(
+        "o_orderkey",
+        F.size("lines").cast("long").alias("n_lines"),
+        total(F.col("lines"), cents).alias("cents"),
     )
 
 
@@ -74,7 +76,7 @@ def fetch_by_grandchild_filter(spark: SparkSession, folder: str) -> DataFrame:
     """Whole customers with a large line in any order."""
     tables = customer_tables(spark, folder)
     keys = owner_keys(tables, "Customer_orders_lines", F.col("l_quantity") >= 50)
-    return customer_sums(fetch(tables, matching=keys, max_rows=None))
+    return customer_rows(fetch(tables, matching=keys, max_rows=None))
 
 
 @query("""
@@ -87,9 +89,8 @@ def fetch_selected_fields(spark: SparkSession, folder: str) -> DataFrame:
     fields = ["o_orderkey", "lines.l_quantity"]
     orders = fetch(order_tables(spark, folder), max_rows=None, fields=fields)
     quantity = total(F.col("lines"), lambda line: line["l_quantity"].cast("long"))
-    return orders.groupBy("o_orderkey").agg(
-        F.sum(F.size("lines")).alias("n_lines"), F.sum(quantity).alias("quantity")
-    )
+    n_lines = F.size("lines").cast("long").alias("n_lines")
+    return orders.select("o_orderkey", n_lines, quantity.alias("quantity"))
 
 
 @query("SELECT c_custkey, c_name, c_acctbal FROM customer WHERE c_mktsegment = 'BUILDING'")
@@ -117,4 +118,36 @@ def filter_nested_path(spark: SparkSession, folder: str) -> DataFrame:
 def filter_nested_value(spark: SparkSession, folder: str) -> DataFrame:
     """The same on nested documents, by a condition on the items of their list."""
     talks = assemble(conversation_tables(spark, folder), ["conv_id", "turns.role"])
-    return talks.where(any_item_equals("turns.role", "system")).select("conv_id").distinct()
+    return talks.where(any_item_equals("turns.role", "system")).select("conv_id")
+
+
+LARGE_LINES = """
+    FROM customer JOIN orders ON o_custkey = c_custkey JOIN lineitem ON l_orderkey = o_orderkey
+"""
+
+
+@query(f"""
+    SELECT c_custkey, count(DISTINCT o_orderkey) AS n_orders, count(l_orderkey) AS n_lines,
+           CAST(sum(round(l_extendedprice * 100)) AS BIGINT) AS cents
+    FROM customer JOIN orders ON o_custkey = c_custkey LEFT JOIN lineitem ON l_orderkey = o_orderkey
+    WHERE c_custkey IN (SELECT c_custkey {LARGE_LINES} WHERE l_quantity >= 45
+                        GROUP BY c_custkey HAVING count(*) >= 3)
+    GROUP BY c_custkey
+""")
+def filter_pieces_at_least(spark: SparkSession, folder: str) -> DataFrame:
+    """Customers with at least three large lines, which may be in different pieces of a customer."""
+    customers = assemble(customer_tables(spark, folder), list_size=3)
+    chosen = having(customers, "orders.lines.l_quantity", lambda q: q >= 45, at_least=3)
+    return customer_sums(chosen)
+
+
+@query("""
+    SELECT o_orderkey, count(l_orderkey) AS n_lines FROM orders LEFT JOIN lineitem ON l_orderkey = o_orderkey
+    GROUP BY o_orderkey HAVING coalesce(bool_and(l_returnflag <> 'R'), TRUE)
+""")
+def filter_pieces_every(spark: SparkSession, folder: str) -> DataFrame:
+    """Orders of which no line was returned, in pieces of two lines."""
+    fields = ["o_orderkey", "lines.l_returnflag"]
+    orders = fetch(order_tables(spark, folder), max_rows=None, fields=fields, list_size=2)
+    chosen = having(orders, "lines.l_returnflag", lambda flag: flag != "R", every=True)
+    return chosen.groupBy("o_orderkey").agg(F.sum(F.size("lines")).alias("n_lines"))

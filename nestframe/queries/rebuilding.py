@@ -11,6 +11,7 @@ from nestframe.queries.samples import (
     conversation_tables,
     customer_tables,
     load,
+    order_tables,
     split_documents,
 )
 from nestframe.queries.shredding import PARAGRAPHS
@@ -87,6 +88,17 @@ CUSTOMER_SUMS = """
 """
 
 
+def customer_rows(customers: DataFrame) -> DataFrame:
+    """The same of customers in one row each."""
+    lines = F.flatten("orders.lines")
+    return customers.select(
+        "c_custkey",
+        F.size("orders").cast("long").alias("n_orders"),
+        F.size(lines).cast("long").alias("n_lines"),
+        total(lines, cents).alias("cents"),
+    )
+
+
 def customer_sums(customers: DataFrame, *more: Column) -> DataFrame:
     lines = F.flatten("orders.lines")
     return customers.groupBy("c_custkey").agg(
@@ -99,7 +111,7 @@ def customer_sums(customers: DataFrame, *more: Column) -> DataFrame:
 
 @query(CUSTOMER_SUMS)
 def assemble_three_levels(spark: SparkSession, folder: str) -> DataFrame:
-    return customer_sums(assemble(customer_tables(spark, folder)))
+    return customer_rows(assemble(customer_tables(spark, folder)))
 
 
 @query(f"SELECT *, TRUE AS lists_fit FROM ({CUSTOMER_SUMS})")
@@ -190,3 +202,46 @@ def assemble_full_width(spark: SparkSession, folder: str) -> DataFrame:
     order = {"Order_lines": ["l_linenumber"]}
     whole = assemble(DocumentTables(table_layout(model, "Order"), frames, order=order))
     return whole.select(*orders.columns, F.inline("lines")).drop("id")
+
+
+@query("""
+    SELECT CAST(0 AS BIGINT) AS n_missing, CAST(0 AS BIGINT) AS n_extra, count(*) AS n_documents FROM documents
+""")
+def difference_of_pieces(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents in pieces of seven paragraphs and words against the same in a row each."""
+    documents = split_documents(spark, folder)
+    tables = shred(documents, "Document", key="doc_id")
+    fields = [*documents.columns[:-1], "paragraphs.text", "paragraphs.words"]
+    rebuilt = assemble(tables, fields, list_size=7)
+    whole = rebuilt.where("_part = '0'").agg(F.count("*").alias("n_documents"))
+    return difference(documents, rebuilt).join(F.broadcast(whole))
+
+
+@query("""
+    SELECT conv_id, CAST(row_number() OVER (PARTITION BY conv_id ORDER BY role, turn, text) - 1 AS INTEGER) AS pos,
+           turn, role, text
+    FROM conversations
+""")
+def canonical_pieces(spark: SparkSession, folder: str) -> DataFrame:
+    """Turns sorted by role over all pieces of a conversation, in pieces of two again."""
+    talks = assemble(conversation_tables(spark, folder), list_size=2)
+    ordered = canonical(talks, by="role", list_size=2)
+    place = (F.col("_part").cast("int") + F.col("i")).alias("pos")
+    items = ordered.select("conv_id", "_part", F.posexplode("turns").alias("i", "item"))
+    return items.select("conv_id", place, "item.turn", "item.role", "item.text")
+
+
+@query("""
+    SELECT o_orderkey, CAST(count(l_orderkey) AS BIGINT) AS n_lines, coalesce(min(l_linenumber), 0) AS first_line
+    FROM orders LEFT JOIN lineitem ON l_orderkey = o_orderkey GROUP BY o_orderkey
+""")
+def shred_pieces(spark: SparkSession, folder: str) -> DataFrame:
+    """Orders in pieces of two lines taken apart again: each order once, its lines numbered throughout."""
+    orders = assemble(order_tables(spark, folder), list_size=2)
+    tables = shred(orders, "Order", key="o_orderkey")
+    counts = tables["Order_lines"].groupBy("Order_id").agg(
+        F.count("*").alias("n"), (F.max("_pos") + 1).alias("span"), F.min("l_linenumber").alias("first_line")
+    )
+    found = tables["Order"].join(counts, "Order_id", "left").where("n IS NULL OR n = span")
+    zero = F.lit(0)
+    return found.select("o_orderkey", F.coalesce("n", zero).cast("long").alias("n_lines"), F.coalesce("first_line", zero).alias("first_line"))

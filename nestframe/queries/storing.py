@@ -41,8 +41,8 @@ def twice_stored(spark: SparkSession, folder: str, on_conflict: str) -> DataFram
     """All conversations, then all again, of which every third has other texts."""
     other = F.when(F.col("conv_id") % 3 == 0, F.concat(F.lit("new "), "text")).otherwise(F.col("text"))
     database = new_database(spark)
-    first = shred(conversations(spark, folder, F.col("text")), "Talk", key="conv_id")
-    second = shred(conversations(spark, folder, other), "Talk", key="conv_id")
+    first = shred(conversations(spark, folder, F.col("text")), "Talk", key="conv_id", bad_keys="trust")
+    second = shred(conversations(spark, folder, other), "Talk", key="conv_id", bad_keys="trust")
     insert(first, database)
     refused = insert(second, database, on_conflict).select("Talk_id", F.lit(True).alias("refused"))
     stored = assemble(load_tables(spark, first.layout, database)).select("conv_id", F.inline("turns"))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from nestframe.operators.durable import durable
-from nestframe.operators.fetch import restrict
+from nestframe.operators.restrict import restrict
 from nestframe.operators.versions import (
     document_digests,
     foreign_rows,
@@ -68,7 +68,7 @@ def load_tables(spark: SparkSession, layout: Table, database: str = "default") -
             for column in spark.catalog.listColumns(f"{database}.{t.name}")
         )
     )
-    return DocumentTables(layout, frames, clustered=clustered)
+    return DocumentTables(layout, frames, numbered=True, clustered=clustered)
 
 
 def save_tables(
@@ -164,7 +164,7 @@ def _stored_tables(spark: SparkSession, like: DocumentTables, database: str) ->
             return spark.table(name)
         return like[table.name].limit(0)
 
-    return DocumentTables(like.layout, {t.name: stored(t) for t in like.layout.walk()})
+    return DocumentTables(like.layout, {t.name: stored(t) for t in like.layout.walk()}, numbered=True)
 
 
 def _remove(stored: DocumentTables, keys: DataFrame, database: str) -> None:
