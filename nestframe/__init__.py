@@ -29,10 +29,12 @@ from nestframe.operators import (
 from nestframe.operators.durable import durable
 from nestframe.plans import DocumentTables, Table, field, model_schema, spark_type, table_layout
 from nestframe.sources import (
+    create_store,
     create_tables,
     insert,
     list_tables,
     load_tables,
+    open_store,
     parse_documents,
     read_database,
     read_documents,
@@ -54,6 +56,7 @@ __all__ = [
     "canonical_tables",
     "conform",
     "count_documents",
+    "create_store",
     "create_tables",
     "difference",
     "durable",
@@ -70,6 +73,7 @@ __all__ = [
     "load_tables",
     "model_schema",
     "nan_as_null",
+    "open_store",
     "owner_keys",
     "parse_documents",
     "read_database",

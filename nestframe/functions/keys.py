@@ -30,6 +30,39 @@ def child_key(
     return _digest(F.concat_ws("/", text, F.lit(attr), pos.cast("string")))
 
 
+# The character after the one that ends a label: labels of what is below an object lie between them.
+LABEL_END = chr(ord("/") + 1)
+
+
+def root_label(key: Column, key_type: T.DataType) -> Column:
+    """A natural or generated key as text without ``/``, in the order of the key for whole numbers and text."""
+    if isinstance(key_type, T.IntegralType):
+        # Sixteen hexadecimal digits, the sign turned round, so that negative numbers come first.
+        return F.lpad(F.hex(key.cast("long").bitwiseXOR(F.lit(-(1 << 63)))), 16, "0")
+    text = exact(key, key_type).cast("string")
+    return F.replace(F.replace(text, F.lit("%"), F.lit("%25")), F.lit("/"), F.lit("%2F"))
+
+
+def label_of(path: Column) -> Column:
+    """The label of the document that the object with a path key belongs to."""
+    return F.substring_index(path, "/", 1)
+
+
+def path_key(
+    parent_key: Column, attr: str, pos: Column, root_type: T.DataType | None = None
+) -> Column:
+    """Key of the object at ``pos`` in attribute ``attr``: the path to it, in the order of documents.
+
+    ``root_type`` is given if the parent is a document. Positions are preceded by a letter for
+    their number of digits, so that text sorts them as numbers.
+    """
+    label = parent_key if root_type is None else root_label(parent_key, root_type)
+    digits = pos.cast("string")
+    size = F.char(F.length(digits) + F.lit(ord("a") - 1))
+    name = attr.replace("%", "%25").replace("/", "%2F")
+    return F.concat(label, F.lit(f"/{name}/"), size, digits)
+
+
 def row_text(fields: Iterable[T.StructField], nulls: bool = True) -> Column:
     """The columns of a row as one text that equal rows share and no others."""
     values = [exact(F.col(f"`{f.name}`"), f.dataType).alias(f.name) for f in fields]

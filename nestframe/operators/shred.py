@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from nestframe.functions.keys import child_key, row_key
+from nestframe.functions.keys import child_key, path_key, row_key
 from nestframe.operators.durable import durable
 from nestframe.plans.layout import ITEM, PART, POS, Kind, Table, table_layout
 from nestframe.plans.tables import DocumentTables
@@ -24,6 +24,7 @@ def shred(
     keep_id: bool = False,
     drop_all_null: bool = False,
     bad_keys: str = "raise",
+    keys: str = "digest",
 ) -> DocumentTables:
     """Takes documents apart into one table per object-valued or list-valued attribute.
 
@@ -43,7 +44,12 @@ def shred(
     objects whose attributes are all NULL. NULL values in lists of values are kept. Documents in
     pieces, as ``assemble`` gives them, are taken apart as if they were whole, with ``key="id"`` or
     their natural key.
+
+    Keys below the root are digests, or with ``keys="path"`` the paths to the objects: these sort as
+    the documents do, and all below an object have keys that begin with its key.
     """
+    if keys not in ("digest", "path"):
+        raise ValueError(f"keys is 'digest' or 'path', not {keys!r}.")
     if bad_keys not in ("raise", "reject", "trust"):
         raise ValueError(f"bad_keys is 'raise', 'reject' or 'trust', not {bad_keys!r}.")
     pieces = PART in documents.columns
@@ -76,7 +82,7 @@ def shred(
         layout.name: first.select(*(F.col(f.name) for f in layout.scalars), F.col(layout.key))
     }
     for child in layout.children:
-        _shred_attribute(child, keyed, F.col(child.attr), frames, drop_all_null, 0, pieces)
+        _shred_attribute(child, keyed, F.col(child.attr), frames, drop_all_null, 0, pieces, keys)
     return DocumentTables(layout, frames, rows_fit=not pieces, numbered=True, rejected=rejected)
 
 
@@ -100,6 +106,7 @@ def _shred_attribute(
     drop_all_null: bool,
     level: int,
     pieces: bool,
+    keys: str,
 ) -> None:
     """Adds the table of one attribute, and below it those of the attributes of its objects.
 
@@ -134,8 +141,12 @@ def _shred_attribute(
             position = place()
         owner_type = owners.schema[owner_key].dataType
         items = items.where(F.col(ITEM).isNotNull()).select(owner_key, position, ITEM, *carried)
-        key = child_key(F.col(owner_key), table.attr, F.col(POS), owner_type).alias(table.key)
-        return items.select(key, owner_key, POS, ITEM, *carried)
+        if keys == "path":
+            root_type = owner_type if table.parent_is_root else None
+            key = path_key(F.col(owner_key), table.attr, F.col(POS), root_type)
+        else:
+            key = child_key(F.col(owner_key), table.attr, F.col(POS), owner_type)
+        return items.select(key.alias(table.key), owner_key, POS, ITEM, *carried)
 
     item = F.col(ITEM)
     objects = unpacked(value)
@@ -152,4 +163,4 @@ def _shred_attribute(
     deeper = level + (table.kind is Kind.OBJECTS)
     for child in table.children:
         below = unpacked(value.getField(child.attr))
-        _shred_attribute(child, below, item, frames, drop_all_null, deeper, pieces)
+        _shred_attribute(child, below, item, frames, drop_all_null, deeper, pieces, keys)

@@ -12,7 +12,9 @@ from nestframe import (
     assemble,
     audit_foreign_key,
     conform,
+    create_store,
     difference,
+    durable,
     field,
     insert,
     load_tables,
@@ -23,6 +25,7 @@ from nestframe import (
 from nestframe.queries.registry import query
 from nestframe.queries.samples import load, split_documents
 from nestframe.queries.shredding import PARAGRAPHS
+from nestframe.sources import Store
 
 
 def new_database(spark: SparkSession) -> str:
@@ -167,3 +170,59 @@ def text_output_nested(spark: SparkSession, folder: str) -> DataFrame:
     many = T.StructType([field("toxic", "integer", allowed=[0, 1])])
     model = T.StructType([T.StructField("one", one), T.StructField("many", T.ArrayType(many))])
     return text_output(labels, model).select("doc_id", "one.quality", F.col("many")[0]["toxic"].alias("toxic"))
+
+
+def order_store(spark: SparkSession, folder: str) -> Store:
+    """All orders with all columns of their lines, in slots by key."""
+    lines = load(spark, folder, "lineitem")
+    line = F.struct("l_linenumber", *(c for c in lines.columns if c not in ("l_orderkey", "l_linenumber")))
+    listed = lines.groupBy("l_orderkey").agg(F.sort_array(F.collect_list(line)).alias("lines"))
+    orders = load(spark, folder, "orders").join(listed, F.col("l_orderkey") == F.col("o_orderkey"), "left").drop("l_orderkey")
+    tables = shred(durable(orders), "Order", key="o_orderkey", keys="path")
+    return create_store(tables, new_database(spark), slots=16)
+
+
+STORED_LINES = """
+    SELECT o_orderkey, o_custkey, o_totalprice, count(l_orderkey) AS n_lines,
+           coalesce(CAST(sum(round(l_extendedprice * 100)) AS BIGINT), 0) AS cents
+    FROM orders LEFT JOIN lineitem ON l_orderkey = o_orderkey
+    GROUP BY o_orderkey, o_custkey, o_totalprice
+"""
+
+
+def stored_lines(orders: DataFrame) -> DataFrame:
+    zero = F.lit(0).cast("long")
+    cents = F.aggregate("lines", zero, lambda sum_, line: sum_ + F.round(line["l_extendedprice"] * 100).cast("long"))
+    return orders.select("o_orderkey", "o_custkey", "o_totalprice", F.size("lines").cast("long").alias("n_lines"), cents.alias("cents"))
+
+
+@query(f"SELECT * FROM ({STORED_LINES}) ORDER BY o_orderkey LIMIT 10")
+def store_first(spark: SparkSession, folder: str) -> DataFrame:
+    """The first documents of a store, from its first slot alone."""
+    return stored_lines(order_store(spark, folder).first(10))
+
+
+@query(f"SELECT * FROM ({STORED_LINES}) WHERE o_orderkey IN (7, 42, 999)")
+def store_get(spark: SparkSession, folder: str) -> DataFrame:
+    """Three documents of a store, from the ranges of their keys."""
+    return stored_lines(order_store(spark, folder).get([7, 42, 999]))
+
+
+@query(f"""
+    SELECT o_orderkey, o_custkey, CASE WHEN o_orderkey % 100 = 0 THEN -1.0 ELSE o_totalprice END AS o_totalprice,
+           CASE WHEN o_orderkey % 100 = 0 THEN least(n_lines, 1) ELSE n_lines END AS n_lines
+    FROM ({STORED_LINES})
+""")
+def store_replace(spark: SparkSession, folder: str) -> DataFrame:
+    """One order of a hundred replaced by one with another price and its first line only; the others offered again as they are."""
+    store = order_store(spark, folder)
+    every = assemble(store.tables())
+    hundredth = F.col("o_orderkey") % 100 == 0
+    revised = every.drop("id", "_part").withColumns(
+        {
+            "o_totalprice": F.when(hundredth, F.lit(-1.0)).otherwise(F.col("o_totalprice")),
+            "lines": F.when(hundredth, F.slice("lines", 1, 1)).otherwise(F.col("lines")),
+        }
+    )
+    store.put(shred(durable(revised), "Order", key="o_orderkey", model=revised.schema, keys="path"))
+    return stored_lines(assemble(store.tables())).drop("cents")

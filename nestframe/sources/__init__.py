@@ -10,13 +10,17 @@ from nestframe.sources.catalog import (
 )
 from nestframe.sources.database import key_slices, read_database, write_database
 from nestframe.sources.documents import parse_documents, read_documents
+from nestframe.sources.store import Store, create_store, open_store
 
 __all__ = [
+    "Store",
+    "create_store",
     "create_tables",
     "insert",
     "key_slices",
     "list_tables",
     "load_tables",
+    "open_store",
     "parse_documents",
     "read_database",
     "read_documents",
