@@ -16,6 +16,7 @@ from nestframe.operators import (
     fetch,
     fetch_by_id,
     flatten,
+    flatten_aligned,
     flatten_branches,
     having,
     join_renamed,
@@ -65,6 +66,7 @@ __all__ = [
     "fetch_by_id",
     "field",
     "flatten",
+    "flatten_aligned",
     "flatten_branches",
     "having",
     "insert",

@@ -1,5 +1,6 @@
 """Operators on nested documents and their flat tables."""
 
+from nestframe.operators.align import flatten_aligned
 from nestframe.operators.append import absent_rows
 from nestframe.operators.assemble import assemble
 from nestframe.operators.audit import (
@@ -33,6 +34,7 @@ __all__ = [
     "fetch",
     "fetch_by_id",
     "flatten",
+    "flatten_aligned",
     "flatten_branches",
     "having",
     "join_renamed",

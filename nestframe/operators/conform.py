@@ -19,10 +19,11 @@ def conform(
 ) -> DataFrame:
     """Casts the columns of the model and lists what is wrong with each row in ``_reject``.
 
-    Values that do not parse become NULL, with the text kept in ``_reject``. A value that loses
-    something by the cast is listed, as is one outside its enumeration or range, which is kept, and
-    a missing required one. Enumerations, ranges and required values are checked on every level. Columns outside the
-    model pass through, good rows have an empty list. ``temporal="string"`` gives dates and
+    Values that do not parse become NULL, with the text kept in ``_reject``. A value that says less
+    after the cast is listed with what it was (decimals rounded, digits or times cut off, numbers
+    out of range), as is one outside its enumeration or range, which is kept, and a missing
+    required one. All of that goes for every level, objects and lists included. Columns outside
+    the model pass through, good rows have an empty list. ``temporal="string"`` gives dates and
     timestamps as text.
     """
     if temporal not in ("native", "string"):
@@ -38,50 +39,88 @@ def conform(
             continue
         field = fields[name]
         value = F.col(name).try_cast(nullable_type(field.dataType))
-        faults += _faults(field, F.col(name), value, rows.schema[name].dataType)
-        if (inner := _inner_faults(field, value)) is not None:
-            nested.append(inner)
+        nested.append(_changes(field.name, F.col(name), value, rows.schema[name].dataType, field.dataType))
+        faults += _faults(field, F.col(name), value)
+        nested.append(_inner_faults(field, value))
         if temporal == "string" and isinstance(field.dataType, (T.DateType, T.TimestampType)):
             value = value.cast("string")
         columns.append(value.alias(name))
-    reject = F.array_compact(F.array(*faults)) if faults else F.array().cast("array<string>")
-    return rows.select(*columns, F.concat(reject, *nested).alias(REJECT))
+    reject = F.array_compact(F.array(*faults)) if faults else _nothing()
+    found = [changes for changes in nested if changes is not None]
+    return rows.select(*columns, F.concat(reject, *found).alias(REJECT))
 
 
-def _faults(
-    field: T.StructField, raw: Column, value: Column, raw_type: T.DataType | None
-) -> list[Column]:
-    """Faults of a value, which are null where there is none; ``raw_type`` is None inside a column."""
+def _nothing() -> Column:
+    return F.array().cast("array<string>")
 
-    def fault(condition: Column, *text: Column | str) -> Column:
-        parts = [F.lit(t) if isinstance(t, str) else t.cast("string") for t in text]
-        return F.when(condition, F.concat(F.lit(f"{field.name}: "), *parts))
 
-    plain = not isinstance(field.dataType, (T.StructType, T.ArrayType))
+def _text(name: str, *parts: Column | str) -> Column:
+    shown = [F.lit(part) if isinstance(part, str) else part.cast("string") for part in parts]
+    return F.concat(F.lit(f"{name}: "), *shown)
+
+
+def _faults(field: T.StructField, raw: Column, value: Column) -> list[Column]:
+    """Broken rules of a value, which are null where there are none."""
     faults = []
-    if raw_type is not None:
-        kind = field.dataType.simpleString()
-        faults.append(fault(raw.isNotNull() & value.isNull(), f"no {kind}: ", raw))
-        if plain and (lost := _lost(raw, value, raw_type, field.dataType)) is not None:
-            faults.append(fault(value.isNotNull() & lost, "loses: ", raw))
     if not field.nullable:
-        faults.append(fault(raw.isNull(), "missing"))
+        faults.append(F.when(raw.isNull(), _text(field.name, "missing")))
     if "allowed" in field.metadata:
-        faults.append(fault(~value.isin(field.metadata["allowed"]), "not allowed: ", value))
+        wrong = ~value.isin(field.metadata["allowed"])
+        faults.append(F.when(wrong, _text(field.name, "not allowed: ", value)))
     if field.metadata.get("positive"):
-        faults.append(fault(~(value > 0), "not positive: ", value))
+        faults.append(F.when(~(value > 0), _text(field.name, "not positive: ", value)))
     return faults
 
 
-def _lost(raw: Column, value: Column, raw_type: T.DataType, dtype: T.DataType) -> Column | None:
-    """Whether the value cast back is another one; None for casts that keep all there is."""
-    if isinstance(raw_type, T.StringType):
-        if not isinstance(dtype, T.IntegralType):
+def _changes(
+    name: str, raw: Column, value: Column, raw_type: T.DataType, dtype: T.DataType
+) -> Column | None:
+    """What a cast changed or could not read, on every level; None if it keeps all there is."""
+    if isinstance(raw_type, T.StructType) and isinstance(dtype, T.StructType):
+        found = []
+        for old, new in zip(raw_type.fields, dtype.fields):
+            inner = raw.getField(old.name), value.getField(new.name)
+            found.append(_changes(f"{name}.{new.name}", *inner, old.dataType, new.dataType))
+        present = [changes for changes in found if changes is not None]
+        return F.concat(*present) if present else None
+    if isinstance(raw_type, T.ArrayType) and isinstance(dtype, T.ArrayType):
+        old, new = raw_type.elementType, dtype.elementType
+        if _changes(name, F.lit(None).cast(old), F.lit(None).cast(new), old, new) is None:
             return None
-        return F.coalesce(value.cast("double") != raw.try_cast("double"), F.lit(False))
-    if raw_type == dtype or isinstance(dtype, (T.StringType, T.BooleanType)):
+        of_items = F.transform(raw, lambda x, i: _changes(name, x, F.get(value, i), old, new))
+        return F.coalesce(F.flatten(of_items), _nothing())
+    if raw_type == dtype:
         return None
-    return ~value.try_cast(raw_type).eqNullSafe(raw)
+    kind = dtype.simpleString()
+    fault = F.when(raw.isNotNull() & value.isNull(), _text(name, f"no {kind}: ", raw))
+    lost = _lost(raw, value, raw_type, dtype)
+    if lost is not None:
+        lost = F.coalesce(lost, F.lit(False))
+        fault = fault.when(value.isNotNull() & lost, _text(name, "loses: ", raw))
+    return F.array_compact(F.array(fault))
+
+
+def _lost(raw: Column, value: Column, raw_type: T.DataType, dtype: T.DataType) -> Column | None:
+    """Whether a value says less than what it was made from; None for casts that keep all there is."""
+    if isinstance(dtype, (T.StringType, T.BinaryType)):
+        return None
+    if not isinstance(raw_type, T.StringType):
+        return ~value.try_cast(raw_type).eqNullSafe(raw)
+    if isinstance(dtype, T.IntegralType):
+        return value.cast("double") != raw.try_cast("double")
+    if isinstance(dtype, T.DecimalType):
+        # As many whole digits, and all others for decimals.
+        wide = f"decimal(38,{38 - dtype.precision + dtype.scale})"
+        return value.cast(wide) != raw.try_cast(wide)
+    if isinstance(dtype, (T.FloatType, T.DoubleType)):
+        endless = F.isnotnull(value) & (F.abs(value) == float("inf")) & ~F.lower(raw).contains("inf")
+        shown = value.cast("string").try_cast("decimal(38,18)")
+        return endless | F.coalesce(shown != raw.try_cast("decimal(38,18)"), F.lit(False))
+    if isinstance(dtype, T.DateType):
+        return raw.try_cast("timestamp_ntz") != value.cast("timestamp_ntz")
+    if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
+        return raw.rlike("[.][0-9]{6}[0-9]*[1-9]")
+    return None
 
 
 def _inner_faults(field: T.StructField, value: Column) -> Column | None:
@@ -92,7 +131,7 @@ def _inner_faults(field: T.StructField, value: Column) -> Column | None:
         for inner in dtype.fields:
             own = value.getField(inner.name)
             named = T.StructField(f"{field.name}.{inner.name}", inner.dataType, inner.nullable, inner.metadata)
-            if faults := _faults(named, own, own, None):
+            if faults := _faults(named, own, own):
                 present = [F.when(value.isNotNull(), fault) for fault in faults]
                 found.append(F.array_compact(F.array(*present)))
             if (deeper := _inner_faults(named, own)) is not None:

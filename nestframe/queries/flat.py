@@ -3,10 +3,10 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from nestframe import flatten, join_renamed
-from nestframe.plans import DocumentTables
+from nestframe import fetch, flatten, flatten_aligned, flatten_branches, join_renamed
+from nestframe.plans import DocumentTables, table_layout
 from nestframe.queries.registry import query
-from nestframe.queries.samples import amount_tables, load, order_tables
+from nestframe.queries.samples import amount_tables, customer_tables, load, order_tables
 
 
 @query("""
@@ -58,3 +58,73 @@ def flatten_skip_empty(spark: SparkSession, folder: str) -> DataFrame:
     tables = order_tables(spark, folder)
     none = tables["Order_lines"].where(F.col("l_quantity") < 0)
     return flatten(tables.with_frames({"Order_lines": none}), skip_empty=True)
+
+
+def nation_tables(spark: SparkSession, folder: str) -> DocumentTables:
+    """Nations with two lists side by side, customers with their orders and suppliers."""
+    layout = table_layout(
+        "n_name string, customers array<struct<c_custkey: bigint, orders: array<struct<o_orderkey: bigint, o_totalprice: double>>>>,"
+        " suppliers array<struct<s_suppkey: bigint, s_acctbal: double>>",
+        "Nation",
+    )
+    nations, customers, orders, suppliers = (load(spark, folder, n) for n in ("nation", "customer", "orders", "supplier"))
+    frames = {
+        "Nation": nations.select("n_name", F.col("n_nationkey").alias("Nation_id")),
+        "Nation_customers": customers.select(
+            "c_custkey", F.col("c_custkey").alias("Nation_customers_id"), F.col("c_nationkey").alias("Nation_id")
+        ),
+        "Nation_customers_orders": orders.select(
+            "o_orderkey", "o_totalprice", F.col("o_custkey").alias("Nation_customers_id")
+        ),
+        "Nation_suppliers": suppliers.select("s_suppkey", "s_acctbal", F.col("s_nationkey").alias("Nation_id")),
+    }
+    order = {"Nation_customers": ["c_custkey"], "Nation_customers_orders": ["o_orderkey"], "Nation_suppliers": ["s_suppkey"]}
+    return DocumentTables(layout, frames, order=order)
+
+
+@query("""
+    WITH a AS (
+        SELECT c_nationkey AS k, row_number() OVER (PARTITION BY c_nationkey ORDER BY c_custkey, o_orderkey) - 1 AS i,
+               c_custkey, o_orderkey, o_totalprice
+        FROM customer LEFT JOIN orders ON o_custkey = c_custkey),
+    b AS (
+        SELECT s_nationkey AS k, row_number() OVER (PARTITION BY s_nationkey ORDER BY s_suppkey) - 1 AS i,
+               s_suppkey, s_acctbal
+        FROM supplier)
+    SELECT n_name, coalesce(i, 0) AS _row, c_custkey, o_orderkey, o_totalprice, s_suppkey, s_acctbal
+    FROM nation LEFT JOIN (a FULL JOIN b USING (k, i)) ON k = n_nationkey
+""", name="flatten_aligned")
+def flatten_side_by_side(spark: SparkSession, folder: str) -> DataFrame:
+    """Customers with their orders beside suppliers, a row for each place in the longer list."""
+    wide = flatten_aligned(nation_tables(spark, folder))
+    return wide.drop("Nation_id", "Nation_customers_id")
+
+
+@query("""
+    SELECT 'Nation_customers_orders' AS branch, n_name, count(*) AS n_rows, CAST(sum(round(o_totalprice * 100)) AS BIGINT) AS cents
+    FROM nation JOIN customer ON c_nationkey = n_nationkey JOIN orders ON o_custkey = c_custkey GROUP BY n_name
+    UNION ALL
+    SELECT 'Nation_suppliers', n_name, count(*), CAST(sum(round(s_acctbal * 100)) AS BIGINT)
+    FROM nation JOIN supplier ON s_nationkey = n_nationkey GROUP BY n_name
+""", name="flatten_branches")
+def flatten_each_branch(spark: SparkSession, folder: str) -> DataFrame:
+    """One wide table for each list that ends a branch."""
+    branches = flatten_branches(nation_tables(spark, folder))
+    amounts = {"Nation_customers_orders": "o_totalprice", "Nation_suppliers": "s_acctbal"}
+    found = [
+        branches[name].groupBy("n_name").agg(
+            F.count("*").alias("n_rows"), F.sum(F.round(F.col(amount) * 100).cast("long")).alias("cents")
+        ).select(F.lit(name).alias("branch"), "n_name", "n_rows", "cents")
+        for name, amount in amounts.items()
+    ]
+    return found[0].unionByName(found[1])
+
+
+@query("""
+    SELECT o_orderkey, count(l_orderkey) AS n_lines FROM orders LEFT JOIN lineitem ON l_orderkey = o_orderkey
+    GROUP BY o_orderkey ORDER BY o_orderkey LIMIT 25
+""")
+def fetch_from_a_list(spark: SparkSession, folder: str) -> DataFrame:
+    """The orders of customers as documents of their own."""
+    orders = fetch(customer_tables(spark, folder), name="Customer_orders", max_rows=25)
+    return orders.select("o_orderkey", F.size("lines").cast("long").alias("n_lines"))

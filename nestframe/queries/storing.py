@@ -226,3 +226,28 @@ def store_replace(spark: SparkSession, folder: str) -> DataFrame:
     )
     store.put(shred(durable(revised), "Order", key="o_orderkey", model=revised.schema, keys="path"))
     return stored_lines(assemble(store.tables())).drop("cents")
+
+
+@query("""
+    SELECT c_custkey, CAST(round(c_acctbal, 2) AS DECIMAL(12,1)) AS rounded, CAST(CAST(c_custkey % 28 + 1 AS VARCHAR) AS INTEGER) AS day,
+           CASE WHEN CAST(round(c_acctbal, 2) AS DECIMAL(12,2)) <> CAST(round(c_acctbal, 2) AS DECIMAL(12,1)) THEN 1 ELSE 0 END
+           + CASE WHEN c_custkey % 2 = 0 THEN 1 ELSE 0 END + CASE WHEN c_mktsegment = 'BUILDING' THEN 1 ELSE 0 END
+           + CASE WHEN c_custkey % 3 = 0 THEN 1 ELSE 0 END AS n_faults
+    FROM customer
+""")
+def conform_lossy_text(spark: SparkSession, folder: str) -> DataFrame:
+    """Text whose decimals are rounded and whose times are cut off, and text in an object and a list that is no number."""
+    day = F.format_string("2020-01-%02d", F.col("c_custkey") % 28 + 1)
+    timed = F.when(F.col("c_custkey") % 2 == 0, F.concat(day, F.lit(" 10:30:00"))).otherwise(day)
+    number = F.when(F.col("c_mktsegment") == "BUILDING", "x").otherwise(F.lit("17"))
+    second = F.when(F.col("c_custkey") % 3 == 0, "y").otherwise(F.lit("2"))
+    texts = load(spark, folder, "customer").select(
+        "c_custkey",
+        F.col("c_acctbal").cast("decimal(12,2)").cast("string").alias("rounded"),
+        timed.alias("day"),
+        F.struct(number.alias("q")).alias("one"),
+        F.array(F.lit("1"), second).alias("many"),
+    )
+    model = T.StructType.fromDDL("rounded decimal(12,1), day date, one struct<q: int>, many array<int>")
+    checked = conform(texts, model)
+    return checked.select("c_custkey", "rounded", F.dayofmonth("day").alias("day"), F.size("_reject").alias("n_faults"))

@@ -164,3 +164,32 @@ def test_canonical_and_nan(spark):
     holes = rows.withColumn("items", F.transform("items", lambda i: i.withField("m", F.array(F.lit(float("nan"))))))
     cleaned = nan_as_null(holes).first()
     assert cleaned["x"] is None and cleaned["items"][0]["m"] == [None]
+
+
+LOSSES = [
+    ("'1.239'", "string", "decimal(5,2)", ["v: loses: 1.239"]),
+    ("'1.230'", "string", "decimal(5,2)", []),
+    ("'2020-01-01 10:00:00'", "string", "date", ["v: loses: 2020-01-01 10:00:00"]),
+    ("'2020-01-01'", "string", "date", []),
+    ("'2020-01-01 00:00:00.1234567'", "string", "timestamp", ["v: loses: 2020-01-01 00:00:00.1234567"]),
+    ("'2020-01-01 00:00:00.123456'", "string", "timestamp", []),
+    ("'0.1'", "string", "double", []),
+    ("'1.2345678901234567'", "string", "float", ["v: loses: 1.2345678901234567"]),
+    ("'1e400'", "string", "double", ["v: loses: 1e400"]),
+    ("'x'", "string", "boolean", ["v: no boolean: x"]),
+    ("5", "int", "boolean", ["v: loses: 5"]),
+    ("300", "int", "tinyint", ["v: no tinyint: 300"]),
+    ("struct('x' AS q, '1' AS r)", "", "struct<q: int, r: int>", ["v.q: no int: x"]),
+    ("array('1', 'y', NULL)", "", "array<int>", ["v: no int: y"]),
+    ("array(struct(array('1.5', 'z') AS a))", "", "array<struct<a: array<int>>>", ["v.a: no int: 1.5", "v.a: no int: z"]),
+    ("array(struct(TIMESTAMP'2020-01-01 10:00:00' AS t))", "", "array<struct<t: date>>", ["v.t: loses: 2020-01-01 10:00:00"]),
+    ("CAST(NULL AS struct<q: string>)", "", "struct<q: int>", []),
+]
+
+
+def test_every_loss_is_listed(spark):
+    """Losses of text and of other types, on every level."""
+    for value, _, dtype, wanted in LOSSES:
+        rows = spark.sql(f"SELECT {value} AS v")
+        model = T.StructType([T.StructField("v", T.StructType.fromDDL(f"v {dtype}")["v"].dataType)])
+        assert conform(rows, model).first()["_reject"] == wanted, (value, dtype)
