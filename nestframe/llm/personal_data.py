@@ -19,6 +19,7 @@ import hashlib
 import re
 from collections import Counter
 from collections.abc import Callable, Iterable, Iterator
+from itertools import islice
 from math import log2
 
 import numpy as np
@@ -33,6 +34,8 @@ from nestframe.operators.durable import durable
 EXAMPLES, LEAST = 5_000, 20
 #: Characters of the longest format of a number, an account number in groups of four.
 LONGEST = 42
+#: Candidates of a text that are scored, and examples that are held, at a time.
+AT_ONCE = 20_000
 #: Scores are counted in so many steps.
 BINS = 1_000
 #: Base kinds first; spans that start together are in this order.
@@ -97,7 +100,9 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
     """``start, end, kind`` in order of start, then kind."""
     found = [(a, z, "email") for a, z in emails(text)]
     for match in _IP.finditer(text):
-        if all(len(part.lstrip("0")) <= 3 and int(part) <= 255 for part in match[0].split(".")):
+        # Parts of any length are read without their zeros: Python refuses to read thousands of digits.
+        parts = [part.lstrip("0") for part in match[0].split(".")]
+        if all(len(part) <= 3 and int(part or 0) <= 255 for part in parts):
             found.append((*match.span(), "ip"))
     for match in _CARD.finditer(text):
         digits = match[0].replace(" ", "").replace("-", "")
@@ -227,15 +232,22 @@ class Detector:
             return []
         base = base_spans(text)
         found = [(a, z, kind, True, 1.0) for a, z, kind in base]
-        proposed = list(dict.fromkeys(candidates(text))) if self.trees else []
-        proposed = _apart(proposed, base)
-        if proposed:
-            scores = self.trees.probability(np.array([features(text, *c) for c in proposed]))
-            good = [(-p, a, z, kind) for p, (a, z, kind) in zip(scores.tolist(), proposed, strict=True) if p >= self.thresholds[kind]]
+        # A text may have more candidates than could be held with their features, so they are scored some at a time.
+        proposed, good = candidates(text) if self.trees else iter(()), []
+        while some := list(islice(proposed, AT_ONCE)):
+            some = _apart(list(dict.fromkeys(some)), base)
+            if some:
+                scores = self.trees.probability(np.array([features(text, *c) for c in some]))
+                least = np.array([self.thresholds[kind] for _, _, kind in some])
+                rows = [(p, a, z, KINDS.index(kind)) for p, (a, z, kind) in zip(scores.tolist(), some, strict=True)]
+                good.append(np.array(rows)[scores >= least])
+        if good:
+            p, begins, ends, kinds = np.concatenate(good).T
             taken: list[tuple[int, int]] = []
-            for p, a, z, kind in sorted(good):
+            for i in np.lexsort((kinds, ends, begins, -p)).tolist():
+                a, z = int(begins[i]), int(ends[i])
                 if _free(taken, a, z):
-                    found.append((a, z, kind, False, -p))
+                    found.append((a, z, KINDS[int(kinds[i])], False, float(p[i])))
         return sorted(found, key=lambda s: (s[0], KINDS.index(s[2])))
 
     def redact(self, text: str | None) -> str | None:
@@ -283,6 +295,15 @@ def fit_detector(documents: DataFrame, text_column: str = "text", precision: flo
     """Fits the trees on candidates of all documents; without ``LEAST`` different ones for and against only the base is found."""
     rows = documents.select(F.col(text_column).alias("text")).where("text IS NOT NULL")
 
+    def written(found: dict[tuple[int, int, int], list]) -> pa.RecordBatch:
+        columns = [*zip(*found)] if found else [(), (), ()]
+        x, n = [x for x, _ in found.values()], [n for _, n in found.values()]
+        found.clear()
+        return pa.RecordBatch.from_arrays(
+            [pa.array(c, t) for c, t in zip((*columns, x, n), (*[pa.int64()] * 3, pa.list_(pa.float64()), pa.int64()), strict=True)],
+            ["kind", "y", "lot", "x", "n"],
+        )
+
     def examples(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found: dict[tuple[int, int, int], list] = {}
@@ -290,7 +311,14 @@ def fit_detector(documents: DataFrame, text_column: str = "text", precision: flo
                 if not _ANYTHING.search(text):
                     continue
                 base = base_spans(text)
-                for begin, end, kind in dict.fromkeys(candidates(text)):
+                seen_there: set[tuple[int, int, str]] = set()
+                for begin, end, kind in candidates(text):
+                    if kind == "address":  # the only kind that is proposed in two ways
+                        if (begin, end, kind) in seen_there:
+                            continue
+                        seen_there.add((begin, end, kind))
+                    if len(found) >= AT_ONCE:
+                        yield written(found)
                     label = weak_label(text, begin, end, kind, base)
                     if label is not None:
                         # By what is written, so that a repeated run learns the same.
@@ -300,13 +328,8 @@ def fit_detector(documents: DataFrame, text_column: str = "text", precision: flo
                         if key in found:
                             found[key][1] += 1
                         else:
-                            found[key] = [features(text, begin, end, kind), 1]
-            columns = [*zip(*found)] if found else [(), (), ()]
-            x, n = [[float(v) for v in x] for x, _ in found.values()], [n for _, n in found.values()]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip((*columns, x, n), (*[pa.int64()] * 3, pa.list_(pa.float64()), pa.int64()), strict=True)],
-                ["kind", "y", "lot", "x", "n"],
-            )
+                            found[key] = [np.array(features(text, begin, end, kind)), 1]
+            yield written(found)
 
     known = rows.mapInArrow(examples, "kind long, y long, lot long, x array<double>, n long")
     known = durable(known.groupBy("kind", "y", "lot").agg(F.first("x").alias("x"), F.sum("n").alias("n")))

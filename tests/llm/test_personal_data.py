@@ -1,9 +1,12 @@
 import re
+import tracemalloc
 
 import numpy as np
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from nestframe.llm import personal_data
 from nestframe.llm.boosting import BoostedTrees
 from nestframe.llm.personal_data import base_spans, candidates, find_personal_data, fit_detector, redact_personal_data
 from tests.llm import plain
@@ -118,3 +121,25 @@ def test_numbers_in_a_row_and_long_keys(spark):
     assert [text[a:z] for a, z, *_ in detector.spans(text)] == numbers
     text = f"token = {key}"
     assert [text[a:z] for a, z, *_ in detector.spans(text)] == [key]
+
+
+def test_addresses_of_thousands_of_digits():
+    assert base_spans("1.2.3." + "0" * 5000) == [(0, 5006, "ip")]
+    assert base_spans("1.2.3." + "9" * 5000) == []
+
+
+def test_a_text_of_numbers_is_judged_in_bounded_memory():
+    """As trees with any thresholds see it: features of some candidates at a time, and none lost over the cuts."""
+    rng = np.random.default_rng(1)
+    x = rng.random((400, 28))
+    trees = BoostedTrees().fit(x, (x[:, 3] > 0.5).astype(int), np.arange(400) % 3 == 1)
+    detector = personal_data.Detector(trees, {kind: 0.5 for kind in personal_data.KINDS})
+    text = "12 345 " * 1200
+    whole = detector.spans(text)
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(personal_data, "AT_ONCE", 500)
+        tracemalloc.start()
+        assert detector.spans(text) == whole
+        assert tracemalloc.get_traced_memory()[1] < 20 << 20
+        tracemalloc.stop()
+    assert len(whole) > 100
