@@ -245,31 +245,37 @@ def plain_record(data: bytes, at: int) -> tuple[dict | None, int | None, str | N
     start = _START.match(data, at)
     if not start:
         return None, None, "no version line"
-    ends = [(place, len(mark)) for mark in (b"\r\n\r\n", b"\n\n") if (place := data.find(mark, start.end() - 2)) >= 0]
-    if not ends:
-        return None, None, "header without end"
-    end, mark = min(ends)
+    # Line by line, so that no more is read than up to the first fault.
     fields: dict[str, str] = {}
-    for line in data[start.end() : end].splitlines():
-        if line[:1] in b" \t" and fields:
+    place = start.end()
+    while True:
+        end = data.find(b"\n", place)
+        if end < 0:
+            return None, None, "header without end"
+        line, place = data[place:end].removesuffix(b"\r"), end + 1
+        if not line:
+            break
+        if line[:1] in (b" ", b"\t") and fields:
             last = next(reversed(fields))
             fields[last] += " " + line.strip().decode("utf-8", "replace")
-        elif (field := _FIELD.fullmatch(line)) and field[1].lower() in (name.encode() for name in fields if name != "warc-concurrent-to"):
-            return None, None, "header field twice"  # as where a record breaks off and another one follows
-        elif field:
-            fields[field[1].decode().lower()] = field[2].strip().decode("utf-8", "replace")
-        else:
+            continue
+        field = _FIELD.fullmatch(line)
+        if not field:
             return None, None, "header line broken"
+        name = field[1].decode().lower()
+        if name in fields and name != "warc-concurrent-to":
+            return None, None, "header field twice"  # as where a record breaks off and another one follows
+        fields[name] = field[2].strip().decode("utf-8", "replace")
     if not re.fullmatch(r"\d{1,15}", fields.get("content-length", "")):
         return None, None, "no content length"
-    begin = end + mark
+    begin = place
     after = begin + int(fields["content-length"])
-    block = data[begin:after]
-    if len(block) < after - begin:
+    if after > len(data):
         return None, None, "block cut short"
     close = 4 if data.startswith(b"\r\n\r\n", after) else 2 if data.startswith(b"\n\n", after) else 0
     if not close:
         return None, None, "record end missing"
+    block = data[begin:after]
     after += close
     if not {"warc-type", "warc-record-id", "warc-date"} <= fields.keys():
         return None, after, "required field missing"
