@@ -193,7 +193,7 @@ def op3_soft_mixing(spark: SparkSession, folder: str) -> DataFrame:
     """How often to use each document for the languages' expected tokens to be in the wanted proportions."""
     documents = table(spark, folder, "documents")
     model = language_model(documents, documents, table(spark, folder, "labels"))
-    return mixing_rates(documents, model, LANGUAGES).select("doc_id", "tokens", "domain", "rate", "copies")
+    return mixing_rates(documents, model, LANGUAGES).select("doc_id", "tokens", "domain", "rate", "copies", "gap")
 
 
 @query

@@ -1,4 +1,6 @@
+import numpy as np
 import pyspark.sql.functions as F
+import pytest
 
 from nestframe.llm.soft_mixing import fit_domains, mix_documents, mixing_rates
 
@@ -37,8 +39,6 @@ def test_targets_are_met(spark):
 
 def test_a_plain_least_squares_finds_the_same(spark):
     """On few rows, the gaps of the rates are as small as those of many plain projected steps."""
-    import numpy as np
-
     documents, model = model_of(spark)
     some = documents.where("doc_id < 300")
     rows = mixing_rates(some, model, TARGETS, highest=1.3).collect()
@@ -72,3 +72,44 @@ def test_without_labels_there_is_one_domain(spark):
     model = fit_domains(frame, spark.createDataFrame([], "doc_id long, lang string"), F.col("lang"))
     assert model.domains == [""]
     assert {r.doc_id: (r.domain, r.copies) for r in mixing_rates(frame, model, {}).collect()} == {1: ("", 1), 2: ("", 1)}
+
+
+def test_rare_domains_reach_their_targets(spark):
+    """97 in 100 documents of one language, one of each other."""
+    documents, model = model_of(spark)
+    some = documents.where("lang = 'en'").limit(1940)
+    for lang in ("de", "es", "fr"):
+        some = some.unionByName(documents.where(F.col("lang") == lang).orderBy("doc_id").limit(20))
+    some = spark.createDataFrame(some.collect(), some.schema)
+    goal = [TARGETS[domain] for domain in model.domains]
+    for lowest in (0.0, 1.0):
+        rows = mixing_rates(some, model, TARGETS, lowest=lowest).collect()
+        assert all(abs(a - b) < 0.01 for a, b in zip(shares(rows, lambda r: r.rate), goal, strict=True))
+        assert rows[0].gap < 0.01 and min(r.rate for r in rows) >= lowest
+
+
+def test_a_target_out_of_reach_is_reported(spark):
+    documents, model = model_of(spark)
+    some = spark.createDataFrame(documents.where("lang = 'en'").limit(200).collect(), documents.schema)
+    with pytest.warns(UserWarning, match="missed"):
+        rows = mixing_rates(some, model, TARGETS, highest=2.0).collect()
+    assert rows[0].gap > 0.1
+
+
+def test_mixed_posteriors(spark):
+    """Documents that are half one language and half another, against many plain steps on the same posteriors."""
+    documents, model = model_of(spark)
+    texts = {lang: [r.text for r in documents.where(F.col("lang") == lang).orderBy("doc_id").limit(60).collect()] for lang in TARGETS}
+    rows = [(i, f"{' '.join(a.split()[:12])} {' '.join(b.split()[:12])}") for i, (a, b) in enumerate(zip(texts["en"], texts["de"], strict=True))]
+    rows += [(100 + i, text) for i, text in enumerate(texts["fr"] + texts["es"][:30])]
+    found = mixing_rates(spark.createDataFrame(rows, "doc_id long, text string"), model, TARGETS).collect()
+    assert sum(0.02 < max(r.posteriors) < 0.98 for r in found) >= 20
+    got = shares(found, lambda r: r.rate)
+    # The halves cannot be told apart fully, but what can be reached is.
+    n, p = np.array([r.tokens for r in found], float), np.array([r.posteriors for r in found])
+    goal = np.array([TARGETS[d] for d in model.domains]) * n.sum()
+    scale, rate = np.maximum(p.T @ n, 1), np.ones(len(n))
+    for _ in range(5000):
+        rate = np.maximum(rate - 0.5 * p @ ((p.T @ (n * rate) - goal) / scale), 0)
+    plain = p.T @ (n * rate) / n.sum()
+    assert np.abs(np.array(got) - plain / plain.sum()).max() < 0.01
