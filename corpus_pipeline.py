@@ -45,7 +45,7 @@ def redacted(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document once at least, and more often where its language is short of its share."""
     model = language_model(docs, docs, _labels(spark, sf_dir))
-    return mix_documents(docs, model, LANGUAGES, lowest=1.0, highest=4.0)
+    return mix_documents(docs, model, LANGUAGES, lowest=1.0)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
