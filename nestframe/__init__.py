@@ -40,6 +40,7 @@ from nestframe.sources import (
     read_database,
     read_documents,
     save_tables,
+    store_stream,
     write_database,
 )
 
@@ -85,6 +86,7 @@ __all__ = [
     "save_tables",
     "shred",
     "spark_type",
+    "store_stream",
     "table_counts",
     "table_layout",
     "text_output",

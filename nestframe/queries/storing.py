@@ -18,10 +18,14 @@ from nestframe import (
     field,
     insert,
     load_tables,
+    open_store,
     save_tables,
     shred,
+    store_stream,
     text_output,
 )
+from nestframe.operators.durable import shared_path
+from nestframe.plans import table_layout
 from nestframe.queries.registry import query
 from nestframe.queries.samples import load, split_documents
 from nestframe.queries.shredding import PARAGRAPHS
@@ -251,3 +255,24 @@ def conform_lossy_text(spark: SparkSession, folder: str) -> DataFrame:
     model = T.StructType.fromDDL("rounded decimal(12,1), day date, one struct<q: int>, many array<int>")
     checked = conform(texts, model)
     return checked.select("c_custkey", "rounded", F.dayofmonth("day").alias("day"), F.size("_reject").alias("n_faults"))
+
+
+@query("""
+    SELECT conv_id, turn, role, CASE WHEN conv_id % 5 = 0 THEN 'new ' || text ELSE text END AS text, n_rejects
+    FROM conversations, (SELECT count(DISTINCT conv_id) FILTER (conv_id % 7 = 0) AS n_rejects FROM conversations)
+""")
+def stream_documents(spark: SparkSession, folder: str) -> DataFrame:
+    """Conversations as lines of JSON, some of them broken, taken in two batches; revised ones come later."""
+    whole = F.to_json(F.struct("conv_id", "turns"))
+    first = conversations(spark, folder, F.col("text")).select("conv_id", whole.alias("value"))
+    broken = first.where("conv_id % 7 = 0").select(F.substring("value", 1, 20).alias("value"))
+    second = conversations(spark, folder, F.concat(F.lit("new "), "text")).where("conv_id % 5 = 0").select(whole.alias("value"))
+    files, database, checkpoint = shared_path(spark), new_database(spark), shared_path(spark)
+    model = "conv_id bigint, turns array<struct<turn: bigint, role: string, text: string>>"
+    for lines in (first.select("value").unionByName(broken), second):
+        lines.write.mode("append").text(files)
+        store_stream(spark, files, model, "Talk", "conv_id", database, checkpoint, one_per_file=False, slots=4).awaitTermination()
+    store = open_store(spark, table_layout(model, "Talk"), database)
+    rejects = spark.table(f"{database}.Talk_rejects").agg(F.count("*").alias("n_rejects"))
+    talks = assemble(store.tables()).select("conv_id", F.inline("turns")).drop("id")
+    return talks.join(F.broadcast(rejects))

@@ -11,6 +11,7 @@ from nestframe.sources.catalog import (
 from nestframe.sources.database import key_slices, read_database, write_database
 from nestframe.sources.documents import parse_documents, read_documents
 from nestframe.sources.store import Store, create_store, open_store
+from nestframe.sources.streams import store_batch, store_stream
 
 __all__ = [
     "Store",
@@ -25,6 +26,8 @@ __all__ = [
     "read_database",
     "read_documents",
     "save_tables",
+    "store_batch",
+    "store_stream",
     "table_schema",
     "write_database",
 ]
