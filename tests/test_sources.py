@@ -64,7 +64,7 @@ def test_lines_and_text_columns(spark, tmp_path):
 
 def stored(spark, database, documents):
     frame = spark.createDataFrame(documents, MODEL)
-    tables = shred(frame, "Root", key="name")
+    tables = shred(frame, "Root", key="name", bad_keys="trust")
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
     return tables
 
@@ -222,7 +222,7 @@ def test_a_revised_document_is_kept_or_replaced_as_a_whole(spark):
 def test_two_versions_in_one_batch_are_refused(spark):
     stored(spark, "versions", [])
     rows = [document("a"), revised("a"), document("b"), document("b")]
-    tables = shred(spark.createDataFrame(rows, MODEL), "Root", key="name")
+    tables = shred(spark.createDataFrame(rows, MODEL), "Root", key="name", bad_keys="trust")
     assert [tuple(r) for r in insert(tables, "versions").collect()] == [("a", "offered in several versions")]
     assert set(whole(spark, tables, "versions")) == {"b"}
 
