@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from string import ascii_lowercase, ascii_uppercase
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
@@ -218,6 +219,74 @@ def op11_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def _tree_levels(name: str, levels: int) -> str:
+    """SQL: ``{name}0`` up to the top, each 16 nodes of one the node of the next, and what lies beside each in its run."""
+    parts = []
+    for k in range(levels):
+        if k:
+            digest = "CASE WHEN any_value(n) = 1 THEN any_value(digest) ELSE sha256(string_agg(digest, '' ORDER BY pos)) END"
+            parts.append(
+                f"{name}{k}_ AS (SELECT tree, pos // 16 AS pos, any_value((n + 15) // 16) AS n, {digest} AS digest"
+                f" FROM {name}{k - 1} GROUP BY tree, pos // 16)"
+            )
+        run = "OVER (PARTITION BY tree, pos // 16 ORDER BY pos ROWS BETWEEN"
+        parts.append(
+            f"{name}{k} AS (SELECT *, coalesce(string_agg(digest, '') {run} UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS l,"
+            f" coalesce(string_agg(digest, '') {run} 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS r FROM {name}{k}_)"
+        )
+    return ",\n".join(parts)
+
+
+def _merkle_sql(levels: int = 6, upper: int = 5) -> str:
+    """The manifest in SQL, for up to 16 to the power of ``levels - 1`` documents of a source, and sources likewise."""
+    fields = ("doc_id", "source", "lang", "n_chars", "text")
+    leaf = " || ".join(f"coalesce(strlen({c}::VARCHAR) || ':' || {c}, '-')" for c in fields)
+    lowered = leaf.replace("text", f"translate(text, '{ascii_uppercase}', '{ascii_lowercase}')")
+    step = "lambda a, i: xor(a >> 1, 3988292384 * (a & 1))"
+    crc = (
+        "xor(list_reduce([4294967295::BIGINT] || [ascii(c)::BIGINT FOR c IN string_split(doc_id::VARCHAR, '')],"
+        f" lambda acc, b: list_reduce([xor(acc, b)] || [0::BIGINT FOR i IN range(8)], {step})), 4294967295)"
+    )
+    steps = [(f"t{k}", levels, k) for k in range(levels)] + [(f"u{k}", upper, k) for k in range(upper)]
+    joins = "\n".join(
+        f"JOIN {n} ON {n}.tree = {'leaves.tree' if n[0] == 't' else repr('')} AND {n}.pos = {'leaves.p' if n[0] == 't' else 'subroots.pos'} // {16**k}"
+        for n, _, k in steps
+    )
+    folds, last = [], "f"
+    for i, (n, _, _) in enumerate(steps):
+        folds.append(f"f{i + 1} AS (SELECT *, CASE WHEN {n}n > 1 THEN sha256({n}l || {last}_ || {n}r) ELSE {last}_ END AS f{i + 1}_ FROM {last})")
+        last = f"f{i + 1}"
+    beside = ", ".join(f"{n}.n AS {n}n, {n}.l AS {n}l, {n}.r AS {n}r" for n, _, _ in steps)
+    proof = " || ".join(f"{n}l || {n}r" for n, _, _ in steps)
+    return f"""
+WITH hashed AS (
+    SELECT doc_id, coalesce('=' || source, '') AS tree, sha256({leaf}) AS leaf,
+           CASE WHEN {crc} % 5 = 0 THEN sha256({lowered}) END AS changed
+    FROM documents),
+leaves AS (
+    SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf, changed NULLS FIRST) - 1 AS p,
+           count(*) OVER (PARTITION BY tree) AS n
+    FROM hashed),
+t0_ AS (SELECT tree, p AS pos, n, leaf AS digest FROM leaves),
+{_tree_levels("t", levels)},
+subroots AS (
+    SELECT tree AS source, digest, row_number() OVER (ORDER BY tree) - 1 AS pos, count(*) OVER () AS n FROM t{levels - 1}),
+u0_ AS (SELECT '' AS tree, pos, n, digest FROM subroots),
+{_tree_levels("u", upper)},
+f AS (
+    SELECT leaves.doc_id, leaves.leaf, subroots.digest AS subroot, u{upper - 1}.digest AS root,
+           coalesce(changed, leaf) AS f_, {beside}
+    FROM leaves JOIN subroots ON subroots.source = leaves.tree
+    {joins}),
+{", ".join(folds)}
+SELECT doc_id, leaf, subroot, root, sha256({proof}) AS proof_sha256, {last}_ AS folded_root, {last}_ = root AS verified
+FROM {last}
+"""
+
+
+ORACLES["op11_merkle_manifest"] = _merkle_sql()
+
+
 @query
 def op12_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
     """Faults and cheapest repair of each conversation after damage."""
