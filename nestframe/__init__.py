@@ -2,6 +2,7 @@
 
 from nestframe.functions import any_item_equals, equals, nan_as_null
 from nestframe.operators import (
+    Condition,
     absent_rows,
     assemble,
     audit_foreign_key,
@@ -20,6 +21,7 @@ from nestframe.operators import (
     flatten_branches,
     having,
     join_renamed,
+    matching_keys,
     owner_keys,
     required_columns,
     restrict,
@@ -45,6 +47,7 @@ from nestframe.sources import (
 )
 
 __all__ = [
+    "Condition",
     "DocumentTables",
     "Table",
     "absent_rows",
@@ -74,6 +77,7 @@ __all__ = [
     "join_renamed",
     "list_tables",
     "load_tables",
+    "matching_keys",
     "model_schema",
     "nan_as_null",
     "open_store",

@@ -15,11 +15,13 @@ from nestframe.operators.audit import (
 from nestframe.operators.conform import conform, text_output
 from nestframe.operators.fetch import fetch, fetch_by_id, owner_keys
 from nestframe.operators.flatten import flatten, flatten_branches, join_renamed
+from nestframe.operators.patterns import Condition, matching_keys
 from nestframe.operators.pieces import canonical, canonical_tables, count_documents, having
 from nestframe.operators.restrict import restrict
 from nestframe.operators.shred import shred
 
 __all__ = [
+    "Condition",
     "absent_rows",
     "assemble",
     "audit_foreign_key",
@@ -38,6 +40,7 @@ __all__ = [
     "flatten_branches",
     "having",
     "join_renamed",
+    "matching_keys",
     "owner_keys",
     "required_columns",
     "restrict",

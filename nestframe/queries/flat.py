@@ -3,7 +3,15 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from nestframe import fetch, flatten, flatten_aligned, flatten_branches, join_renamed
+from nestframe import (
+    Condition,
+    fetch,
+    flatten,
+    flatten_aligned,
+    flatten_branches,
+    join_renamed,
+    matching_keys,
+)
 from nestframe.plans import DocumentTables, table_layout
 from nestframe.queries.registry import query
 from nestframe.queries.samples import amount_tables, customer_tables, load, order_tables
@@ -128,3 +136,28 @@ def fetch_from_a_list(spark: SparkSession, folder: str) -> DataFrame:
     """The orders of customers as documents of their own."""
     orders = fetch(customer_tables(spark, folder), name="Customer_orders", max_rows=25)
     return orders.select("o_orderkey", F.size("lines").cast("long").alias("n_lines"))
+
+
+@query("""
+    SELECT n_name, (SELECT count(*) FROM customer WHERE c_nationkey = n_nationkey) AS n_customers,
+           (SELECT count(*) FROM supplier WHERE s_nationkey = n_nationkey) AS n_suppliers
+    FROM nation
+    WHERE (SELECT count(*) FROM customer WHERE c_nationkey = n_nationkey AND c_custkey % 10 = 0) >= 2
+      AND (SELECT count(*) FROM customer JOIN orders ON o_custkey = c_custkey
+           WHERE c_nationkey = n_nationkey AND o_totalprice > 300000) >= 3
+      AND NOT EXISTS (SELECT 1 FROM supplier WHERE s_nationkey = n_nationkey AND NOT coalesce(s_acctbal > -900, FALSE))
+""")
+def fetch_by_branches(spark: SparkSession, folder: str) -> DataFrame:
+    """Nations chosen by conditions on both of their lists and on a list inside one, then rebuilt."""
+    tables = nation_tables(spark, folder)
+    chosen = matching_keys(
+        tables,
+        [
+            Condition("Nation_customers", F.col("c_custkey") % 10 == 0, at_least=2),
+            Condition("Nation_customers_orders", F.col("o_totalprice") > 300000, at_least=3),
+            Condition("Nation_suppliers", F.col("s_acctbal") > -900, every=True),
+        ],
+    )
+    nations = fetch(tables, matching=chosen, max_rows=None)
+    sizes = [F.size(name).cast("long").alias(f"n_{name}") for name in ("customers", "suppliers")]
+    return nations.select("n_name", *sizes)

@@ -1,8 +1,10 @@
-"""Lists side by side, against rows made one by one."""
+"""Lists side by side, against rows made one by one, and documents chosen by several of them."""
+
+import pytest
 
 from pyspark.sql import functions as F
 
-from nestframe import DocumentTables, flatten_aligned, shred, table_layout
+from nestframe import Condition, DocumentTables, flatten_aligned, matching_keys, shred, table_layout
 
 MODEL = """
     name string, tags array<string>, owner struct<x: int, marks: array<int>>,
@@ -68,3 +70,29 @@ def test_no_lists_and_no_rows(spark):
     tables = shred(spark.createDataFrame([("x", 1)], "name string, n int"), "D", key="name")
     assert [tuple(r) for r in flatten_aligned(tables).collect()] == [("x", 1, "x", 0)]
     assert flatten_aligned(shred(spark.createDataFrame([], MODEL), "D", key="name")).collect() == []
+
+
+def test_conditions_on_several_branches(spark):
+    tables = shred(spark.createDataFrame(ROWS, MODEL), "D", key="name")
+    tags = Condition("D_tags", F.col("tags").startswith("t"), at_least=3)
+    marks = Condition("D_parts_marks", F.col("marks") > 2)
+    bolts = Condition("D_parts_bolts", F.col("name") == "m4", every=True)
+    labels = Condition("D_parts", F.col("label") >= "q", every=True)
+    root = Condition("D", F.col("name") > "b")
+    cases = [
+        ([tags], "all", "a"),
+        ([marks], "all", "ae"),
+        ([bolts], "all", "bcde"),
+        ([marks, bolts], "all", "e"),
+        ([tags, bolts], "any", "abcde"),
+        ([labels, root], "all", "cde"),
+        ([Condition("D_parts_marks", F.col("marks") > 0, at_least=4)], "all", "a"),
+        ([Condition("D_owner", F.col("x") == 7), tags, marks], "all", "a"),
+        ([Condition("D_owner", F.col("x") > 0, every=True)], "all", "abde"),
+        ([], "all", "abcde"),
+    ]
+    for conditions, match, wanted in cases:
+        found = matching_keys(tables, conditions, match).collect()
+        assert sorted(r[0] for r in found) == list(wanted), (conditions, match)
+    with pytest.raises(ValueError):
+        matching_keys(tables, [tags], "some")

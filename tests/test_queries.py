@@ -42,5 +42,17 @@ def test_query_agrees_with_sql(spark, database, name):
     assert table(frame.columns, frame.collect()) == expected
 
 
+@pytest.mark.parametrize("name", ["stored_round_trip", "difference_of_pieces"])
+def test_longer_documents_agree_as_well(spark, name):
+    """One of the larger samples' documents has a paragraph of over 5,000 words."""
+    connection = duckdb.connect()
+    folder = "/root/testdata/sf0.01"
+    connection.execute(f"CREATE VIEW documents AS SELECT * FROM '{folder}/documents.parquet'")
+    frame = entry_points.queries()[name](spark, folder)
+    result = connection.execute(entry_points.oracle_sql()[name])
+    expected = table([c[0] for c in result.description], result.fetchall())
+    assert table(frame.columns, frame.collect()) == expected
+
+
 def test_entry(spark):
     assert entry_points.entry(spark).count() > 0
