@@ -90,8 +90,8 @@ def _bad_keys(documents: DataFrame, key: str) -> DataFrame | None:
     """The keys that are NULL or repeated, with the reason; None if there are none."""
     counts = documents.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
     reason = F.when(F.col(key).isNull(), "missing").when(F.col("n") > 1, "repeated")
-    bad = durable(counts.select(key, reason.alias("reason"), "n").where("reason IS NOT NULL"))
-    return None if bad.isEmpty() else bad
+    bad = counts.select(key, reason.alias("reason"), "n").where("reason IS NOT NULL")
+    return None if bad.isEmpty() else durable(bad)
 
 
 def _without_keys(documents: DataFrame, bad: DataFrame, key: str) -> DataFrame:
