@@ -1,15 +1,16 @@
 """Near duplicates by DartMinHash signatures, banded joining and an exact check.
 
 A document is the set of its shingles (runs of five words, ASCII case ignored; all its words if there are fewer).
-``signatures`` takes weighted sets, in which a shingle found c times weighs 1 + log2(c) / 8; for the bands each counts
-once, with weight 1, as it does in the links. Darts fall on the plane of weight
+``signatures`` takes weighted sets, in which a shingle found c times weighs 1 + log2(c) / 8. Darts fall on the plane of weight
 and rank as a Poisson process that depends on the shingle alone: the region of its i-th repeat, as wide as that repeat
 weighs, gets hashed exponential waiting times. A document keeps the darts below a rank at which it expects about
 k ln k + 2k of them, whatever its size, deals them to k coordinates by hash, and the earliest dart of each coordinate
 is the signature. Should a coordinate stay empty, the rank doubles. Two signatures agree in a coordinate with the
 probability of the weighted Jaccard similarity.
 
-Five coordinates make a band, 25 bands a signature: a pair at 0.8 shares a band but in 1 of 20,000 cases, whatever it repeats.
+Five coordinates make a band, 25 bands a signature: a pair at 0.8 shares a band but in 1 of 20,000 cases. Links take
+each shingle once, so a text that repeats shingles has the bands of its signature without repeats as well, which are
+those it shares with texts that repeat others or none.
 
 Copies count once. Each bucket of a band pairs its members with one of them, chosen by lot in every bucket, and each
 text is checked against the two likeliest of those it met. Where a bucket then still holds several components, what is
@@ -48,15 +49,16 @@ def near_duplicates(
     bands: int = 25,
     rows: int = 5,
 ) -> DataFrame:
-    """``id, class_id, n_members, n_links``, a row per document.
+    """``id, class_id, n_members, n_texts``, a row per document.
 
-    ``class_id`` is the smallest id of the documents that are linked, directly or in steps; ``n_links`` counts the
-    checked links of the document's text to other texts. Equal texts are one text. A null id comes before all others.
+    ``class_id`` is the smallest id of the documents that are linked, directly or in steps; ``n_members`` counts them,
+    ``n_texts`` their different texts. Links themselves are not counted: members of a class need not all be compared.
+    A null id comes before all others.
     A null text or one without words is in no relation to others, copies of it included: its class is its own id.
     """
     classes = _classes(documents, id_column, text_column, threshold, width, bands, rows)
     named = lambda c: F.when(F.col(c) != NO_ID, F.col(c)).alias(id_column if c == "id" else c)
-    return classes.select(named("id"), named("class_id"), "n_members", "n_links")
+    return classes.select(named("id"), named("class_id"), "n_members", "n_texts")
 
 
 def keep_one(documents: DataFrame, id_column: str = "doc_id", text_column: str = "text", **options) -> DataFrame:
@@ -100,7 +102,7 @@ def _classes(documents: DataFrame, id_column: str, text_column: str, threshold,
     members = durable(texts.mapInArrow(batched(_sign(width, bands, rows), rows=256), "id long, digest binary, bands array<long>"))
     nodes = members.where("digest IS NOT NULL").groupBy("digest").agg(F.first("bands").alias("bands"))
     nodes = durable(nodes)
-    entries = nodes.select("digest", F.explode("bands").alias("bucket"))
+    entries = nodes.select("digest", F.explode(F.array_distinct("bands")).alias("bucket"))
     full = entries.groupBy("bucket").agg(F.min("digest").alias("low"), F.max("digest").alias("high")).where("low <> high")
     placed = durable(entries.join(full.select("bucket"), "bucket", "left_semi").withColumnRenamed("digest", "node"))
     chosen = placed.select(F.col("node").alias("digest")).distinct()
@@ -115,21 +117,20 @@ def _classes(documents: DataFrame, id_column: str, text_column: str, threshold,
         links = durable(links.unionByName(more).distinct())
         roots = components(links)
 
-    ends = links.select(F.col("a").alias("digest")).unionByName(links.select(F.col("b").alias("digest")))
-    counts = ends.groupBy("digest").agg(F.count("*").alias("n_links"))
     rooted = (
         members.select("id", "digest")
         .join(roots.withColumnRenamed("node", "digest"), "digest", "left")
-        .join(counts, "digest", "left")
-        .select("id", "digest", F.coalesce("root", "digest").alias("root"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
+        .select("id", "digest", F.coalesce("root", "digest").alias("root"))
     )
-    classes = rooted.where("digest IS NOT NULL").groupBy("root").agg(
-        F.min("id").alias("class_id"), F.count("*").alias("n_members")
+    # Copies are counted first, so that a class is summed up from its texts.
+    by_text = rooted.where("digest IS NOT NULL").groupBy("root", "digest").agg(F.min("id").alias("least"), F.count("*").alias("n"))
+    classes = by_text.groupBy("root").agg(
+        F.min("least").alias("class_id"), F.sum("n").alias("n_members"), F.count("*").alias("n_texts")
     )
+    one = lambda c: F.coalesce(c, F.lit(1).cast("long")).alias(c)
     return rooted.join(classes, "root", "left").select(
-        "id", "digest", F.coalesce("class_id", "id").alias("class_id"),
-        F.coalesce("n_members", F.lit(1)).alias("n_members"), "n_links",
-    )
+        "id", "digest", F.coalesce("class_id", "id").alias("class_id"), one("n_members"), one("n_texts")
+    )
 
 
 def _by_leader(placed: DataFrame) -> DataFrame:
@@ -269,22 +270,26 @@ def _lists(values: np.ndarray, lengths: np.ndarray) -> pa.ListArray:
 
 
 def _sign(width: int, bands: int, rows: int) -> Callable[[pa.Table], pa.Table]:
-    def sign(table: pa.Table) -> pa.Table:
-        shingle, row, repeat = weighted_shingles(table, width)
-        # Links ask for plain similarity, so bands must find it however often each text repeats a shingle.
-        shingle, row, repeat = (values[repeat == 0] for values in (shingle, row, repeat))
+    def buckets(shingle: np.ndarray, row: np.ndarray, repeat: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         filled, signature = signatures(shingle, row, repeat, bands * rows)
         value = np.zeros((len(filled), bands), np.uint64)
         for i in range(rows):
             value = mix(value * np.uint64(5) + signature[:, i::rows])
-        value = mix(value + np.arange(bands, dtype=np.uint64)).view(np.int64)
-        length = np.zeros(table.num_rows, np.int64)
-        length[filled] = 1
+        return filled, mix(value + np.arange(bands, dtype=np.uint64)).view(np.int64)
+
+    def sign(table: pa.Table) -> pa.Table:
+        shingle, row, repeat = weighted_shingles(table, width)
+        weighted, of_weights = buckets(shingle, row, repeat)
+        # Without repeats both signatures are the same.
+        once = np.isin(row, row[repeat > 0]) & (repeat == 0)
+        plain, of_sets = buckets(shingle[once], row[once], repeat[once])
+        filled = np.concatenate((weighted, plain))
+        value = np.concatenate((of_weights, of_sets))[np.argsort(filled, kind="stable")]
         return pa.table(
             {
                 "id": table.column("id"),
                 "digest": table.column("digest"),
-                "bands": _lists(value, length * bands),
+                "bands": _lists(value, np.bincount(filled, minlength=table.num_rows) * bands),
             }
         )
 

@@ -52,7 +52,7 @@ def op7_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def op10_dart_minhash(spark: SparkSession, folder: str) -> DataFrame:
-    """The class of near duplicates of each document and how many links its text has."""
+    """The class of near duplicates of each document, with its numbers of documents and of different texts."""
     return near_duplicates(table(spark, folder, "documents"))
 
 

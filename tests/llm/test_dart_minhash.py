@@ -4,7 +4,7 @@ import numpy as np
 import pyarrow as pa
 
 from nestframe.llm.components import components
-from nestframe.llm.dart_minhash import keep_one, near_duplicates, signatures, weighted_shingles
+from nestframe.llm.dart_minhash import _sign, keep_one, near_duplicates, signatures, weighted_shingles
 from tests.llm import plain
 
 FOLDER = "/root/testdata/sf0.001"
@@ -13,8 +13,15 @@ FOLDER = "/root/testdata/sf0.001"
 def test_sample(spark):
     frame = spark.read.parquet(f"{FOLDER}/documents.parquet")
     rows = [(r.doc_id, r.text) for r in frame.collect()]
-    found = {r.doc_id: r.class_id for r in near_duplicates(frame).collect()}
-    assert [found[doc] for doc, _ in rows] == plain.near_duplicates(rows)
+    check(near_duplicates(frame), rows)
+
+
+def check(found, rows):
+    """Classes as the plain version has them, and their documents and different texts counted."""
+    classes = plain.near_duplicates(rows)
+    of_class = {c: [text for (_, text), other in zip(rows, classes) if other == c] for c in set(classes)}
+    expected = [(doc, c, len(of_class[c]), len(set(of_class[c]))) for (doc, _), c in zip(rows, classes)]
+    assert sorted(tuple(r) for r in found.collect()) == sorted(expected)
 
 
 def test_group_of_near_copies_around_the_threshold(spark):
@@ -29,8 +36,7 @@ def test_group_of_near_copies_around_the_threshold(spark):
         rows.append((i, " ".join(words)))
     rows += [(1000, rows[5][1].upper()), (1001, rows[5][1])]
     frame = spark.createDataFrame(rows, "doc_id long, text string")
-    found = {r.doc_id: r.class_id for r in near_duplicates(frame).collect()}
-    assert [found[doc] for doc, _ in rows] == plain.near_duplicates(rows)
+    check(near_duplicates(frame), rows)
     kept = sorted(r.doc_id for r in keep_one(frame).collect())
     assert kept == sorted(set(plain.near_duplicates(rows)))
 
@@ -73,3 +79,15 @@ def test_repeating_a_text_does_not_hide_it(spark):
         rows += [(2 * number, passage), (2 * number + 1, " ".join([passage] * (10, 64, 400)[number % 3]))]
     frame = spark.createDataFrame(rows, "doc_id long, text string")
     assert {r.doc_id: r.class_id for r in near_duplicates(frame).collect()} == {doc: doc // 2 * 2 for doc, _ in rows}
+
+
+def test_weights_and_sets_both_reach_the_bands():
+    dice = random.Random(6)
+    passage = " ".join(f"w{dice.randrange(10**6)}" for _ in range(60))
+    often = " ".join([passage] * 400)
+    texts = pa.table({"id": [0, 1, 2], "digest": [b"a", b"b", b"c"], "text": [passage, often, None]})
+    bands = _sign(5, 25, 5)(texts).column("bands").to_pylist()
+    assert [len(b) for b in bands] == [25, 50, 0]
+    weighted, plain_ = bands[1][:25], bands[1][25:]
+    # The passage's own runs are nearly all of the repeated text's, so most plain bands are shared.
+    assert len(set(bands[0]) & set(plain_)) > 10 > len(set(bands[0]) & set(weighted))
