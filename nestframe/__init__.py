@@ -21,6 +21,7 @@ from nestframe.operators import (
     flatten_branches,
     having,
     join_renamed,
+    locate_differences,
     matching_keys,
     owner_keys,
     required_columns,
@@ -77,6 +78,7 @@ __all__ = [
     "join_renamed",
     "list_tables",
     "load_tables",
+    "locate_differences",
     "matching_keys",
     "model_schema",
     "nan_as_null",

@@ -16,6 +16,7 @@ from nestframe.operators.conform import conform, text_output
 from nestframe.operators.fetch import fetch, fetch_by_id, owner_keys
 from nestframe.operators.flatten import flatten, flatten_branches, join_renamed
 from nestframe.operators.patterns import Condition, matching_keys
+from nestframe.operators.locate import digest_tree, locate_differences
 from nestframe.operators.pieces import canonical, canonical_tables, count_documents, having
 from nestframe.operators.restrict import restrict
 from nestframe.operators.shred import shred
@@ -33,6 +34,7 @@ __all__ = [
     "conform",
     "count_documents",
     "difference",
+    "digest_tree",
     "fetch",
     "fetch_by_id",
     "flatten",
@@ -40,6 +42,7 @@ __all__ = [
     "flatten_branches",
     "having",
     "join_renamed",
+    "locate_differences",
     "matching_keys",
     "owner_keys",
     "required_columns",

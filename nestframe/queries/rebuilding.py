@@ -4,7 +4,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from nestframe import assemble, canonical, difference, nan_as_null, shred
+from nestframe import assemble, canonical, difference, durable, locate_differences, nan_as_null, shred
 from nestframe.plans import DocumentTables, table_layout
 from nestframe.queries.registry import query
 from nestframe.queries.samples import (
@@ -245,3 +245,35 @@ def shred_pieces(spark: SparkSession, folder: str) -> DataFrame:
     found = tables["Order"].join(counts, "Order_id", "left").where("n IS NULL OR n = span")
     zero = F.lit(0)
     return found.select("o_orderkey", F.coalesce("n", zero).cast("long").alias("n_lines"), F.coalesce("first_line", zero).alias("first_line"))
+
+
+@query("""
+    WITH sides AS (SELECT *, doc_id % 49 <> 0 AS expected, doc_id % 50 <> 0 AS actual FROM documents),
+    shared AS (SELECT * FROM sides WHERE expected AND actual)
+    SELECT CAST(doc_id AS VARCHAR) AS document, '' AS path, CAST(NULL AS BIGINT) AS pos, 'missing' AS kind
+    FROM sides WHERE expected AND NOT actual
+    UNION ALL SELECT CAST(doc_id AS VARCHAR), '', NULL, 'extra' FROM sides WHERE actual AND NOT expected
+    UNION ALL SELECT CAST(doc_id AS VARCHAR), '', NULL, 'changed' FROM shared WHERE doc_id % 11 = 1
+    UNION ALL SELECT CAST(doc_id AS VARCHAR), 'paragraphs.words', 0, 'changed' FROM shared WHERE doc_id % 13 = 2
+    UNION ALL SELECT CAST(doc_id AS VARCHAR), 'paragraphs', len(string_split(text, chr(10))), 'extra' FROM shared WHERE doc_id % 17 = 3
+""")
+def difference_located(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents left out, added, of another length, with another first word, with a paragraph more: each is told where."""
+    documents = split_documents(spark, folder)
+    marked = lambda words: F.transform(words, lambda w, i: F.when(i == 0, F.concat(w, F.lit("!"))).otherwise(w))
+    reworded = F.transform(
+        "paragraphs",
+        lambda p, i: F.when((F.col("doc_id") % 13 == 2) & (i == 0), p.withField("words", marked(p["words"]))).otherwise(p),
+    )
+    more = F.array(F.struct(F.lit("more").alias("text"), F.array(F.lit("more")).alias("words")))
+    changed = documents.withColumns(
+        {
+            "n_chars": F.when(F.col("doc_id") % 11 == 1, F.col("n_chars") + 1).otherwise(F.col("n_chars")),
+            "paragraphs": F.when(F.col("doc_id") % 17 == 3, F.concat(reworded, more)).otherwise(reworded),
+        }
+    )
+    sides = [
+        shred(durable(rows), "Document", key="doc_id")
+        for rows in (documents.where("doc_id % 49 <> 0"), changed.where("doc_id % 50 <> 0"))
+    ]
+    return locate_differences(*sides).select("document", "path", "pos", "kind")
