@@ -134,3 +134,34 @@ def check_packing(rows, pieces, tokenizer, size):
         for start, length, crc in by_row[doc]:
             if len([1 for d, _ in rows if d == doc]) == 1:
                 assert zlib.crc32(ids[start : start + length].tobytes()) == crc
+
+
+def quadratic_discriminant(rows, labels, queries, pooled, diagonal):
+    """Scores by two normal densities, sums written out, with determinants and solved equations."""
+    center = rows.mean(axis=0)
+    scale = np.sqrt(((rows - center) ** 2).mean(axis=0)) + 1e-6
+    groups = [[(r - center) / scale for r, y in zip(rows, labels) if y == c] for c in (0, 1)]
+    means = [sum(g) / len(g) for g in groups]
+    own = [sum(np.outer(r - m, r - m) for r in g) / (len(g) - 1) for g, m in zip(groups, means)]
+    whole = sum(len(g) * s for g, s in zip(groups, own)) / len(rows)
+    prior = (len(groups[1]) + 1) / (len(rows) + 2)
+    scores = []
+    for query in queries:
+        x, logs = (query - center) / scale, []
+        for mean, s in zip(means, own):
+            s = (1 - pooled) * s + pooled * whole
+            s = np.where(np.eye(len(s)) > 0, s + 1e-3, (1 - diagonal) * s)
+            logs.append(-0.5 * ((x - mean) @ np.linalg.solve(s, x - mean) + np.linalg.slogdet(s)[1]))
+        odds = np.log(prior / (1 - prior)) + logs[1] - logs[0]
+        scores.append(1 / (1 + np.exp(-np.clip(odds, -500, 500))))
+    return np.array(scores)
+
+
+def word_statistics(text):
+    """Logarithms of the number of words, their mean length in bytes and its spread; the logit of the share of repeated words."""
+    words = text.encode().split()
+    lengths = [len(w) for w in words]
+    mean = sum(lengths) / max(len(words), 1)
+    spread = (sum((n - mean) ** 2 for n in lengths) / max(len(words), 1)) ** 0.5
+    repeated = (len(words) - len(set(words)) + 0.5) / (len(words) + 1)
+    return [np.log1p(len(words)), np.log1p(mean), np.log1p(spread), np.log(repeated / (1 - repeated))]

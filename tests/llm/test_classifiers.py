@@ -3,11 +3,14 @@
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pyspark.sql.functions as F
 import pytest
 
-from nestframe.llm.quality_qda import Discriminant, fit_quality, score_quality
+from nestframe.llm.bytesets import buffer_of
+from nestframe.llm.quality_qda import _KINDS, Discriminant, fit_quality, score_quality, statistics
 from nestframe.llm.toxicity import Swapper, _fit, drop_toxic, fit_toxicity, score_toxicity
+from tests.llm import plain
 
 FOLDER = "/root/testdata/sf0.1"
 
@@ -107,3 +110,21 @@ def test_partitions_do_not_change_the_toxicity_model(spark):
     labels = spark.createDataFrame([(i, int(i % 10 == 0)) for i, _ in rows], "doc_id long, toxic int")
     one, many = (fit_toxicity(documents.repartition(n, "doc_id"), labels) for n in (1, 60))
     assert np.array_equal(one.hashes, many.hashes) and np.array_equal(one.weights, many.weights)
+
+
+def test_densities_are_those_of_the_plain_version():
+    dice = np.random.default_rng(3)
+    labels = (dice.random(300) < 0.3).astype(int)
+    rows = dice.normal(size=(300, 6)) @ dice.normal(size=(6, 6)) + labels[:, None] * 0.7
+    rows[:, 5] = rows[:, 4]  # dependent columns, which only shrinkage makes invertible
+    queries = np.concatenate((rows[:50], dice.normal(size=(50, 6)) * 5))
+    for pooled, diagonal in ((0.3, 0.1), (0.0, 0.5), (1.0, 0.0)):
+        found = Discriminant(pooled, diagonal).fit(rows, labels).score(queries)
+        np.testing.assert_allclose(found, plain.quadratic_discriminant(rows, labels, queries, pooled, diagonal), atol=1e-8)
+
+
+def test_statistics_of_words_are_those_of_the_plain_version():
+    texts = ["", "one", "a b a b a", "  spaced\tout\nwords out ", "größe ist größe", "x " * 5000, None]
+    found = statistics(*buffer_of(pa.chunked_array([pa.array(texts, pa.string())])))
+    columns = [0, 1, 2, 3 + len(_KINDS) + 1 + 2]
+    np.testing.assert_allclose(found[:, columns], [plain.word_statistics(t or "") for t in texts], atol=1e-9)
