@@ -7,12 +7,13 @@ How it works. A suffix is taken at every *anchor*: the place of the smallest has
 ``length`` bytes holds. Equal strings have their anchor at the same distance, so all strings that start in one stretch
 belong to one anchor, and only anchors whose 32 bytes occur a second time anywhere can matter.
 
-1. Documents are dealt into blocks of about four megabytes. A block names its anchors' hashes, each once.
+1. Documents are dealt into blocks of about four megabytes, by id and text. A block names its anchors' hashes, each once.
 2. Hashes known to two blocks, or found twice within one, go back to their blocks.
 3. Each block takes the stretches of such anchors; of equal stretches within the block only the first goes on.
 4. Splitters sampled from leading bytes of anchors deal the stretches into ranges. A leading string so frequent that
    several splitters equal it is spread over the ranges between them; ranges too few for the blocks are dealt on by hash. Each range sorts by multikey quicksort and
    compares neighbours, first whole stretches, then the single strings of those that still share 32 bytes.
+   So is an anchor that more blocks have than a range should: blocks are counted exactly, whatever the sample shows.
 5. Where a leading string lies in several ranges, the first place of each string in its range is compared across them.
 
 The texts cross the network once (the same exchange serves steps 1, 3 and the end), hashes once, stretches of repeated
@@ -31,6 +32,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from nestframe.llm.bytesets import buffer_of, mix, ranges, spans_of
+from nestframe.operators.durable import durable
 
 GRAM = 32
 LEAD = 16
@@ -46,31 +48,36 @@ def remove_repeats(
     block_bytes: int = 4 << 20,
     sampled_documents: int = 1000,
     splitters: list[bytes] | None = None,
+    range_blocks: int = 4096,
 ) -> DataFrame:
     """``id, n_bytes, kept (binary), spans (array of removed start and end)``, a row per document.
 
     A null text is empty. A null id comes before all others. Rows with the same id are told apart by their text,
     the smaller one coming first; rows with the same id and text are one document, and each of them gets its result.
     Texts shorter than ``length`` keep all. Other columns are not looked at. ``length`` is 64 at least. The number of
-    sampled documents bounds what the splitters are taken from, nothing else.
+    sampled documents bounds what the splitters are taken from, nothing else. An anchor found in more than
+    ``range_blocks`` blocks is spread over as many ranges as that takes.
     """
     if length < 2 * GRAM:
         raise ValueError(f"length must be {2 * GRAM} at least")
     texts = documents.select(
-        F.coalesce(F.col(id_column).cast("long"), F.lit(NO_ID)).alias("id"), F.col(text_column).alias("text")
+        F.coalesce(F.col(id_column).cast("long"), F.lit(NO_ID)).alias("id"),
+        F.coalesce(F.col(text_column), F.lit("")).alias("text"),
     )
     size, count = texts.select(F.sum(F.octet_length("text")), F.count("*")).first()
     blocks = max(1, -(-(size or 0) // block_bytes))
     if splitters is None:
         splitters = _splitters(texts, min(1.0, sampled_documents / max(count, 1)), blocks, length)
-    texts = texts.select(F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int").alias("block"), "id", "text")
+    texts = _numbered(texts).select(
+        F.pmod(F.xxhash64("id", "seq"), F.lit(blocks)).cast("int").alias("block"), "id", "seq", "copies", "text"
+    )
 
     hashes = texts.groupBy("block").applyInArrow(_block_hashes(length), "hash long, block int, twice boolean")
     same = Window.partitionBy("hash")
     known = (
         hashes.withColumn("blocks", F.count("*").over(same)).withColumn("any_twice", F.max("twice").over(same))
         .where("blocks > 1 OR any_twice")
-        .select("block", "hash")
+        .select("block", "hash", F.ceil(F.col("blocks") / range_blocks).cast("int").alias("slices"))
     )
     stretches = (
         texts.groupBy("block")
@@ -88,36 +95,45 @@ def remove_repeats(
         .select("block", "id", "seq", "start", "n")
     )
     result = texts.groupBy("block").cogroup(repeats.groupBy("block")).applyInArrow(_remove(length), _RESULT)
-    return result.select(
+    copies = F.explode(F.sequence(F.lit(1), "copies")).alias("copy")
+    return result.select("*", copies).select(
         F.when(F.col("id") != NO_ID, F.col("id")).alias(id_column), "n_bytes", "kept", "spans"
     )
 
 
-_STRETCH = "range int, block int, id long, seq int, start int, n int, shift int, shared boolean, bytes binary"
-_FOUND = "block int, id long, seq int, start int, n int, digest binary"
-_RESULT = "id long, n_bytes long, kept binary, spans array<struct<start: int, end: int>>"
+def _numbered(texts: DataFrame) -> DataFrame:
+    """``id, seq, copies, text``, a row per document. ``seq`` sorts the documents of one id as their texts do.
+
+    Ids that come once, as they should, are 0 in it. The others' documents are sorted by id and text, however many
+    have the same id, and their numbers written, as another run of the sort could give others.
+    """
+    several = texts.groupBy("id").count().where("count > 1").select("id")
+    once = texts.select("id", F.lit(0).cast("long").alias("seq"), F.lit(1).cast("long").alias("copies"), "text")
+    if several.isEmpty():
+        return once
+    several = durable(several)
+    documents = texts.join(several, "id", "left_semi").groupBy("id", "text").agg(F.count(F.lit(1)).alias("copies"))
+    sorted_once = documents.orderBy("id", "text").withColumn("seq", F.monotonically_increasing_id())
+    return once.join(several, "id", "left_anti").unionByName(durable(sorted_once.select(*once.columns)))
+
+
+_STRETCH = "range int, block int, id long, seq long, start int, n int, shift int, shared boolean, bytes binary"
+_FOUND = "block int, id long, seq long, start int, n int, digest binary"
+_RESULT = "id long, copies long, n_bytes long, kept binary, spans array<struct<start: int, end: int>>"
 
 
 class _Block:
-    """The different documents of a block in order, as one buffer; ``row`` leads from input rows to documents."""
+    """The documents of a block in order, as one buffer."""
 
     def __init__(self, table: pa.Table):
-        ids = table.column("id").to_numpy()
+        ids, seq = table.column("id").to_numpy(), table.column("seq").to_numpy()
+        order = np.lexsort((seq, ids))
+        self.ids, self.seq, self.copies = ids[order], seq[order], table.column("copies").to_numpy()[order]
         texts = table.column("text").cast(pa.large_binary()).to_pylist()
-        keys = [(i, t or b"") for i, t in zip(ids.tolist(), texts, strict=True)]
-        order = sorted(set(keys))
-        place = {key: i for i, key in enumerate(order)}
-        self.row = [place[key] for key in keys]
-        self.ids = np.array([key[0] for key in order], np.int64)
-        new = np.concatenate(([True], self.ids[1:] != self.ids[:-1])) if len(order) else np.zeros(0, bool)
-        at = np.arange(len(order))
-        self.seq = at - np.maximum.accumulate(np.where(new, at, 0)) if len(order) else at
-        self.starts = np.cumsum([0, *(len(key[1]) for key in order)])
+        texts = [texts[i] for i in order.tolist()]
+        self.starts = np.cumsum([0, *map(len, texts)])
         self.ends, self.starts = self.starts[1:], self.starts[:-1]
-        self.data = np.frombuffer(b"".join(key[1] for key in order), np.uint8)
-
-    def bytes(self, row: int) -> bytes:
-        return self.data[self.starts[row] : self.ends[row]].tobytes()
+        self.data = np.frombuffer(b"".join(texts), np.uint8)
 
 
 def anchors(
@@ -244,10 +260,12 @@ def _stretches(length: int, splitters: list[bytes], fan: int) -> Callable[[pa.Ta
         block = _Block(texts)
         number = texts.column("block")[0].as_py()
         document, start, n, anchor, hashes = anchors(block.data, block.starts, block.ends, length)
-        wanted = np.sort(known.column("hash").to_numpy().view(np.uint64))
-        at = np.minimum(np.searchsorted(wanted, hashes), len(wanted) - 1)
+        wanted = known.column("hash").to_numpy().view(np.uint64)
+        order = np.argsort(wanted)
+        at = order[np.minimum(np.searchsorted(wanted, hashes, sorter=order), len(wanted) - 1)]
         live = np.flatnonzero(wanted[at] == hashes)
-        document, start, n, anchor = document[live], start[live], n[live], anchor[live]
+        document, start, n, anchor, hashes = document[live], start[live], n[live], anchor[live], hashes[live]
+        slices = known.column("slices").to_numpy()[at[live]].astype(np.uint64)
         whole = block.data.tobytes()
         seen: dict[bytes, int] = {}
         repeated = np.zeros(len(live), bool)
@@ -266,7 +284,7 @@ def _stretches(length: int, splitters: list[bytes], fan: int) -> Callable[[pa.Ta
         first = np.flatnonzero(~repeated)
         lead = np.array([whole[a : a + LEAD] for a in anchor[first].tolist()], f"S{LEAD}")
         low, high = np.searchsorted(limits, lead, "left"), np.searchsorted(limits, lead, "right")
-        spread = mix(block.ids[document[first]].view(np.uint64) + start[first].astype(np.uint64))
+        spread = mix((block.ids + block.seq)[document[first]].view(np.uint64) + start[first].astype(np.uint64))
         shared = high - low > 1
         within = (spread % np.maximum(high - low, 1).astype(np.uint64)).astype(np.int64)
         # Where there are fewer splitters than blocks, a hash of the leading bytes deals each range further.
@@ -274,10 +292,14 @@ def _stretches(length: int, splitters: list[bytes], fan: int) -> Callable[[pa.Ta
         if fan > 1 and len(first):
             halves = lead.view(np.uint64).reshape(-1, 2)
             target += (mix(halves[:, 0] ^ mix(halves[:, 1])) % np.uint64(fan)).astype(np.int64)
+        total = (len(limits) + 1) * fan
+        sliced = slices[first] > 1
+        dealt = mix(hashes[first] + spread % slices[first]) % np.uint64(total)
+        target, shared = np.where(sliced, dealt.astype(np.int64), target), shared | sliced
         rows = np.concatenate((first, again))
         return _table(
             [
-                np.concatenate((target, np.full(len(again), number % ((len(limits) + 1) * fan)))),
+                np.concatenate((target, np.full(len(again), number % total))),
                 np.full(len(rows), number),
                 block.ids[document[rows]],
                 block.seq[document[rows]],
@@ -294,11 +316,11 @@ def _stretches(length: int, splitters: list[bytes], fan: int) -> Callable[[pa.Ta
 
 
 _STRETCH_TYPES = {
-    "range": pa.int32(), "block": pa.int32(), "id": pa.int64(), "seq": pa.int32(), "start": pa.int32(),
+    "range": pa.int32(), "block": pa.int32(), "id": pa.int64(), "seq": pa.int64(), "start": pa.int32(),
     "n": pa.int32(), "shift": pa.int32(), "shared": pa.bool_(), "bytes": pa.binary(),
 }
 _FOUND_TYPES = {
-    "block": pa.int32(), "id": pa.int64(), "seq": pa.int32(), "start": pa.int32(), "n": pa.int32(), "digest": pa.binary(),
+    "block": pa.int32(), "id": pa.int64(), "seq": pa.int64(), "start": pa.int32(), "n": pa.int32(), "digest": pa.binary(),
 }
 
 
@@ -378,13 +400,13 @@ def _remove(length: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
             kept = block.data[block.starts[i] : block.ends[i]]
             kept = kept[~flags].tobytes() if len(a) else kept.tobytes()
             results.append((len(flags), kept, [{"start": s, "end": e} for s, e in zip(a, z, strict=True)]))
-        chosen = [results[i] for i in block.row]
         return pa.table(
             {
-                "id": block.ids[block.row] if block.row else np.zeros(0, np.int64),
-                "n_bytes": pa.array([r[0] for r in chosen], pa.int64()),
-                "kept": pa.array([r[1] for r in chosen], pa.binary()),
-                "spans": pa.array([r[2] for r in chosen], kind),
+                "id": block.ids,
+                "copies": block.copies,
+                "n_bytes": pa.array([r[0] for r in results], pa.int64()),
+                "kept": pa.array([r[1] for r in results], pa.binary()),
+                "spans": pa.array([r[2] for r in results], kind),
             }
         )
 

@@ -4,7 +4,7 @@ import numpy as np
 import pyspark.sql.functions as F
 import pytest
 
-from nestframe.llm.suffix_dedup import multikey_runs, remove_repeats
+from nestframe.llm.suffix_dedup import NO_ID, _numbered, multikey_runs, remove_repeats
 from tests.llm import plain
 
 FOLDER = "/root/testdata/sf0.001"
@@ -40,6 +40,34 @@ def test_repeats_ties_and_nulls_whatever_the_ranges(spark, splitters):
     assert result(remove_repeats(frame, block_bytes=2500, splitters=splitters)) == plain.suffix_dedup(rows)
 
 
+def test_passages_of_all_blocks_are_spread_over_ranges(spark):
+    rows = documents(4)
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    assert result(remove_repeats(frame, block_bytes=500, range_blocks=2)) == plain.suffix_dedup(rows)
+
+
+@pytest.mark.parametrize("doc_id", [None, 3])
+def test_rows_of_one_id_at_volume_lie_in_all_blocks(spark, doc_id):
+    dice = random.Random(5)
+    rows = [(doc_id, "".join(dice.choice(["red ", "blue ", "one ", "of "]) for _ in range(60))) for _ in range(400)]
+    rows += [(doc_id, text[20:] + "end") for _, text in rows[:50]] + rows[:30]
+    rows += [(4, rows[0][1])]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    assert result(remove_repeats(frame, block_bytes=6000)) == plain.suffix_dedup(rows)
+    numbered = _numbered(frame.select(F.coalesce("doc_id", F.lit(NO_ID)).alias("id"), "text"))
+    assert numbered.agg(F.sum("copies")).first()[0] == len(rows)
+    assert numbered.where("id <> 4").select("seq").distinct().count() == len(set(rows)) - 1
+
+
+def test_a_long_text_against_a_short_one(spark):
+    dice = random.Random(6)
+    long = "".join(chr(97 + dice.randrange(26)) for _ in range(300_000))
+    again = long + " " + long[1000:2000]
+    frame = spark.createDataFrame([(1, again), (2, long[250_000:260_000] + "tail")], "doc_id long, text string")
+    rows = remove_repeats(frame).orderBy("doc_id").collect()
+    assert bytes(rows[0].kept) == (long + " ").encode() and bytes(rows[1].kept) == b"tail"
+
+
 def test_empty_table(spark):
     assert result(remove_repeats(spark.createDataFrame([], "doc_id long, text string"))) == []
 
