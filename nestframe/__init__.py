@@ -27,6 +27,7 @@ from nestframe.operators import (
     required_columns,
     restrict,
     shred,
+    shred_once,
     table_counts,
     text_output,
 )
@@ -91,6 +92,7 @@ __all__ = [
     "restrict",
     "save_tables",
     "shred",
+    "shred_once",
     "spark_type",
     "store_stream",
     "table_counts",

@@ -20,6 +20,7 @@ from nestframe.operators.locate import digest_tree, locate_differences
 from nestframe.operators.pieces import canonical, canonical_tables, count_documents, having
 from nestframe.operators.restrict import restrict
 from nestframe.operators.shred import shred
+from nestframe.operators.shred_once import shred_once
 
 __all__ = [
     "Condition",
@@ -48,6 +49,7 @@ __all__ = [
     "required_columns",
     "restrict",
     "shred",
+    "shred_once",
     "table_counts",
     "text_output",
 ]

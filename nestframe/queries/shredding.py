@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from nestframe import DocumentTables, shred, table_counts
+from nestframe import DocumentTables, shred, shred_once, table_counts
 from nestframe.queries.registry import query
 from nestframe.queries.samples import labelled_documents, load, split_documents
 
@@ -101,3 +101,58 @@ def drop_empty_objects(spark: SparkSession, folder: str) -> DataFrame:
 """)
 def count_shredded_tables(spark: SparkSession, folder: str) -> DataFrame:
     return table_counts(document_tables(spark, folder))
+
+
+ALL_ROWS = f"""
+    SELECT doc_id, "table", count(*) AS n_rows, CAST(sum(_pos) AS BIGINT) AS positions,
+           CAST(sum(length(value)) AS BIGINT) AS n_chars, min(key) AS first_key, max(value) AS last_value
+    FROM (
+        SELECT doc_id, 'Document' AS "table", 0 AS _pos, lang AS value, CAST(doc_id AS VARCHAR) AS key FROM documents
+        UNION ALL
+        SELECT doc_id, 'Document_paragraphs', pos, text, left(sha256(doc_id || '/paragraphs/' || pos), 32)
+        FROM ({PARAGRAPHS})
+        UNION ALL
+        SELECT doc_id, 'Document_paragraphs_words', w - 1, words[w], left(sha256(doc_id || '/paragraphs/' || pos), 32)
+        FROM (SELECT doc_id, pos, string_split(text, ' ') AS words FROM ({PARAGRAPHS})),
+             LATERAL unnest(range(1, len(words) + 1)) AS r(w)
+    )
+    GROUP BY doc_id, "table"
+"""
+
+
+@query(ALL_ROWS)
+def shred_all_in_one_pass(spark: SparkSession, folder: str) -> DataFrame:
+    """The rows of all three tables, summed up by document; the text is split once."""
+    tables = shred_once(split_documents(spark, folder), "Document", key="doc_id")
+    documents, paragraphs, words = (
+        tables[name] for name in ("Document", "Document_paragraphs", "Document_paragraphs_words")
+    )
+    owners = paragraphs.select("Document_id", "Document_paragraphs_id")
+
+    def summed(name: str, rows: DataFrame, value: str, key: str) -> DataFrame:
+        return rows.groupBy(F.col("Document_id").alias("doc_id"), F.lit(name).alias("table")).agg(
+            F.count(F.lit(1)).alias("n_rows"),
+            F.sum("_pos").alias("positions"),
+            F.sum(F.length(value)).alias("n_chars"),
+            F.min(F.col(key).cast("string")).alias("first_key"),
+            F.max(value).alias("last_value"),
+        )
+
+    roots = documents.withColumn("_pos", F.lit(0))
+    return (
+        summed("Document", roots, "lang", "Document_id")
+        .unionByName(summed("Document_paragraphs", paragraphs, "text", "Document_paragraphs_id"))
+        .unionByName(
+            summed("Document_paragraphs_words", words.join(owners, "Document_paragraphs_id"), "words", "Document_paragraphs_id")
+        )
+    )
+
+
+@query(f"""
+    SELECT words[w] AS words, left(sha256(doc_id || '/paragraphs/' || pos), 32)
+               AS "Document_paragraphs_id", CAST(w - 1 AS INTEGER) AS _pos
+    FROM (SELECT doc_id, pos, string_split(text, ' ') AS words FROM ({PARAGRAPHS})),
+         LATERAL unnest(range(1, len(words) + 1)) AS r(w)
+""")
+def shred_once_three_levels(spark: SparkSession, folder: str) -> DataFrame:
+    return shred_once(split_documents(spark, folder), "Document", key="doc_id")["Document_paragraphs_words"]
