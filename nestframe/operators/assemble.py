@@ -48,8 +48,9 @@ def assemble(
     """
     layout = tables.layout.only(fields) if fields is not None else tables.layout
     if list_size is not None:
-        if _any_list_over(tables, layout, list_size):
-            return _assembled(tables, layout, list_size)
+        longest = _longest_lists(tables, _lists(layout))
+        if any(length > list_size for length in longest.values()):
+            return _split(tables, layout, list_size, longest)
     elif not tables.rows_fit and (large := _large_documents(tables, layout)) is not None:
         others = _assembled(without(tables, large), layout)
         pieces = _assembled(restrict(tables, large), layout, _default_list_size(layout))
@@ -66,6 +67,77 @@ def _assembled(tables: DocumentTables, layout: Table, list_size: int | None = No
     return documents.select(*_attributes(layout, documents), part.alias(PART))
 
 
+def _split(tables: DocumentTables, layout: Table, list_size: int, longest: dict[str, int]) -> DataFrame:
+    """Documents in pieces. Those that fit a row are rebuilt whole and cut where they are.
+
+    That evaluates each table once and shuffles each row as often as for whole documents. Those with
+    more items, and documents with lists side by side, are put together piece by piece.
+    """
+    if any(len(table.children) > 1 for table in layout.walk()):
+        return _assembled(tables, layout, list_size)
+    large = None if tables.rows_fit else _large_documents(tables, layout, longest)
+    if large is None:
+        return _cut(_assembled(tables, layout), layout, list_size)
+    others = _cut(_assembled(without(tables, large), layout), layout, list_size)
+    return others.unionByName(_assembled(restrict(tables, large), layout, list_size))
+
+
+def _cut(documents: DataFrame, layout: Table, size: int) -> DataFrame:
+    """Cuts whole documents, of which no object has lists side by side, into their pieces."""
+
+    def stretches(items: Column) -> Column:
+        def stretch(begin: Column) -> Column:
+            return F.struct(begin.cast("string").alias(PART), F.slice(items, begin + 1, size).alias(ITEM))
+
+        begins = F.sequence(F.lit(0), F.size(items) - 1, F.lit(size))
+        return F.when(F.size(items) > 0, F.transform(begins, stretch))
+
+    def attribute(table: Table, value: Column) -> Column:
+        """The pieces an attribute comes in, that without a dot and of position 0 first."""
+        if table.kind is Kind.SINGLE:
+            return F.when(value.isNotNull(), of_object(table, value))
+        if not table.children:
+            return stretches(value)
+
+        def gathered(cut: Column) -> Column:
+            first = stretches(F.transform(cut, lambda pieces: pieces[0][ITEM]))
+
+            def later(pieces: Column, pos: Column) -> Column:
+                def named(piece: Column) -> Column:
+                    part = F.concat_ws(".", pos.cast("string"), piece[PART])
+                    return F.struct(part.alias(PART), F.array(piece[ITEM]).alias(ITEM))
+
+                return F.transform(F.slice(pieces, 2, F.size(pieces)), named)
+
+            return F.concat(first, F.flatten(F.transform(cut, later)))
+
+        # In a list of one, so that what is cut is evaluated once.
+        cut = F.array(F.transform(value, lambda item: of_object(table, item)))
+        return F.when(F.size(value) > 0, F.transform(cut, gathered)[0])
+
+    def of_child(table: Table, value: Column) -> Column:
+        whole = F.array(F.struct(F.lit(FIRST_PIECE).alias(PART), value.alias(ITEM)))
+        return F.coalesce(attribute(table, value), whole)
+
+    def of_object(table: Table, item: Column) -> Column:
+        if not table.children:
+            return F.array(F.struct(F.lit(FIRST_PIECE).alias(PART), item.alias(ITEM)))
+        (child,) = table.children
+
+        def with_piece(piece: Column) -> Column:
+            return F.struct(piece[PART].alias(PART), item.withField(f"`{child.attr}`", piece[ITEM]).alias(ITEM))
+
+        return F.transform(of_child(child, item[child.attr]), with_piece)
+
+    (child,) = layout.children
+    others = [c for c in documents.columns if c not in (PART, child.attr)]
+    pieces = F.inline(of_child(child, F.col(f"`{child.attr}`"))).alias(PART, child.attr)
+    cut = documents.select(*(f"`{c}`" for c in others), pieces)
+    # NULL by its schema, as for all documents in pieces.
+    part = F.when(F.col(PART).isNotNull(), F.col(PART)).alias(PART)
+    return cut.select(*(part if c == PART else f"`{c}`" for c in documents.columns))
+
+
 @dataclass(frozen=True)
 class _Plan:
     tables: DocumentTables
@@ -87,13 +159,13 @@ def _lists_above(layout: Table, table: Table) -> int:
     return sum(step.is_list for step in layout.lineage(table.name))
 
 
-def _large_documents(tables: DocumentTables, layout: Table) -> DataFrame | None:
+def _large_documents(tables: DocumentTables, layout: Table, longest: dict[str, int] | None = None) -> DataFrame | None:
     """Keys of the documents with more items than a row should hold; None if there are none.
 
     If not even the longest lists of all levels together make too many, nothing is joined.
     """
     lists = _lists(layout)
-    longest = _longest_lists(tables, lists)
+    longest = longest or _longest_lists(tables, lists)
     found = []
     for table in lists:
         chain = [step for step in layout.lineage(table.name) if step.is_list]

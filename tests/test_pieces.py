@@ -16,6 +16,7 @@ from nestframe import (
     table_layout,
 )
 from nestframe.operators import assemble as assemble_function
+from nestframe.operators.assemble import _assembled
 from nestframe.operators.pieces import may_be_pieces
 
 MODEL = """
@@ -178,3 +179,41 @@ def test_schema_tells_whether_there_may_be_pieces(tables):
     assert not may_be_pieces(whole) and may_be_pieces(pieces)
     assert may_be_pieces(whole.unionByName(pieces)) and may_be_pieces(pieces.unionByName(whole))
     assert not may_be_pieces(whole.drop("_part"))
+
+
+CHAINS = [
+    ("k int, l array<int>", [(1, list(range(7))), (2, []), (3, [None, 5])]),
+    (
+        "k int, s string, o array<struct<n: int, l: array<struct<x: string, y: int>>>>",
+        [(1, "a", [(i, [(f"{i}-{j}", j) for j in range(i)]) for i in range(8)]), (2, None, []), (3, "c", [(None, [])])],
+    ),
+    (
+        "k int, o struct<n: int, p: array<struct<m: int, q: struct<r: int, l: array<int>>>>>",
+        [(1, (5, [(1, (2, [1, 2, 3, 4, 5])), (2, None), (3, (None, [])), (4, (9, [7]))])), (2, None), (3, (None, []))],
+    ),
+]
+
+
+@pytest.mark.parametrize("size", [1, 2, 3])
+@pytest.mark.parametrize("model, rows", CHAINS)
+def test_cut_documents_are_the_pieces_put_together_one_by_one(spark, model, rows, size):
+    tables = shred(spark.createDataFrame(rows, model), "D", key="k")
+    cut, pieces = assemble(tables, list_size=size), _assembled(tables, tables.layout, size)
+    assert cut.columns == pieces.columns and may_be_pieces(cut)
+    assert sorted(map(repr, cut.collect())) == sorted(map(repr, pieces.collect()))
+
+
+def test_documents_too_large_for_a_row_are_not_put_in_one(spark, monkeypatch):
+    monkeypatch.setitem(assemble_function.__globals__, "ROWS_PER_DOCUMENT", 20)
+    model, rows = CHAINS[1]
+    tables = shred(spark.createDataFrame(rows, model), "D", key="k").with_frames({}, rows_fit=False)
+    pieces = _assembled(tables, tables.layout, 2)
+    assert sorted(map(repr, assemble(tables, list_size=2).collect())) == sorted(map(repr, pieces.collect()))
+
+
+def test_each_table_is_evaluated_once_for_pieces(spark):
+    model, rows = CHAINS[1]
+    tables = shred(spark.createDataFrame(rows, model), "D", key="k")
+    tables = tables.with_frames({name: durable(frame) for name, frame in tables.frames.items()})
+    plan = assemble(tables, list_size=2)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation") == 3
