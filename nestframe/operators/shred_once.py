@@ -17,6 +17,7 @@ from nestframe.plans.layout import ITEM, KEY, PART, POS, UP, Kind, Table, table_
 from nestframe.plans.tables import DocumentTables
 
 TABLE = "_table"
+OPEN_FILES = "spark.sql.maxConcurrentOutputFileWriters"
 
 
 def shred_once(
@@ -37,8 +38,8 @@ def shred_once(
     few of the tables are used. Where they are parsed, joined or otherwise derived, or all tables are
     stored, this does that work once: each document becomes its rows of all tables, each row under
     the name of its table, and these are written to one folder per table. Without a natural key
-    the documents are shuffled to find copies, else nothing is. A task sorts its rows by table;
-    ``spark.sql.maxConcurrentOutputFileWriters``, set to the number of tables, spares that.
+    the documents are shuffled to find copies, else nothing is. A task keeps a file open for each table,
+    so that it need not sort its rows by table, which spilled all of them.
 
     ``path`` is a new folder for the tables, by default one in the shared folder. The arguments
     besides and the keys are those of ``shred``. Root keys are looked at where they are written, so
@@ -53,7 +54,7 @@ def shred_once(
     spark = documents.sparkSession
     path = path or shared_path(spark)
     rows = tagged_rows(documents, layout, key, drop_all_null, keys)
-    rows.write.partitionBy(TABLE).parquet(path)
+    _write_by_table(rows, path, len(list(layout.walk())))
     written = spark.read.schema(rows.schema).parquet(path)
 
     def stored(table: Table) -> DataFrame:
@@ -77,6 +78,17 @@ def shred_once(
     return DocumentTables(layout, frames, rows_fit=True, numbered=True, rejected=rejected)
 
 
+def _write_by_table(rows: DataFrame, path: str, n_tables: int) -> None:
+    """A folder per table, by tasks that have the files of all tables open at once."""
+    conf = rows.sparkSession.conf
+    given = conf.get(OPEN_FILES)
+    conf.set(OPEN_FILES, str(max(int(given), n_tables)))
+    try:
+        rows.write.partitionBy(TABLE).parquet(path)
+    finally:
+        conf.set(OPEN_FILES, given)
+
+
 def tagged_rows(
     documents: DataFrame,
     layout: Table,

@@ -87,3 +87,13 @@ def test_stored_tables_are_rebuilt_as_documents(spark, documents, tmp_path):
     save_tables(tables, "once")
     expected = assemble(shred(documents, "Once", key="name"))
     assert difference(expected, assemble(tables)).first()[:] == (0, 0)
+
+
+def test_rows_are_written_without_sorting_them_by_table(spark, documents, monkeypatch):
+    name, seen = "spark.sql.maxConcurrentOutputFileWriters", []
+    before = spark.conf.get(name)
+    writer = type(documents.write)
+    parquet = writer.parquet
+    monkeypatch.setattr(writer, "parquet", lambda *args: seen.append(int(spark.conf.get(name))) or parquet(*args))
+    tables = shred_once(documents, "Thing", key="name")
+    assert seen == [len(list(tables.layout.walk()))] and spark.conf.get(name) == before
