@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from math import ceil
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -17,6 +19,9 @@ from nestframe.operators.versions import (
 from nestframe.plans.layout import POS, Kind, Table
 from nestframe.plans.tables import DocumentTables
 
+# What one bucket should hold at most of a table, before compression.
+BUCKET_BYTES = 128 * 1024 * 1024
+
 
 def list_tables(spark: SparkSession, database: str = "default") -> list[str]:
     return sorted(table.name for table in spark.catalog.listTables(database))
@@ -77,16 +82,23 @@ def save_tables(
     """Creates the tables of a layout and fills them; a table that exists is an error.
 
     With ``buckets`` a table is bucketed by the key it is joined on: its own if it has child
-    tables, else that of its parent. Rebuilding then needs no shuffle between these two. A table
-    with more rows of one key than an even bucket holds stays unbucketed, since its largest bucket
-    would be read by one task; the names of such tables are returned.
+    tables, else that of its parent. Rebuilding then needs no shuffle between these two. A bucket is
+    read by one task, so ``buckets`` is the least number: where the largest table has more than
+    ``BUCKET_BYTES`` for each, all tables get as many times more. A table with more rows of one key
+    than an even bucket holds stays unbucketed, since its largest bucket would be read by one task;
+    the names of such tables are returned.
     """
+    columns = {t.name: t.key if t.children else t.parent_key for t in tables.layout.walk()}
+    measured = {name: _measured(tables[name], column) for name, column in columns.items() if buckets and column}
+    if measured:
+        largest = max(size for _, _, size in measured.values())
+        buckets *= max(1, ceil(largest / (buckets * BUCKET_BYTES)))
     uneven = []
     for table in tables.layout.walk():
         rows = tables[table.name]
         writer = rows.write.mode("errorifexists").format("parquet")
-        column = table.key if table.children else table.parent_key
-        if buckets and column and not _spreads_evenly(rows, column, buckets):
+        column = columns[table.name]
+        if buckets and column and not _spreads_evenly(*measured[table.name][:2], buckets):
             uneven.append(table.name)
         elif buckets and column:
             writer = (
@@ -100,10 +112,20 @@ def save_tables(
     return uneven
 
 
-def _spreads_evenly(rows: DataFrame, column: str, buckets: int) -> bool:
-    counts = rows.groupBy(column).count()
-    largest, total = counts.agg(F.max("count"), F.sum("count")).first()
-    return total is None or largest * buckets <= max(total, 1_000_000)
+def _measured(rows: DataFrame, column: str) -> tuple[int, int, int]:
+    """The rows of the most frequent key, all rows, and about how many bytes these have."""
+    widths = [
+        F.coalesce(F.octet_length(f"`{f.name}`"), F.lit(0)) if isinstance(f.dataType, (T.StringType, T.BinaryType)) else F.lit(8)
+        for f in rows.schema
+    ]
+    width = sum(widths, F.lit(0).cast("long"))
+    counts = rows.groupBy(column).agg(F.count(F.lit(1)).alias("n"), F.sum(width).alias("size"))
+    found = counts.agg(F.max("n"), F.sum("n"), F.sum("size")).first()
+    return tuple(value or 0 for value in found)
+
+
+def _spreads_evenly(largest: int, total: int, buckets: int) -> bool:
+    return largest * buckets <= max(total, 1_000_000)
 
 
 def insert(

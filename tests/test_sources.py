@@ -7,6 +7,7 @@ import pytest
 from nestframe import (
     assemble,
     create_tables,
+    difference,
     durable,
     fetch,
     insert,
@@ -256,3 +257,17 @@ def test_inserting_into_buckets_adds_a_file_each(spark):
     insert(more, "filled")
     assert spark.table("filled.Root_words").inputFiles().__len__() <= 8
     assert len(whole(spark, first, "filled")) == 60
+
+
+def test_large_tables_get_more_buckets(spark, monkeypatch):
+    rows = [document(f"n{i}") for i in range(40)]
+    tables = stored(spark, "many_buckets", rows)
+    monkeypatch.setattr("nestframe.sources.catalog.BUCKET_BYTES", 100)
+    assert save_tables(tables, "many_buckets", buckets=4) == []
+    numbers = set()
+    for table in tables.layout.walk():
+        about = spark.sql(f"DESCRIBE EXTENDED many_buckets.{table.name}").where("col_name = 'Num Buckets'").first()
+        numbers.add(int(about["data_type"]))
+    (number,) = numbers
+    assert number > 4 and number % 4 == 0
+    assert tuple(difference(assemble(tables), assemble(load_tables(spark, tables.layout, "many_buckets"))).first()) == (0, 0)
