@@ -20,8 +20,8 @@ def digest_tree(tables: DocumentTables) -> dict[str, DataFrame]:
     """By table ``key, parent, pos, a, b`` and ``below_0, below_1...`` of its rows, written once.
 
     ``a, b`` are two hashes of a row's attributes and position, ``below_i`` stands for all rows of
-    the i-th child table and what is below them: a count and two sums of hashes, so that rows are
-    added up before they are shuffled and a long list weighs no more there than a short one.
+    the i-th child table and what is below them: a count and sums of the halves of two hashes, so that
+    rows are added up before they are shuffled and a long list weighs no more there than a short one.
     """
     tree: dict[str, DataFrame] = {}
 
@@ -29,19 +29,20 @@ def digest_tree(tables: DocumentTables) -> dict[str, DataFrame]:
         given = tables[table.name]
         if table.is_list and not tables.has_pos(table) or table.kind is not Kind.VALUES and not tables.has_key(table):
             raise ValueError(f"{table.name!r} has no keys or positions to name its rows by.")
-        text = row_text([*table.scalars, *([_POSITION] if table.is_list else [])])
         names = {"key": table.key if tables.has_key(table) else None, "parent": table.parent_key}
         rows = given.select(
             *((F.col(c) if c else F.lit(None)).cast("string").alias(name) for name, c in names.items()),
             (F.col(POS) if table.is_list else F.lit(None)).cast("long").alias("pos"),
-            F.xxhash64(F.lit(0), text).alias("a"),
-            F.xxhash64(F.lit(1), text).alias("b"),
+            _own_hash(given, table, 0).alias("a"),
+            _own_hash(given, table, 1).alias("b"),
         )
         for i, child in enumerate(table.children):
             inner = visit(child)
-            whole = [F.xxhash64(F.lit(seed), "a", "b", *_below(child)).cast("decimal(20,0)") for seed in (0, 1)]
+            whole = [F.xxhash64(F.lit(seed), "a", "b", *_below(child)) for seed in (0, 1)]
+            # Sums of 32 bits each fit into a long for two thousand million rows, and are faster than decimals.
+            halves = [half for h in whole for half in (F.shiftrightunsigned(h, 32), h.bitwiseAND(F.lit(0xFFFFFFFF)))]
             sums = inner.groupBy(F.col("parent").alias("key")).agg(
-                F.concat_ws(" ", F.count("*"), *(F.sum(hashed) for hashed in whole)).alias(f"below_{i}")
+                F.concat_ws(" ", F.count("*"), *(F.sum(half) for half in halves)).alias(f"below_{i}")
             )
             rows = rows.join(sums, "key", "left").withColumn(f"below_{i}", F.coalesce(f"below_{i}", F.lit("")))
         tree[table.name] = durable(rows)
@@ -51,6 +52,16 @@ def digest_tree(tables: DocumentTables) -> dict[str, DataFrame]:
     return tree
 
 
+def _own_hash(rows: DataFrame, table: Table, seed: int) -> Column:
+    """A hash of the attributes and position of a row; texts are hashed as they are, others as JSON."""
+    names = [f.name for f in table.scalars]
+    if all(rows.schema[name].dataType == T.StringType() for name in names):
+        values = [part for n in names for part in (F.lit(n), F.isnull(f"`{n}`"), F.coalesce(f"`{n}`", F.lit("")))]
+        pos = F.coalesce(F.col(POS).cast("long"), F.lit(-1)) if table.is_list else F.lit(-1)
+        return F.xxhash64(F.lit(seed), *values, pos)
+    return F.xxhash64(F.lit(seed), row_text([*table.scalars, *([_POSITION] if table.is_list else [])]))
+
+
 def _below(table: Table) -> list[str]:
     return [f"below_{i}" for i in range(len(table.children))]
 

@@ -77,3 +77,23 @@ def test_agrees_with_the_count_of_differing_documents(spark):
     places = locate_differences(shred(frame, "Doc", key="name"), shred(other, "Doc", key="name"))
     counted = difference(frame, other).first()
     assert places.select("document").distinct().count() == counted.n_missing == counted.n_extra > 10
+
+
+def test_hashes_are_added_up_as_longs(spark):
+    plans, same = [], tables(spark, ROWS)
+    before = locate.durable
+
+    def noted(rows):
+        plans.append(rows._jdf.queryExecution().analyzed().toString())
+        return before(rows)
+
+    locate.durable = noted
+    try:
+        locate.digest_tree(same)
+    finally:
+        locate.durable = before
+    assert len(plans) == 7 and not any("decimal" in plan for plan in plans)
+    texts = shred(spark.createDataFrame([(1, ["a", None, "", "a"]), (2, None)], "k int, l array<string>"), "T", key="k")
+    assert "to_json" not in locate._own_hash(texts["T_l"], texts.layout.find("T_l"), 0)._jc.toString()
+    other = shred(spark.createDataFrame([(1, ["a", "", None, "a"]), (2, [])], "k int, l array<string>"), "T", key="k")
+    assert found(texts, texts) == [] and found(texts, other) == [("1", "l", 1, "changed"), ("1", "l", 2, "changed")]
