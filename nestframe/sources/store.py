@@ -33,6 +33,8 @@ PROPERTY = "nestframe.slices"
 SLOTS = 64
 # Up to this many documents are looked up by a range of keys each.
 RANGES = 32
+# Up to this many documents are looked for where the rows are, without a shuffle of these.
+FEW_LABELS = 1_000_000
 
 
 @dataclass(frozen=True)
@@ -136,20 +138,21 @@ class Store:
         offered = durable(offered)
         touched = [row[0] for row in offered.select(SLOT).distinct().collect()]
         near = self.tables(touched)
-        known = near[self.layout.name].select(label.alias(LABEL)).join(offered.select(LABEL), LABEL, "left_semi")
-        known = durable(known)
-        chosen = _of_documents(near, self.key_type, known)
-        stored = document_digests(chosen).select(label.alias(LABEL), F.col("digest").alias("stored"))
+        if offered.count() <= FEW_LABELS:
+            near = _of_documents(near, self.key_type, offered.select(LABEL))
+        # Of many, all in their slots are digested: rows are added up where they are read, and not shuffled.
+        stored = document_digests(near).select(label.alias(LABEL), F.col("digest").alias("stored"))
         states = offered.join(stored, LABEL, "left").withColumn(
             "state", F.when(F.col("stored").isNull(), "added").when(F.col("stored") != F.col("digest"), "replaced").otherwise("same")
         )
         states = durable(states.select(LABEL, SLOT, "state"))
         counts = {(row[SLOT], row["state"]): row["count"] for row in states.groupBy(SLOT, "state").count().collect()}
         again = sorted({slot for slot, kind in counts if kind == "replaced"})
-        changed = states.where("state <> 'same'")
+        # Written apart, so that their number is known.
+        changed = durable(states.where("state <> 'same'"))
         fresh = _of_documents(tables, self.key_type, changed.select(LABEL))
         written = uuid.uuid4().hex[:12]
-        replaced = states.where("state = 'replaced'").select(LABEL)
+        replaced = durable(changed.where("state = 'replaced'").select(LABEL))
         kept = _of_documents(self.tables(again), self.key_type, replaced, keep=False) if again else None
         self._write(fresh, kept, state["bounds"], written)
 
@@ -259,7 +262,12 @@ def _label(table: Table, key_type: T.DataType) -> Column:
 
 
 def _of_documents(tables: DocumentTables, key_type: T.DataType, labels: DataFrame, keep: bool = True) -> DocumentTables:
-    """The rows, on every level, of the documents with the given labels, or of all others."""
+    """The rows, on every level, of the documents with the given labels, or of all others.
+
+    Few labels are sent to the rows, which then stay where they are.
+    """
+    if labels.count() <= FEW_LABELS:
+        labels = F.broadcast(labels)
     frames = {}
     for table in tables.layout.walk():
         rows = tables[table.name]
