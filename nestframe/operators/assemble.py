@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from nestframe.operators.durable import durable
-from nestframe.operators.numbering import long_parents, number_long_lists
+from nestframe.operators.numbering import TIE, long_parents, number_long_lists
 from nestframe.operators.restrict import restrict, without
 from nestframe.plans.layout import GIVEN, ITEM, KEY, ORDER, PART, POS, UP, Kind, Table
 from nestframe.plans.tables import DocumentTables
@@ -77,11 +77,24 @@ def _split(tables: DocumentTables, layout: Table, list_size: int, longest: dict[
         return _assembled(tables, layout, list_size)
     large = None if tables.rows_fit else _large_documents(tables, layout, longest)
     if large is None:
-        return _cut(_assembled(tables, layout), layout, list_size)
-    others = _cut(_assembled(without(tables, large), layout), layout, list_size)
+        return _cut(_assembled(_with_ties(tables, layout), layout), layout, list_size)
+    others = _cut(_assembled(_with_ties(without(tables, large), layout), layout), layout, list_size)
     return others.unionByName(_assembled(restrict(tables, large), layout, list_size))
 
 
+def _with_ties(tables: DocumentTables, layout: Table) -> DocumentTables:
+    """Items without key or position, equal in order, stay as they are stored: pieces are told by order.
+
+    The numbers need not be written: all pieces of a document are cut from one row.
+    """
+    frames, order = {}, {}
+    for table in _lists(layout):
+        if not (tables.numbered and tables.has_pos(table)) and not tables.has_key(table):
+            order[table.name] = [*(c for c in tables.order_columns(table) if c != POS), TIE]
+            frames[table.name] = tables[table.name].withColumn(TIE, F.monotonically_increasing_id())
+    return tables.with_frames(frames, order={**tables.order, **order})
+
+
 def _cut(documents: DataFrame, layout: Table, size: int) -> DataFrame:
     """Cuts whole documents, of which no object has lists side by side, into their pieces."""
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from nestframe.operators.durable import durable
 from nestframe.plans.layout import POS
 
-_COUNT, _TIE, _SLICE, _ROW, _SHIFT = "_count", "_tie", "_slice", "_row", "_shift"
+_COUNT, TIE, _SLICE, _ROW, _SHIFT = "_count", "_tie", "_slice", "_row", "_shift"
 BROADCAST_ROWS = 100_000
 
 
@@ -43,8 +43,8 @@ def number_long_lists(
 
     tied = rows.join(parents, parent_key, "left_semi")
     if unique is None:
-        tied = durable(tied.withColumn(_TIE, F.monotonically_increasing_id()))
-    ordering = [parent_key, *order, unique or _TIE]
+        tied = durable(tied.withColumn(TIE, F.monotonically_increasing_id()))
+    ordering = [parent_key, *order, unique or TIE]
     sliced = durable(
         tied.repartitionByRange(*ordering)
         .sortWithinPartitions(*ordering)
