@@ -40,7 +40,7 @@ def files_read(frame):
 @pytest.fixture(scope="module")
 def filled(spark):
     rows = [document(k, n=12 if k == 5 else 3) for k in range(-20, 60)]
-    return rows, create_store(tables_of(spark, rows), new_database(spark, "filled"), slots=8)
+    return rows, create_store(tables_of(spark, rows), new_database(spark, "filled_store"), slots=8)
 
 
 def test_keys_sort_as_documents_and_lists_do(spark):
@@ -57,7 +57,7 @@ def test_keys_sort_as_documents_and_lists_do(spark):
 def test_whole_and_parts(spark, filled):
     rows, store = filled
     assert contents(assemble(store.tables())) == wanted(rows)
-    again = open_store(spark, store.layout, "filled")
+    again = open_store(spark, store.layout, "filled_store")
     assert contents(again.get([5, -20, 59, 1000])) == wanted([r for r in rows if r[0] in (5, -20, 59)])
     assert contents(again.get([])) == {}
     many = list(range(-20, 40))
@@ -122,7 +122,7 @@ def test_a_write_that_stops_is_not_seen(spark, monkeypatch):
 def test_refused(spark, filled):
     _, store = filled
     with pytest.raises(ValueError):
-        create_store(tables_of(spark, [document(1)]), "filled")
+        create_store(tables_of(spark, [document(1)]), "filled_store")
     other = tables_of(spark, [(1, "n", [], 2)], MODEL + ", more int")
     with pytest.raises(ValueError):
         store.put(other)
@@ -135,3 +135,13 @@ def test_empty_store(spark):
     assert contents(assemble(store.tables())) == {} and contents(store.first(3)) == {}
     assert store.put(tables_of(spark, [document(1)]))["added"] == 1
     assert contents(store.first(3)) == wanted([document(1)])
+
+
+@pytest.mark.parametrize("few", [0, 1_000_000])
+def test_many_and_few_offered_documents_are_told_apart_alike(spark, monkeypatch, few):
+    monkeypatch.setattr("nestframe.sources.store.FEW_LABELS", few)
+    rows = [document(k) for k in range(20)]
+    store = create_store(tables_of(spark, rows), new_database(spark, f"offered_{few}"), slots=4)
+    offered = [document(k, "new" if k == 3 else "n") for k in range(2, 22)]
+    assert store.put(tables_of(spark, offered)) == {"added": 2, "replaced": 1, "same": 17, "rewritten": 1}
+    assert contents(assemble(store.tables())) == wanted([*rows[:2], *offered])
