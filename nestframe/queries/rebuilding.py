@@ -273,7 +273,7 @@ def difference_located(spark: SparkSession, folder: str) -> DataFrame:
         }
     )
     sides = [
-        shred(durable(rows), "Document", key="doc_id")
+        shred(durable(rows, compression="zstd"), "Document", key="doc_id")
         for rows in (documents.where("doc_id % 49 <> 0"), changed.where("doc_id % 50 <> 0"))
     ]
     return locate_differences(*sides).select("document", "path", "pos", "kind")

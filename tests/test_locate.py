@@ -97,3 +97,38 @@ def test_hashes_are_added_up_as_longs(spark):
     assert "to_json" not in locate._own_hash(texts["T_l"], texts.layout.find("T_l"), 0)._jc.toString()
     other = shred(spark.createDataFrame([(1, ["a", "", None, "a"]), (2, [])], "k int, l array<string>"), "T", key="k")
     assert found(texts, texts) == [] and found(texts, other) == [("1", "l", 1, "changed"), ("1", "l", 2, "changed")]
+
+
+def test_rows_of_the_last_level_are_not_written_nor_shuffled(spark, tmp_path, monkeypatch):
+    """Lists of 100,000 values: only what they come to, and the lists that differ, takes disk."""
+    frame = spark.range(50).select("id", F.transform(F.sequence(F.lit(1), F.lit(2000)), lambda i: F.col("id") * 2000 + i).alias("l"))
+    changed = F.when(F.col("id") % 25 == 3, F.transform("l", lambda x: F.when(x % 2000 == 7, -x).otherwise(x)))
+    frame.withColumn("other", F.coalesce(changed, "l")).write.parquet(f"{tmp_path}/in")
+    stored = spark.read.parquet(f"{tmp_path}/in")
+    sides = [shred(stored.select("id", F.col(c).alias("l")), "Doc", key="id") for c in ("l", "other")]
+    plans, folder = [], tmp_path / "written"
+
+    def written(rows):
+        path = f"{folder}/{len(plans)}"
+        rows.write.parquet(path)
+        plans.append(rows._jdf.queryExecution().executedPlan().toString())
+        return spark.read.schema(rows.schema).parquet(path)
+
+    monkeypatch.setattr(locate, "durable", written)
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        places = found(*sides)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert places == [("28", "l", 6, "changed"), ("3", "l", 6, "changed")]
+    assert sum(path.stat().st_size for path in folder.rglob("*.parquet")) < 100_000
+    assert "BroadcastHashJoin" in plans[-1] and "bit_or" in plans[-1]
+
+
+def test_rows_pass_if_their_parent_may_be_an_owner(spark):
+    rows = spark.range(5000).select(F.col("id").cast("string").alias("parent"), "id").unionByName(spark.sql("SELECT string(NULL) AS parent, 0L AS id"))
+    owners = spark.range(0, 5000, 50).select(F.col("id").cast("string").alias("key"))
+    passed = locate._of_owners(rows, owners.unionByName(owners))
+    assert passed.columns == rows.columns and 100 <= passed.count() < 110
+    assert passed.where("id % 50 = 0 AND parent IS NOT NULL").count() == 100
