@@ -54,6 +54,30 @@ def exact(column: Column, dtype: T.DataType) -> Column:
     return rebuild(column, dtype, leaf)
 
 
+# Parts texts that are joined, being rare in texts itself.
+_PART = "\x1f"
+
+
+def packed_texts(items: Column) -> Column:
+    """A list of texts in a form that takes less room in a shuffle; ``unpacked_texts`` gives the list again.
+
+    The texts are joined. A list that could not be parted again as it was stays as it is: one with NULL, with the
+    separator in a text or with bytes that are not UTF-8, and an empty one.
+    """
+    joined = F.array_join(items, _PART, _PART)
+    separators = F.octet_length(joined) - F.octet_length(F.replace(joined, F.lit(_PART), F.lit("")))
+    exact_ = (separators == F.size(items) - 1) & F.is_valid_utf8(joined)
+    return F.struct(F.when(exact_, joined).alias("joined"), F.when(~exact_, items).alias("items"))
+
+
+def unpacked_texts(packed: Column) -> Column:
+    return F.coalesce(F.split(packed["joined"], _PART, -1), packed["items"])
+
+
+def holds_texts(dtype: T.DataType) -> bool:
+    return isinstance(dtype, T.ArrayType) and dtype.elementType == T.StringType()
+
+
 def rewrite(
     frame: DataFrame,
     leaf: Callable[[Column, T.DataType], Column],

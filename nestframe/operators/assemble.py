@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 from functools import reduce
 from math import prod
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from nestframe.functions.nested import holds_texts, packed_texts, unpacked_texts
 from nestframe.operators.durable import durable
 from nestframe.operators.numbering import TIE, long_parents, number_long_lists
 from nestframe.operators.restrict import restrict, without
@@ -322,11 +324,33 @@ def _gather(table: Table, plan: _Plan) -> tuple[DataFrame, DataFrame]:
     links = rows.select(*plan.link)
     if table.name not in plan.tables.clustered:
         # Collecting before the shuffle would cost a sort and save nothing: all items go through.
-        rows = rows.repartition(*plan.link)
+        rows = _repartitioned(rows, _dealing(rows, table, plan))
     listed = F.sort_array(F.collect_list(F.struct(ORDER, ITEM))).getField(ITEM)
     return rows.groupBy(*plan.link).agg(listed.alias(table.attr)), links
 
 
+def _dealing(rows: DataFrame, table: Table, plan: _Plan) -> list[int | str]:
+    """What to deal the items by. As the buckets of their owners are, if these are more than the session's
+    partitions: there Spark would shuffle what was gathered once more, to join it to the buckets."""
+    buckets = 0 if plan.split else plan.tables.buckets.get(table.parent, 0)
+    session = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return [buckets, *plan.link] if buckets > session else plan.link
+
+
+def _repartitioned(rows: DataFrame, dealing: list[int | str]) -> DataFrame:
+    """The rows dealt anew; lists of texts in the items take less room on the way."""
+    item = rows.schema[ITEM].dataType
+    texts = [f.name for f in item.fields if holds_texts(f.dataType)] if isinstance(item, T.StructType) else []
+
+    def rewritten(rows: DataFrame, form: Callable[[Column], Column]) -> DataFrame:
+        items = reduce(lambda new, name: new.withField(f"`{name}`", form(F.col(ITEM).getField(name))), texts, F.col(ITEM))
+        return rows.withColumn(ITEM, items)
+
+    if not texts:
+        return rows.repartition(*dealing)
+    return rewritten(rewritten(rows, packed_texts).repartition(*dealing), unpacked_texts)
+
+
 def _stretch(plan: _Plan) -> Column:
     """The position at which the stretch of an item begins."""
     return (F.col(POS) - F.col(POS) % plan.list_size).cast("string")

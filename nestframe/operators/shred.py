@@ -81,9 +81,10 @@ def shred(
     frames = {
         layout.name: first.select(*(F.col(f.name) for f in layout.scalars), F.col(layout.key))
     }
+    lists: dict[str, tuple[DataFrame, DataFrame]] = {}
     for child in layout.children:
-        _shred_attribute(child, keyed, F.col(child.attr), frames, drop_all_null, 0, pieces, keys)
-    return DocumentTables(layout, frames, rows_fit=not pieces, numbered=True, rejected=rejected)
+        _shred_attribute(child, keyed, F.col(child.attr), frames, lists, drop_all_null, 0, pieces, keys)
+    return DocumentTables(layout, frames, rows_fit=not pieces, numbered=True, rejected=rejected, lists=lists)
 
 
 def _bad_keys(documents: DataFrame, key: str) -> DataFrame | None:
@@ -103,6 +104,7 @@ def _shred_attribute(
     owners: DataFrame,
     value: Column,
     frames: dict[str, DataFrame],
+    lists: dict[str, tuple[DataFrame, DataFrame]],
     drop_all_null: bool,
     level: int,
     pieces: bool,
@@ -129,6 +131,8 @@ def _shred_attribute(
         values = owners.select(exploded, F.col(owner_key), *carried)
         values = values.where(F.col(POS).isNotNull())
         frames[table.name] = values.select(table.attr, owner_key, place())
+        if not pieces:
+            lists[table.name] = frames[table.name], owners.select(value.alias(table.attr), owner_key)
         return
 
     def unpacked(part: Column) -> DataFrame:
@@ -163,4 +167,4 @@ def _shred_attribute(
     deeper = level + (table.kind is Kind.OBJECTS)
     for child in table.children:
         below = unpacked(value.getField(child.attr))
-        _shred_attribute(child, below, item, frames, drop_all_null, deeper, pieces, keys)
+        _shred_attribute(child, below, item, frames, lists, drop_all_null, deeper, pieces, keys)

@@ -19,9 +19,11 @@ class DocumentTables:
     promises that every document fits one row, as is the case for tables shredded from rows; it
     saves ``assemble`` the look for over-long lists. ``numbered`` promises that ``_pos`` tells the
     rows of a parent apart, as in tables made or stored by this library; else they are counted.
-    ``clustered`` names the tables stored in buckets by the key of their parent. ``whole`` has the
+    ``clustered`` names the tables stored in buckets by the key of their parent, ``buckets`` has the
+    number of buckets of those stored by their own key. ``whole`` has the
     full tables of those in ``frames`` that are selections by a join. ``rejected`` has the keys of
-    documents that were not taken apart, with the reason.
+    documents that were not taken apart, with the reason. ``lists`` has, of tables of values, the
+    frame and the rows it was unpacked from, one for each list.
     """
 
     layout: Table
@@ -30,8 +32,10 @@ class DocumentTables:
     rows_fit: bool = False
     numbered: bool = False
     clustered: frozenset[str] = frozenset()
+    buckets: Mapping[str, int] = field(default_factory=dict)
     whole: Mapping[str, DataFrame] = field(default_factory=dict)
     rejected: DataFrame | None = None
+    lists: Mapping[str, tuple[DataFrame, DataFrame]] = field(default_factory=dict)
 
     def __post_init__(self) -> None:
         missing = [t.name for t in self.layout.walk() if t.name not in self.frames]
@@ -50,6 +54,11 @@ class DocumentTables:
     def has_pos(self, table: Table) -> bool:
         return POS in self.frames[table.name].columns
 
+    def lists_of(self, table: Table) -> DataFrame | None:
+        """The values of a table as the lists they come from, with the key of the parent; None if not known."""
+        frame, lists = self.lists.get(table.name, (None, None))
+        return lists if frame is self.frames[table.name] else None
+
     def order_columns(self, table: Table) -> list[str]:
         """What sorts the rows of one parent: ``_pos``, the given columns, or key and values."""
         positions = [POS] if self.has_pos(table) else []

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from nestframe.functions.nested import holds_texts, packed_texts, unpacked_texts
 from nestframe.operators.durable import durable
 from nestframe.operators.restrict import restrict
 from nestframe.operators.versions import (
@@ -19,8 +20,9 @@ from nestframe.operators.versions import (
 from nestframe.plans.layout import POS, Kind, Table
 from nestframe.plans.tables import DocumentTables
 
-# What one bucket should hold at most of a table, before compression.
-BUCKET_BYTES = 128 * 1024 * 1024
+# What one bucket should hold at most of a table, before compression. The task that reads it sorts it,
+# where rows of a few bytes take some four times as much memory, or are spilled.
+BUCKET_BYTES = 64 * 1024 * 1024
 
 
 def list_tables(spark: SparkSession, database: str = "default") -> list[str]:
@@ -65,15 +67,10 @@ def create_tables(
 def load_tables(spark: SparkSession, layout: Table, database: str = "default") -> DocumentTables:
     """The stored tables of a layout."""
     frames = {t.name: spark.table(f"{database}.{t.name}") for t in layout.walk()}
-    clustered = frozenset(
-        t.name
-        for t in layout.walk()
-        if any(
-            column.isBucket and column.name == t.parent_key
-            for column in spark.catalog.listColumns(f"{database}.{t.name}")
-        )
-    )
-    return DocumentTables(layout, frames, numbered=True, clustered=clustered)
+    clustered = frozenset(t.name for t in layout.walk() if t.parent_key in _bucket_columns(spark, f"{database}.{t.name}"))
+    names = {t.name: f"{database}.{t.name}" for t in layout.walk() if t.kind is not Kind.VALUES}
+    buckets = {n: _buckets(spark, name) for n, name in names.items() if layout.find(n).key in _bucket_columns(spark, name)}
+    return DocumentTables(layout, frames, numbered=True, clustered=clustered, buckets=buckets)
 
 
 def save_tables(
@@ -86,7 +83,7 @@ def save_tables(
     read by one task, so ``buckets`` is the least number: where the largest table has more than
     ``BUCKET_BYTES`` for each, all tables get as many times more. A table with more rows of one key
     than an even bucket holds stays unbucketed, since its largest bucket would be read by one task;
-    the names of such tables are returned.
+    the names of such tables are returned. Tables are compressed with zstd.
     """
     columns = {t.name: t.key if t.children else t.parent_key for t in tables.layout.walk()}
     measured = {name: _measured(tables[name], column) for name, column in columns.items() if buckets and column}
@@ -96,22 +93,30 @@ def save_tables(
     uneven = []
     for table in tables.layout.walk():
         rows = tables[table.name]
-        writer = rows.write.mode("errorifexists").format("parquet")
         column = columns[table.name]
         if buckets and column and not _spreads_evenly(*measured[table.name][:2], buckets):
             uneven.append(table.name)
-        elif buckets and column:
-            writer = (
-                rows.repartition(buckets, column)
-                .write.mode("errorifexists")
-                .format("parquet")
-                .bucketBy(buckets, column)
-                .sortBy(column)
-            )
+        even = buckets and column and table.name not in uneven
+        dealt = _dealt(tables, table, buckets, column) if even else rows
+        writer = dealt.write.mode("errorifexists").format("parquet").option("compression", "zstd")
+        if even:
+            writer = writer.bucketBy(buckets, column).sortBy(column)
         writer.saveAsTable(f"{database}.{table.name}")
     return uneven
 
 
+def _dealt(tables: DocumentTables, table: Table, buckets: int, column: str) -> DataFrame:
+    """The rows of a table, dealt to buckets; values go there in their lists, if these are known."""
+    rows, lists = tables[table.name], tables.lists_of(table)
+    if lists is None:
+        return rows.repartition(buckets, column)
+    items, texts = F.col(f"`{table.attr}`"), holds_texts(lists.schema[table.attr].dataType)
+    packed = lists.select((packed_texts(items) if texts else items).alias(table.attr), column)
+    exploded = F.posexplode_outer(unpacked_texts(items) if texts else items).alias(POS, table.attr)
+    values = packed.repartition(buckets, column).select(exploded, column).where(F.col(POS).isNotNull())
+    return values.select(*(f"`{c}`" for c in rows.columns))
+
+
 def _measured(rows: DataFrame, column: str) -> tuple[int, int, int]:
     """The rows of the most frequent key, all rows, and about how many bytes these have."""
     widths = [
@@ -119,7 +124,8 @@ def _measured(rows: DataFrame, column: str) -> tuple[int, int, int]:
         for f in rows.schema
     ]
     width = sum(widths, F.lit(0).cast("long"))
-    counts = rows.groupBy(column).agg(F.count(F.lit(1)).alias("n"), F.sum(width).alias("size"))
+    # Hashes of the keys take less room than these; two that are alike make a count too high at most.
+    counts = rows.groupBy(F.xxhash64(column)).agg(F.count(F.lit(1)).alias("n"), F.sum(width).alias("size"))
     found = counts.agg(F.max("n"), F.sum("n"), F.sum("size")).first()
     return tuple(value or 0 for value in found)
 
@@ -223,8 +229,14 @@ def _append(spark: SparkSession, name: str, rows: DataFrame, key: list[str]) ->
 
 def _bucketed(spark: SparkSession, name: str, rows: DataFrame) -> DataFrame:
     """Dealt as the table's buckets are, so that each bucket gets one more file and not many."""
-    buckets = [c.name for c in spark.catalog.listColumns(name) if c.isBucket]
-    if not buckets:
-        return rows
+    columns = _bucket_columns(spark, name)
+    return rows.repartition(_buckets(spark, name), *columns) if columns else rows
+
+
+def _bucket_columns(spark: SparkSession, name: str) -> list[str]:
+    return [c.name for c in spark.catalog.listColumns(name) if c.isBucket]
+
+
+def _buckets(spark: SparkSession, name: str) -> int:
     about = spark.sql(f"DESCRIBE EXTENDED {name}").where("col_name = 'Num Buckets'").first()
-    return rows.repartition(int(about["data_type"]), *buckets)
+    return int(about["data_type"])

@@ -10,6 +10,7 @@ from nestframe import (
     DocumentTables,
     absent_rows,
     assemble,
+    difference,
     fetch,
     field,
     load_tables,
@@ -154,3 +155,23 @@ def test_key_reads_one_bucket(spark, stored):
     loaded = load_tables(spark, tables.layout, "plans")
     text = explain(fetch(loaded, max_rows=1, fields=["name", "tags"]))
     assert "SelectedBucketsCount: 1 out of 8" in text
+
+
+def test_gathered_lists_are_not_dealt_again_to_join_more_buckets(spark):
+    """With more buckets than the session has partitions, lists go to as many as their owners are in."""
+    spark.sql("CREATE DATABASE IF NOT EXISTS dealt_once")
+    rows = [(i, [([f"w{j}" for j in range(i % 5)], f"t{i}")] * 3) for i in range(200)]
+    tables = shred(spark.createDataFrame(rows, "k long, items array<struct<words: array<string>, t: string>>"), "Doc", key="k")
+    save_tables(tables, "dealt_once", buckets=9)
+    loaded = load_tables(spark, tables.layout, "dealt_once")
+    assert loaded.buckets == {"Doc": 9, "Doc_items": 9}
+    kept = {name: spark.conf.get(name) for name in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        rebuilt = assemble(loaded)
+        assert rebuilt._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
+    finally:
+        for name, value in kept.items():
+            spark.conf.set(name, value)
+    assert tuple(difference(assemble(tables), rebuilt).first()) == (0, 0)

@@ -346,3 +346,18 @@ def test_keys_tell_microseconds_apart_in_every_time_zone(spark):
     assert [sorted(k) for k in found[:2]] == [sorted(k) for k in found[3:5]]
     zero = spark.sql("SELECT 0.0D AS x, array(struct(1 AS y)) AS l UNION ALL SELECT -0.0D, array(struct(1 AS y))")
     assert shred(zero, "Z", key=["x"], bad_keys="trust")["Z_l"].select("Z_id").distinct().count() == 1
+
+
+def test_texts_in_items_are_shuffled_joined_and_come_back_as_they_were(spark):
+    lists = [["a", "b", "a"], [""], ["", ""], ["x", None], [None], ["p\x1fq", "r"], ["\0", "é\U0001f600"]]
+    model = "k long, items array<struct<t: string, words: array<string>, n: array<int>>>"
+    frame = spark.createDataFrame([(i, [("t", words, [i, None]), ("u", lists[i - 1], None)]) for i, words in enumerate(lists)], model)
+    frame = frame.unionByName(
+        spark.sql("SELECT 9L AS k, array(named_struct('t', 't', 'words', array(cast(x'C328' AS string)), 'n', array(1))) AS items")
+    )
+    rebuilt = assemble(shred(frame, "Doc", key="k"))
+    values = lambda rows: rows.select("k", F.posexplode("items").alias("i", "item")).select("k", "i", "item.t", F.posexplode("item.words"))
+    assert sorted(values(rebuilt).collect(), key=repr) == sorted(values(frame).collect(), key=repr)
+    assert values(rebuilt).exceptAll(values(frame)).isEmpty()
+    plan = rebuilt._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("split(") < plan.index("RepartitionByExpression") < plan.index("array_join(")

@@ -19,7 +19,8 @@ from nestframe import (
     shred,
     table_layout,
 )
-from nestframe.sources import key_slices
+from nestframe.functions.nested import packed_texts, unpacked_texts
+from nestframe.sources import catalog, key_slices
 
 MODEL = """
     name string, value double, nested array<struct<note: string, value: double>>,
@@ -271,3 +272,40 @@ def test_large_tables_get_more_buckets(spark, monkeypatch):
     (number,) = numbers
     assert number > 4 and number % 4 == 0
     assert tuple(difference(assemble(tables), assemble(load_tables(spark, tables.layout, "many_buckets"))).first()) == (0, 0)
+
+
+def test_values_go_to_buckets_in_their_lists(spark):
+    """Each list is shuffled as one row, and every value comes out as it was."""
+    lists = [["a", "b", "a"], [], None, [""], ["", ""], ["x", None], [None], ["p\x1fq", "r"], ["\x1f"], [None, "p\x1fq"], ["\0", "é\U0001f600"]]
+    rows = [(i, words, [i, None][: i % 3], [(words, "t")]) for i, words in enumerate(lists)]
+    model = "k long, words array<string>, numbers array<int>, items array<struct<words: array<string>, t: string>>"
+    frame = spark.createDataFrame(rows, model)
+    broken = spark.sql("""
+        SELECT 99L AS k, array(cast(x'C328' AS string), 'ok') AS words, array(7) AS numbers,
+               array(struct(array(cast(x'FF' AS string)), 't')) AS items
+    """)
+    frame = durable(frame.unionByName(broken.select(*(broken[f.name].cast(f.dataType) for f in frame.schema))))
+    tables = shred(frame, "Doc", key="k")
+    spark.sql("CREATE DATABASE IF NOT EXISTS in_lists")
+    assert save_tables(tables, "in_lists", buckets=3) == []
+    for table in tables.layout.walk():
+        given, kept = tables[table.name], spark.table(f"in_lists.{table.name}")
+        assert given.columns == kept.columns and given.exceptAll(kept).isEmpty() and kept.exceptAll(given).isEmpty()
+    table = tables.layout.find("Doc_items_words")
+    plan = catalog._dealt(tables, table, 3, table.parent_key)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Generate") < plan.index("RepartitionByExpression")
+    # Other rows than those the lists were unpacked to are stored as they are.
+    fewer = tables.with_frames({table.name: tables[table.name].where("_pos = 0")})
+    assert fewer.lists_of(table) is None and tables.lists_of(table) is not None
+    spark.sql("CREATE DATABASE IF NOT EXISTS in_fewer_lists")
+    save_tables(fewer, "in_fewer_lists", buckets=3)
+    assert spark.table("in_fewer_lists.Doc_items_words").agg({"_pos": "max"}).first()[0] == 0
+
+
+def test_lists_of_texts_are_joined_where_they_can_be_parted(spark):
+    lists = [["a", "b"], [""], ["", ""], [], None, ["x", None], [None], [None, "p\x1fq"], ["\x1f"], ["é", "\0\n"]]
+    frame = durable(spark.createDataFrame(list(enumerate(lists)), "k int, l array<string>"))
+    packed = frame.select("k", "l", packed_texts(frame["l"]).alias("p"))
+    found = {r["k"]: r for r in packed.select("k", "l", "p", unpacked_texts(packed["p"]).alias("again")).collect()}
+    assert all(r["again"] == r["l"] for r in found.values())
+    assert [k for k, r in sorted(found.items()) if r["p"]["joined"] is not None] == [0, 1, 2, 9]
